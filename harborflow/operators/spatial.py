@@ -17,6 +17,7 @@ from harborflow import constants as K
 from harborflow.functions import geometry as G
 from harborflow.functions.scalars import zone_priority
 from harborflow.operators.dedup import pick_one
+from harborflow.session import store
 
 CELL_DEGREES = 0.05
 # Zones whose edges, counted once per grid cell, stay below this (about 32 MB) are broadcast.
@@ -32,14 +33,19 @@ def _cell(value: Column, size: float) -> Column:
 
 @dataclass(frozen=True)
 class ZoneIndex:
-    """Zones prepared for lookup: one row per zone and grid cell its bounding box touches."""
+    """Zones prepared for lookup and stored, so that no query or micro-batch prepares them again.
+
+    `cells` has one row per zone and grid cell its bounding box touches; `lists`, kept only for a small
+    zone side, has one row per cell with all its zones.
+    """
 
     cells: DataFrame
+    lists: DataFrame | None
     size: float
-    small: bool
 
-    def broadcastable(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else df
+    @property
+    def small(self) -> bool:
+        return self.lists is not None
 
 
 def zone_index(
@@ -48,22 +54,20 @@ def zone_index(
     priorities: Mapping[str, int] = K.ZONE_PRIORITY,
     max_broadcast_edges: int = MAX_BROADCAST_EDGES,
 ) -> ZoneIndex:
-    box = G.bbox(F.col("ring"))
-    columns = _cell(box["x_max"], cell_degrees) - _cell(box["x_min"], cell_degrees) + 1
-    rows = _cell(box["y_max"], cell_degrees) - _cell(box["y_min"], cell_degrees) + 1
-    edges = zones.agg(F.sum((columns * rows).cast("double") * F.size("ring"))).first()[0] or 0
-    cells = _cells(
-        zones.select(
-            "zone_id", "zone_type", F.col("authority").alias("zone_authority"),
-            F.col("name").alias("zone_name"),
-            zone_priority(F.col("zone_type"), priorities).alias("_priority"),
-            G.ring_area(F.col("ring")).alias("_area"),
-            G.edges(F.col("ring")).alias("_edges"),
-            G.bbox(F.col("ring")).alias("_box"),
-        ),
-        cell_degrees,
+    prepared = zones.select(
+        "zone_id", "zone_type", F.col("authority").alias("zone_authority"), F.col("name").alias("zone_name"),
+        zone_priority(F.col("zone_type"), priorities).alias("_priority"),
+        G.ring_area(F.col("ring")).alias("_area"), G.edges(F.col("ring")).alias("_edges"),
+        G.bbox(F.col("ring")).alias("_box"),
     )
-    return ZoneIndex(cells, cell_degrees, edges <= max_broadcast_edges)
+    cells = store(_cells(prepared, cell_degrees), "zone-cells")
+    edges = cells.agg(F.sum(F.size("_edges"))).first()[0] or 0
+    if edges > max_broadcast_edges:
+        return ZoneIndex(cells, None, cell_degrees)
+    # Measured above: all lists together are small.
+    entry = F.struct("_priority", "_area", *_BEST, "_inside", "_edges")
+    lists = store(cells.groupBy(*_CELL).agg(F.collect_list(entry).alias("_zones")).coalesce(1), "zone-lists")
+    return ZoneIndex(cells, lists, cell_degrees)
 
 
 def _cells(zones: DataFrame, size: float) -> DataFrame:
@@ -81,7 +85,7 @@ def _cells(zones: DataFrame, size: float) -> DataFrame:
         lambda e: (F.greatest(e["x1"], e["x2"]) < x0) | (F.least(e["x1"], e["x2"]) > x1)
         | (F.greatest(e["y1"], e["y2"]) < y0) | (F.least(e["y1"], e["y2"]) > y1),
     )
-    return spread.withColumn(
+    return spread.drop("_box").withColumn(
         "_inside", untouched & G.contains(F.col("_edges"), (x0 + x1) / 2, (y0 + y1) / 2)
     )
 
@@ -94,7 +98,7 @@ def _with_cell(positions: DataFrame, index: ZoneIndex, lon: str, lat: str) -> Da
 
 def match_zones(positions: DataFrame, index: ZoneIndex, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Left join: one row per position and zone containing it, positions outside all zones kept once."""
-    p, z = _with_cell(positions, index, lon, lat).alias("p"), index.broadcastable(index.cells).alias("z")
+    p, z = _with_cell(positions, index, lon, lat).alias("p"), (F.broadcast(index.cells) if index.small else index.cells).alias("z")
     inside = F.col("z._inside") | G.contains(F.col("z._edges"), F.col(f"p.{lon}"), F.col(f"p.{lat}"))
     same_cell = (F.col("p._cell_x") == F.col("z._cell_x")) & (F.col("p._cell_y") == F.col("z._cell_y"))
     return p.join(z, same_cell & inside, "left").select(
@@ -119,17 +123,13 @@ def best_zone(
         ranked = matched.withColumn("_tie", F.coalesce("zone_id", F.lit("")))
         return pick_one(ranked, id_cols, ["_priority", "_area", "_tie"]).select(*positions.columns, *_BEST)
 
-    # The lists together hold no more than the measured, small zone side.
-    lists = index.cells.groupBy(*_CELL).agg(
-        F.collect_list(F.struct("_priority", "_area", *_BEST, "_inside", "_edges")).alias("_zones")
-    )
     hits = F.filter(
         "_zones", lambda z: z["_inside"] | G.contains(z["_edges"], F.col(lon), F.col(lat))
     )
     best = F.array_min(
         F.transform(hits, lambda z: F.struct(z["_priority"], z["_area"], *[z[c].alias(c) for c in _BEST]))
     )
-    found = _with_cell(positions, index, lon, lat).join(F.broadcast(lists), _CELL, "left").withColumn("_best", best)
+    found = _with_cell(positions, index, lon, lat).join(F.broadcast(index.lists), _CELL, "left").withColumn("_best", best)
     return found.select(*positions.columns, *[F.col(f"_best.{c}").alias(c) for c in _BEST])
 
 

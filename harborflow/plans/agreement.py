@@ -34,7 +34,7 @@ def _pair_bit() -> Column:
         for j, reported in enumerate(K.VESSEL_STATES):
             hit = (F.col("derived_state") == derived) & (F.col("reported_status") == reported)
             number = F.when(hit, F.lit(i * len(K.VESSEL_STATES) + j)).otherwise(number)
-    return F.shiftleft(F.lit(1).cast("long"), number)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number)
 
 
 def comparable_positions(

@@ -35,6 +35,8 @@ def local_session(app: str = "harborflow", cores: str = "*", **conf: str) -> Spa
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # No call-site capture per column expression: plans here have hundreds of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():

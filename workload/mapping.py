@@ -14,7 +14,7 @@ from harborflow.operators.quality import tag_quality, valid_rows
 from harborflow.operators.spatial import ZoneIndex, best_zone, zone_index
 from harborflow.operators.state_machine import state_changes
 from harborflow.plans import models
-from harborflow.session import configure
+from harborflow.session import configure, store
 
 # Thresholds scaled to the sparse events of the test tables (seconds).
 DEBOUNCE = 12 * 3600
@@ -41,8 +41,21 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
+_opened: dict[tuple[str, str], object] = {}
+
+
+def _once(spark: SparkSession, name: str, make):
+    """Static inputs are opened once per application."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _opened:
+        _opened[key] = make()
+    return _opened[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    configure(spark)
+    return _once(spark, path, lambda: spark.read.parquet(path))
 
 
 def zones(spark: SparkSession) -> DataFrame:
@@ -53,7 +66,7 @@ def zones(spark: SparkSession) -> DataFrame:
 
 
 def index(spark: SparkSession) -> ZoneIndex:
-    return zone_index(zones(spark))
+    return _once(spark, "zones", lambda: zone_index(zones(spark)))
 
 
 def _k() -> Column:
@@ -112,17 +125,17 @@ def vessel_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("mmsi")
 
 
-def changes(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def changes(spark: SparkSession, sf_dir: str, of: DataFrame | None = None, **options) -> DataFrame:
     return state_changes(
-        silver(spark, sf_dir), debounce=DEBOUNCE, discrepancy=DISCREPANCY, expiry=EXPIRY,
+        silver(spark, sf_dir) if of is None else of, debounce=DEBOUNCE, discrepancy=DISCREPANCY, expiry=EXPIRY,
         count_from=vessel_keys(spark, sf_dir), **options,
     )
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.vessel_sessions(
-        changes(spark, sf_dir), models.zones_lookup(silver(spark, sf_dir)), as_of()
-    )
+    # Read twice, so written once.
+    stored = store(silver(spark, sf_dir), "silver")
+    return models.vessel_sessions(changes(spark, sf_dir, stored), models.zones_lookup(stored), as_of())
 
 
 def ship_static(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,8 +231,8 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     tile = F.floor(key / 40)
     x = (tile % 300) - 150 + F.lit(0.02) * (key % 40) + F.lit(0.001) * (key % 7)
     y = F.floor(tile / 300) - 60 + F.lit(0.01) * ((key * 13) % 40)
-    width = F.lit(0.01) + F.lit(0.002) * (key % 11)
-    height = F.lit(0.01) + F.lit(0.003) * (key % 5)
+    width = F.lit(0.05) + F.lit(0.002) * (key % 11)
+    height = F.lit(0.15) + F.lit(0.003) * (key % 5)
     zone_type = F.get(F.array(*[F.lit(t) for t in ["anchorage", "berth", "harbor"]]), (key % 3).cast("int"))
     corners = [(x, y), (x + width, y), (x + width, y + height), (x, y + height), (x, y)]
     ring = F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in corners])

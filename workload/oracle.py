@@ -187,7 +187,7 @@ _CTE: list[tuple[str, str]] = [
         select d.mmsi, v.ship_name, d.anchorage_name, d.arrival_time,
                date_diff('minute', d.arrival_time, {AS_OF}) as minutes_at_anchor
         from dwell d left join vessel v using (mmsi) where d.is_ongoing"""),
-    ("asof", """
+    ("located", """
         select s.mmsi, s.event_time, s."offset", s.nav_status_code,
                (select max_by(t.to_state, (t.transition_time, t.to_state = 'EXPIRED', t.to_state)) from step0 t
                 where t.mmsi = s.mmsi and t.transition_time <= s.event_time) as derived_state
@@ -195,7 +195,7 @@ _CTE: list[tuple[str, str]] = [
     ("compared", """
         select *, derived_state = reported as agrees from (
             select *, case when nav_status_code in (0, 8) then 'UNDERWAY' when nav_status_code = 1 then 'AT_ANCHOR'
-                           when nav_status_code = 5 then 'MOORED' else 'OTHER' end as reported from asof)
+                           when nav_status_code = 5 then 'MOORED' else 'OTHER' end as reported from located)
         where reported <> 'OTHER' and derived_state is not null"""),
     # --- messages
     ("feed", """
@@ -216,7 +216,7 @@ _CTE: list[tuple[str, str]] = [
                'NOAA' as authority, 'customer ' || c_custkey as source_ref, c_name as name, c_custkey,
                ((c_custkey // 40) % 300) - 150 + 0.02e0 * (c_custkey % 40) + 0.001e0 * (c_custkey % 7) as x0,
                (c_custkey // 12000) - 60 + 0.01e0 * ((c_custkey * 13) % 40) as y0,
-               0.01e0 + 0.002e0 * (c_custkey % 11) as w, 0.01e0 + 0.003e0 * (c_custkey % 5) as h
+               0.05e0 + 0.002e0 * (c_custkey % 11) as w, 0.15e0 + 0.003e0 * (c_custkey % 5) as h
         from customer"""),
     ("waypoint", """
         select l_orderkey, l_linenumber as seq,
@@ -226,10 +226,18 @@ _CTE: list[tuple[str, str]] = [
     ("ring_edge", """
         select l_orderkey, x as x1, y as y1, seq,
                coalesce(lead(x) over w, first_value(x) over w) as x2, coalesce(lead(y) over w, first_value(y) over w) as y2,
-               first_value(x) over w as ox, first_value(y) over w as oy
+               first_value(x) over w as ox, first_value(y) over w as oy,
+               last_value(x) over (w rows between unbounded preceding and unbounded following) as x_last,
+               last_value(y) over (w rows between unbounded preceding and unbounded following) as y_last
         from waypoint window w as (partition by l_orderkey order by seq, x, y)"""),
+    ("knot", """
+        select distinct a.l_orderkey from ring_edge a join ring_edge b using (l_orderkey)
+        where sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1))
+            * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) < 0
+          and sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1))
+            * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) < 0"""),
     ("ring", """
-        select l_orderkey, count(*) as corners,
+        select l_orderkey, count(*) as corners, count(*) > 1 and any_value(x_last = ox and y_last = oy) as returns,
                abs(sum((x1 - ox) * (y2 - oy) - (x2 - ox) * (y1 - oy))) / 2 as area
         from ring_edge group by l_orderkey"""),
     ("mapped", """
@@ -240,7 +248,7 @@ _CTE: list[tuple[str, str]] = [
                          'Yusen', 'PCT', 'Terminal Island', 'Port of Los Angeles'][p_partkey % 10 + 1] as label from part)"""),
 ]
 _CTE.insert(
-    [n for n, _ in _CTE].index("asof"),
+    [n for n, _ in _CTE].index("located"),
     ("step0", "select mmsi, to_state, transition_time from change where event_type = 'state_transition'"),
 )
 
@@ -284,8 +292,8 @@ def _fresh(table: str, source: str, column: str, warn: int, error: int) -> str:
     return f"""
         select 'freshness' as "check", '{table}' as "table", '{column}' as "column", status as severity,
                cast(case when status = 'pass' then 0 else 1 end as bigint) as failures, status
-        from (select case when age is null or age > {error} * 60000000 then 'error'
-                          when age > {warn} * 60000000 then 'warn' else 'pass' end as status
+        from (select case when age is null or age > {error * 60_000_000} then 'error'
+                          when age > {warn * 60_000_000} then 'warn' else 'pass' end as status
               from (select epoch_us(TIMESTAMP '2024-01-31 01:00:00') - epoch_us(max({column})) as age from {source}))"""
 
 
@@ -353,7 +361,9 @@ _METRES = """
            6378137e0 * (1 - 0.00669437999014e0) / (w2 * sqrt(w2)) * pi() / 180 as north
     from (select *, 1 - 0.00669437999014e0 * sin(radians(lat)) * sin(radians(lat)) as w2 from ({source}))"""
 
-_CLOSED_AREA = "l_orderkey % 2 = 0 and corners >= 3 and area > 0"
+# Ways of odd orders are closed only if their last point happens to equal the first.
+_CLOSED_AREA = """(l_orderkey % 2 = 0 and corners >= 3 or l_orderkey % 2 = 1 and returns and corners >= 4)
+    and area > 0 and l_orderkey not in (select l_orderkey from knot )"""
 
 _SELECT = {
     "quality_tagged": """select mmsi, event_time, "offset", quality_failures is null as quality_ok, quality_failures from tagged""",
@@ -387,7 +397,7 @@ _SELECT = {
                    round((least(a.x0 + a.w, b.x0 + b.w) - greatest(a.x0, b.x0))
                        * (least(a.y0 + a.h, b.y0 + b.h) - greatest(a.y0, b.y0)), 8) as overlap_area,
                    case when a.zone_type = b.zone_type then 'error' else 'warning' end as severity
-            from czone a join czone b on a.zone_id < b.zone_id and b.c_custkey <> a.c_custkey + 1
+            from czone a join czone b on a.zone_id < b.zone_id and b.c_custkey <> a.c_custkey + 3
              and least(a.x0 + a.w, b.x0 + b.w) > greatest(a.x0, b.x0) and least(a.y0 + a.h, b.y0 + b.h) > greatest(a.y0, b.y0)
              and (least(a.x0 + a.w, b.x0 + b.w) - greatest(a.x0, b.x0))
                        * (least(a.y0 + a.h, b.y0 + b.h) - greatest(a.y0, b.y0)) > 1e-12)""",
@@ -413,7 +423,7 @@ _SELECT = {
         _check("unique", "zones", "zone_id", "error", "select 0"),
         _check("valid_ring", "zones", "ring", "error", "select count(*) from czone where w * h <= 0"),
     ),
-    "waypoint_rings": "select l_orderkey, cast(case when corners = 1 then 1 else corners + 1 end as int) as points, round(area, 9) as area from ring",
+    "waypoint_rings": "select l_orderkey, cast(case when corners = 1 or returns then corners else corners + 1 end as int) as points, round(area, 9) as area from ring",
     "circle_zones": f"""
         select s_suppkey, 129 as points, round(0.5e0 * 128 * sin(2 * pi() / 128) * (radius / east) * (radius / north), 8) as area,
                round(2 * radius / east, 7) as width, round(2 * radius / north, 7) as height
@@ -456,7 +466,7 @@ _SELECT = {
     "state_changes": f"""
         select * from change union all
         select mmsi, 'state_transition', state, 'EXPIRED', null, 'EXPIRED', null, event_time from track_end
-        where not followed and epoch_us(TIMESTAMP '2024-01-30 12:00:00') >= t + {EXPIRY_US}""",
+        where not followed and epoch_us(TIMESTAMP '2024-02-02 12:00:00') >= t + {EXPIRY_US}""",
     "vessel_sessions": "select * from session",
     "berth_visits": """
         select session_id as berth_visit_id, mmsi, zone_id as berth_id, zone_name as berth_name, session_start as arrival_time,
@@ -474,7 +484,7 @@ _SELECT = {
     "at_anchor_snapshot": "select * from snapshot",
     "ships_at_anchor": "select count(*) as ships_at_anchor from snapshot",
     "snapshot_export": "select * from snapshot",
-    "asof_state": 'select mmsi, event_time, "offset", derived_state from asof',
+    "asof_state": 'select mmsi, event_time, "offset", derived_state from located',
     "top_vessels": "select mmsi, count(*) as n from silver group by mmsi order by count(*) desc, mmsi limit 5",
     "trailing_window": f"""
         select count(*) as n, min(event_time) as first, max(event_time) as last from silver where {_trailing(240)}""",
@@ -546,4 +556,17 @@ _SELECT = {
     "surrogate_keys": "select event_id, md5(mmsi || '|' || cast(ts as varchar)) as \"key\" from ev",
 }
 
+_SELECT |= {
+    "stream_silver": _SELECT["silver_positions"],
+    "stream_quarantine": _SELECT["quarantine_summary"],
+    # The watermark ends at the newest event less ten minutes; a timer needs it to pass the expiry.
+    "stream_state": f"""
+        select * from change union all
+        select mmsi, 'state_transition', state, 'EXPIRED', null, 'EXPIRED', null, event_time from track_end
+        where not followed and (select max(t) from obs ) - 600 * 1000000::bigint > t + {EXPIRY_US}""",
+    "stream_ship_static": "select * exclude (off) replace (round(max_static_draught, 6) as max_static_draught) from static",
+    "stream_routed": _SELECT["routed_messages"],
+    "stream_deduplicated": "select distinct mmsi, event_time from pos",
+}
+
 ORACLE = {name: _with(select) for name, select in _SELECT.items()}
