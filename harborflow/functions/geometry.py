@@ -6,6 +6,7 @@ Rings are small per-row values; every expression below is evaluated row by row i
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -168,56 +169,61 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` evaluated once, however often `use` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _cut_height(e: Column, f: Column) -> Column:
+    """Height at which two segments cut through each other, else null."""
+    along = (e["x2"] - e["x1"]) * (f["y2"] - f["y1"]) - (e["y2"] - e["y1"]) * (f["x2"] - f["x1"])
+    t = F.try_divide(
+        (f["x1"] - e["x1"]) * (f["y2"] - f["y1"]) - (f["y1"] - e["y1"]) * (f["x2"] - f["x1"]), along
+    )
+    return F.when(properly_cross(e, f), e["y1"] + t * (e["y2"] - e["y1"]))
+
+
+def _shared_width(ea: Column, eb: Column, y: Column) -> Column:
+    """Length of the scan line at `y` that lies in both polygons."""
+
+    def common(p: Column, q: Column) -> Column:
+        return F.greatest(F.least(p["hi"], q["hi"]) - F.greatest(p["lo"], q["lo"]), F.lit(0.0))
+
+    return _bind(
+        F.struct(_bind(_crossing_xs(ea, y), _spans).alias("a"), _bind(_crossing_xs(eb, y), _spans).alias("b")),
+        lambda s: _sum(F.transform(s["a"], lambda p: _sum(F.transform(s["b"], lambda q: common(p, q))))),
+    )
+
+
 def overlap_area(ring_a: Column, ring_b: Column) -> Column:
     """Area common to two simple polygons.
 
     Between neighbouring heights at which anything happens (a vertex, or an edge of one cutting an
     edge of the other) the shared width changes linearly, so the height at the middle of each slab
-    gives the slab's area exactly. Shared borders contribute nothing.
+    gives the slab's area exactly. Shared borders contribute nothing, and neither do heights that
+    only one of the polygons reaches.
     """
-    ea, eb = edges(ring_a), edges(ring_b)
-
-    def cut_height(e: Column, f: Column) -> Column:
-        denominator = (e["x2"] - e["x1"]) * (f["y2"] - f["y1"]) - (e["y2"] - e["y1"]) * (f["x2"] - f["x1"])
-        t = F.try_divide(
-            (f["x1"] - e["x1"]) * (f["y2"] - f["y1"]) - (f["y1"] - e["y1"]) * (f["x2"] - f["x1"]),
-            denominator,
-        )
-        return F.when(properly_cross(e, f), e["y1"] + t * (e["y2"] - e["y1"]))
-
-    cuts = F.flatten(F.transform(ea, lambda e: F.transform(eb, lambda f: cut_height(e, f))))
-    heights = F.array_sort(
-        F.array_distinct(
-            F.filter(
-                F.concat(
-                    F.transform(ring_a, lambda p: p["y"]), F.transform(ring_b, lambda p: p["y"]), cuts
-                ),
-                lambda v: v.isNotNull(),
-            )
-        )
-    )
-    slabs = F.zip_with(
-        F.slice(heights, 1, F.greatest(F.size(heights) - 1, F.lit(0))),
-        F.slice(heights, 2, F.greatest(F.size(heights) - 1, F.lit(0))),
-        lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")),
-    )
 
-    def slab_area(s: Column) -> Column:
-        middle = (s["lo"] + s["hi"]) / 2
-        spans_b = _spans(_crossing_xs(eb, middle))
-        width = _sum(
-            F.transform(
-                _spans(_crossing_xs(ea, middle)),
-                lambda p: _sum(
-                    F.transform(
-                        spans_b,
-                        lambda q: F.greatest(
-                            F.least(p["hi"], q["hi"]) - F.greatest(p["lo"], q["lo"]), F.lit(0.0)
-                        ),
-                    )
-                ),
-            )
+    def heights(e: Column) -> Column:
+        box_a, box_b = e["box_a"], e["box_b"]
+        cuts = F.flatten(F.transform(e["a"], lambda p: F.transform(e["b"], lambda q: _cut_height(p, q))))
+        ends = F.concat(F.transform(e["a"], lambda p: p["y1"]), F.transform(e["b"], lambda p: p["y1"]))
+        lo, hi = F.greatest(box_a["y_min"], box_b["y_min"]), F.least(box_a["y_max"], box_b["y_max"])
+        return F.array_sort(F.array_distinct(F.filter(F.concat(ends, cuts), lambda v: v.between(lo, hi))))
+
+    def area(e: Column) -> Column:
+        return _bind(
+            heights(e),
+            lambda hs: _sum(
+                F.zip_with(
+                    F.slice(hs, 1, F.greatest(F.size(hs) - 1, F.lit(0))),
+                    F.slice(hs, 2, F.greatest(F.size(hs) - 1, F.lit(0))),
+                    lambda lo, hi: _shared_width(e["a"], e["b"], (lo + hi) / 2) * (hi - lo),
+                )
+            ),
         )
-        return width * (s["hi"] - s["lo"])
 
-    return _sum(F.transform(slabs, slab_area))
+    both = F.struct(
+        edges(ring_a).alias("a"), edges(ring_b).alias("b"), bbox(ring_a).alias("box_a"), bbox(ring_b).alias("box_b")
+    )
+    return _bind(both, area)

@@ -180,14 +180,12 @@ def zone_overlaps(
             F.col("ring").alias(f"_ring_{name}"),
         )
 
-    return (
-        pairs.join(side("a"), "zone_a").join(side("b"), "zone_b")
-        .withColumn("overlap_area", G.overlap_area(F.col("_ring_a"), F.col("_ring_b")))
-        .filter(F.col("overlap_area") > min_area)
-        .select(
-            "zone_a", "type_a", "zone_b", "type_b", "overlap_area",
-            F.when(F.col("type_a") == F.col("type_b"), "error").otherwise("warning").alias("severity"),
-        )
+    # Emitting zero or one row keeps the area from being evaluated again by a filter.
+    area = G.overlap_area(F.col("_ring_a"), F.col("_ring_b"))
+    real = F.filter(F.array(area), lambda v: v > min_area)
+    return pairs.join(side("a"), "zone_a").join(side("b"), "zone_b").select(
+        "zone_a", "type_a", "zone_b", "type_b", F.explode(real).alias("overlap_area"),
+        F.when(F.col("type_a") == F.col("type_b"), "error").otherwise("warning").alias("severity"),
     )
 
 

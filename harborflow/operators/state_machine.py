@@ -61,8 +61,8 @@ def _with_state(rows: OrderedRows, tie: Sequence[str], debounce: int, expiry: in
 
     rows = rows.scan(before={"prev": F.struct(row_id.alias("id"), "raw")})
     new_track = F.col("prev").isNull() | (t - F.col("prev.id.t") > expiry * MICROS)
-    rows = rows.with_columns({"new_track": new_track})
-    rows = rows.with_columns({"new_run": F.col("new_track") | (F.col("prev.raw") != F.col("raw"))})
+    new_run = new_track | (F.col("prev.raw") != F.col("raw"))
+    rows = rows.with_columns({"new_track": new_track, "new_run": new_run})
 
     rows = rows.scan(upto={
         "run": F.when(F.col("new_run"), row_id), "track": F.when(F.col("new_track"), row_id),
@@ -81,16 +81,15 @@ def _with_state(rows: OrderedRows, tie: Sequence[str], debounce: int, expiry: in
 
 def _with_discrepancy(rows: OrderedRows, tie: Sequence[str], threshold: int) -> OrderedRows:
     t, row_id = F.col("t"), F.struct("t", *tie)
-    rows = rows.with_columns({
-        "comparable": F.col("reported") != K.OTHER, "agrees": F.col("reported") == F.col("state"),
-    })
+    comparable, agrees = F.col("reported") != K.OTHER, F.col("reported") == F.col("state")
     rows = rows.scan(before={
-        "cmp": F.when(F.col("comparable"), F.struct(row_id.alias("id"), "agrees", "track"))
+        "cmp": F.when(comparable, F.struct(row_id.alias("id"), agrees.alias("agrees"), "track"))
     })
     same_track = F.coalesce(F.col("cmp.track") == F.col("track"), F.lit(False))
-    rows = rows.with_columns({"cmp_same_track": same_track})
-    opens = F.col("comparable") & ~(F.col("cmp_same_track") & (F.col("cmp.agrees") == F.col("agrees")))
-    rows = rows.with_columns({"cmp_opens": F.coalesce(opens, F.lit(True))})
+    opens = comparable & ~(same_track & F.coalesce(F.col("cmp.agrees") == agrees, F.lit(False)))
+    rows = rows.with_columns({
+        "comparable": comparable, "agrees": agrees, "cmp_same_track": same_track, "cmp_opens": opens,
+    })
 
     start = F.when(F.col("cmp_opens"), row_id)
     rows = rows.scan(before={"cmp_run_before": start}, upto={"cmp_run": start})

@@ -55,12 +55,17 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     root = tempfile.mkdtemp(prefix="harborflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(root)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Everything an application stores; may be removed as a whole when it has ended."""
+    return os.path.join(shared_root(spark), f"harborflow-{spark.sparkContext.applicationId}")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(run_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def store(df: DataFrame, label: str = "stage") -> DataFrame:
