@@ -74,6 +74,19 @@ class OrderedRows:
         joined = scanned.join(carried, [*self.keys, _SEGMENT], "left")
         merged = joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in wanted})
         return replace(self, df=merged.drop(*[f"_in_{n}" for n in wanted], *[f"_carry_{n}" for n in wanted]))
+    def mark_last(self, out: str) -> OrderedRows:
+        """Add a boolean column, true on the last row of every key."""
+        if not self.segmented:
+            window = Window.partitionBy(*self.keys).orderBy(*self.order)
+            return self.with_columns({out: F.lead(F.lit(1)).over(window).isNull()})
+        rows = store(self.df, "segments")
+        # One row per hot key.
+        final = rows.groupBy(*self.keys).agg(F.max(_SEGMENT).alias("_final"))
+        within = Window.partitionBy(*self.keys, _SEGMENT).orderBy(*self.order)
+        last = F.lead(F.lit(1)).over(within).isNull() & (F.col(_SEGMENT) == F.col("_final"))
+        marked = rows.join(F.broadcast(final), list(self.keys)).withColumn(out, last)
+        return replace(self, df=marked.drop("_final"))
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys with more than `max_rows` rows and their counts; at most rows / max_rows of them."""
@@ -100,7 +113,9 @@ def ordered_parts(
     if not n_hot:
         return [OrderedRows(df, keys, order)]
 
-    # Every hot key accounts for more than max_rows rows, so the list is short; its size is known.
+    # Both parts read `df`: run its plan once. The list of hot keys is short, since each accounts for more
+    # than max_rows rows, and its size is known.
+    df = store(df, "ordered")
     hot_list = store(hot.select(*keys), "hot-keys")
     if n_hot <= MAX_BROADCAST_KEYS:
         hot_list = F.broadcast(hot_list)

@@ -108,7 +108,8 @@ def _with_discrepancy(rows: OrderedRows, tie: Sequence[str], threshold: int) ->
     return rows.with_columns({"flags": flags, "clears": clears})
 
 
-def _events(rows: OrderedRows) -> DataFrame:
+def _events(rows: OrderedRows, silent_at_end: Column) -> DataFrame:
+    """Up to five events per row; `silent_at_end` is true on the last row of a vessel that has expired."""
     t = F.col("t")
     expired = F.when(
         F.col("new_track") & F.col("prev").isNotNull(),
@@ -121,19 +122,11 @@ def _events(rows: OrderedRows) -> DataFrame:
     )
     flagged = F.when(F.col("flags"), _discrepancy(K.DISCREPANCY_FLAGGED, t))
     cleared = F.when(F.col("clears"), _discrepancy(K.DISCREPANCY_CLEARED, t))
-    events = F.array_compact(F.array(expired, changed, flagged, cleared))
+    ended = F.when(silent_at_end, _transition(F.col("state"), F.lit(K.EXPIRED), F.lit(None), t))
+    events = F.array_compact(F.array(expired, changed, flagged, cleared, ended))
     return rows.df.select("mmsi", F.inline(events)).select(*STATE_CHANGES.names)
 
 
-def _expired_at_end(rows: OrderedRows, expiry: int, watermark: Column) -> DataFrame:
-    last = rows.df.groupBy("mmsi").agg(
-        F.max_by(F.struct("t", "state"), F.struct(*rows.order)).alias("last")
-    )
-    silent = last.filter(F.unix_micros(watermark) >= F.col("last.t") + expiry * MICROS)
-    event = _transition(F.col("last.state"), F.lit(K.EXPIRED), F.lit(None), F.col("last.t"))
-    return silent.select("mmsi", F.inline(F.array(event))).select(*STATE_CHANGES.names)
-
-
 def state_changes(
     positions: DataFrame,
     *,
@@ -162,11 +155,11 @@ def state_changes(
     )
 
     def plan(part: OrderedRows) -> DataFrame:
-        rows = _with_state(part, tie, debounce, expiry)
-        events = _events(_with_discrepancy(rows, tie, discrepancy))
+        rows = _with_discrepancy(_with_state(part, tie, debounce, expiry), tie, discrepancy)
         if watermark is None:
-            return events
-        return events.unionByName(_expired_at_end(rows, expiry, watermark))
+            return _events(rows, F.lit(False))
+        silent = F.unix_micros(watermark) >= F.col("t") + expiry * MICROS
+        return _events(rows.mark_last("is_last"), F.col("is_last") & silent)
 
     return run_on_parts(parts, plan)
 

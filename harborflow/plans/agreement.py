@@ -66,7 +66,7 @@ def agreement(comparable: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("mmsi"), F.coalesce(F.sum("n_comparable"), F.lit(0)).alias("n_comparable"),
         F.coalesce(F.sum("n_agree"), F.lit(0)).alias("n_agree"), F.bit_or("_pairs").alias("_pairs"),
     )
-    pairs = F.coalesce(F.bit_count("_pairs"), F.lit(0))
+    pairs = F.coalesce(F.bit_count("_pairs"), F.lit(0)).cast("long")
     return per_vessel.unionByName(overall).select(
         "mmsi", "n_comparable", F.try_divide(F.col("n_agree"), F.col("n_comparable")).alias("agreement_rate"),
         pairs.alias("state_pairs"), (pairs <= 1).alias("trivial_window"),

@@ -27,7 +27,8 @@ SOURCES = {
 def build_lake(positions: DataFrame, zones: ZoneIndex, base: str, **thresholds: int) -> None:
     """Batch form of the streams: positions to silver, quarantine and state changes.
 
-    Each stage reads what the one before has written, so nothing is computed twice.
+    The two outcomes of the quality check are two scans of `positions`, which is cheaper than holding or
+    writing all of it; the state machine reads the silver table just written.
     """
     spark = positions.sparkSession
     tagged = tag_quality(positions)

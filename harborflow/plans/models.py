@@ -210,3 +210,8 @@ def match_summary(best: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.count_if(matched).alias("matched"),
         F.count_distinct(F.when(matched, F.struct("mmsi", "lat", "lon"))).alias("matched_distinct"),
     )
+
+
+def vessel_zones(best: DataFrame) -> DataFrame:
+    """Which vessels were seen in which zones."""
+    return best.filter(F.col("zone_id").isNotNull()).select("mmsi", "zone_id", "zone_type", "zone_name").distinct()

@@ -86,6 +86,16 @@ def decode_audit(decoded: DataFrame) -> DataFrame:
     )
 
 
+def decode_sample(decoded: DataFrame, n: int = 10) -> DataFrame:
+    """The first decodable position records, for a look at the data."""
+    meta = "payload.MetaData"
+    return decodable(decoded).orderBy("partition", "offset").limit(n).select(
+        "key", "ingested_at", F.col(f"{meta}.ShipName").alias("ship_name"),
+        F.col(f"{meta}.latitude").alias("latitude"), F.col(f"{meta}.longitude").alias("longitude"),
+        F.col("payload.Message.PositionReport.Sog").alias("sog"),
+    )
+
+
 def flatten_positions(decoded: DataFrame) -> DataFrame:
     meta, report = "payload.MetaData", "payload.Message.PositionReport"
     return decodable(decoded).select(

@@ -27,10 +27,17 @@ def read_table(
 
 def write_table(df: DataFrame, base: str, name: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
     """Replace a table (or, with partitions, the partitions present in `df`)."""
-    writer = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.save(table_path(base, name))
+    if not partition_by:
+        df.write.format(fmt).mode("overwrite").save(table_path(base, name))
+        return
+    writer = _gathered(df, partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").save(table_path(base, name))
+
+
+def _gathered(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Bring a partition's rows together in files of a sensible size: without this every task would write
+    a file per partition value. AQE splits a value that holds much of the data and merges small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def append_batch(
@@ -41,7 +48,7 @@ def append_batch(
     A replayed batch overwrites exactly what its first attempt wrote, so nothing is doubled.
     """
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        _gathered(df, partition_by).withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id", *partition_by)

@@ -130,6 +130,12 @@ def test_as_of_against_the_range_join(spark):
         assert got == want
 
 
+def test_as_of_keeps_rows_without_a_vessel(spark):
+    positions = positions_df(spark, (4, 0)).withColumn("mmsi", F.lit(None).cast("string"))
+    changes = changes_df(spark, transition(1, "UNKNOWN", "UNDERWAY"), mmsi=None)
+    assert [r["derived_state"] for r in state_as_of(positions, changes).collect()] == [None]
+
+
 def test_agreement_counts_expired_as_disagreement(spark):
     changes = changes_df(spark, transition(0, "UNKNOWN", "UNDERWAY"), transition(10, "UNDERWAY", "EXPIRED"))
     positions = positions_df(spark, (-1, 0), (1, 0), (2, 5), (3, 2), (11, 0))

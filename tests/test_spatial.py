@@ -255,3 +255,14 @@ def test_zone_checks_report_each_fault(spark):
         ("unique", "zone_id"): 1, ("accepted_values", "zone_type"): 1, ("accepted_values", "authority"): 1,
         ("not_null", "source_ref"): 1, ("valid_ring", "ring"): 1,
     }
+
+
+def test_regulated_anchorages_overlap_only_where_allowed(spark):
+    from harborflow.constants import ALLOWED_OVERLAPS
+    from harborflow.sources.regulated_zones import regulated_anchorages
+
+    zones = regulated_anchorages(spark)
+    assert zones.count() == 13 and spatial.invalid_zones(zones).count() == 0
+    allowed = spark.createDataFrame(ALLOWED_OVERLAPS, "zone_a string, zone_b string")
+    assert spatial.zone_overlaps(zones, allowed, 0.02, 1e-10).collect() == []
+    assert spatial.zone_overlaps(zones, None, 0.02, 1e-10).count() == len(ALLOWED_OVERLAPS)

@@ -54,6 +54,9 @@ def test_windows_segments_and_tracker_agree(spark, seed):
     plain = events_of(state_changes(df))
     if seed == 0:
         assert events_of(state_changes(df, max_rows=100)) == plain
+        end = F.lit(max(r[1] for r in data + hot))
+        closed = events_of(state_changes(df, watermark=end))
+        assert closed != plain and events_of(state_changes(df, max_rows=100, watermark=end)) == closed
     for mmsi, frame in frames(spark, data + hot).items():
         chunked = tracked(frame, iter(lambda: int(rng.integers(1, 40)), None))
         assert chunked == plain.get(mmsi, []), mmsi

@@ -386,6 +386,7 @@ _SELECT = {
         select count(*) as total, count(zone_id) as matched,
                count(distinct case when zone_id is not null then mmsi || '/' || lat || '/' || lon end) as matched_distinct
         from silver""",
+    "vessel_zones": "select distinct mmsi, zone_id, zone_type, zone_name from silver where zone_id is not null",
     "zones_lookup": "select * from zones_seen",
     "zone_priority": """
         select p.zone_id, z.zone_type, coalesce(z.priority, null) as priority, round(a.area, 9) as area, count(*) as n
@@ -537,6 +538,11 @@ _SELECT = {
     "decode_audit": """
         select count(*) as total, sum(case when event_id % 25 = 0 then 1 else 0 end)::bigint as failed from routed
         where topic = 'ais.raw.positions'""",
+    "decoded_sample": """
+        select f.number as "key", 'SHIP ' || f.user_id as ship_name, round(f.lat, 6) as latitude, round(f.lon, 6) as longitude,
+               round(case when f.event_type in ('view', 'click', 'purchase') then f.value / 100e0 else f.value / 8e0 end, 6) as sog
+        from feed f join routed r using (event_id) where r.topic = 'ais.raw.positions' and f.event_id % 25 <> 0
+        order by f.event_id limit 10""",
     "decoded_positions": """
         select f.number as mmsi, f.event_time, f.ts as ingested_at, round(f.lat, 6) as lat, round(f.lon, 6) as lon,
                round(case when f.event_type in ('view', 'click', 'purchase') then f.value / 100e0 else f.value / 8e0 end, 6) as sog,

@@ -99,6 +99,11 @@ def match_summary(spark, sf):
     return models.match_summary(M.silver(spark, sf))
 
 
+@query
+def vessel_zones(spark, sf):
+    return models.vessel_zones(M.silver(spark, sf))
+
+
 @query
 def zones_lookup(spark, sf):
     return models.zones_lookup(M.silver(spark, sf))
@@ -569,6 +574,15 @@ def decode_audit(spark, sf):
     return messages.decode_audit(decoded)
 
 
+@query
+def decoded_sample(spark, sf):
+    """The first decoded records by offset, as the audit shows them."""
+    decoded = messages.decode(_topic(spark, sf, "ais.raw.positions"), schemas.POSITION_ENVELOPE)
+    return messages.decode_sample(decoded, 10).select(
+        "key", "ship_name", _r("latitude").alias("latitude"), _r("longitude").alias("longitude"), _r("sog").alias("sog")
+    )
+
+
 @query
 def decoded_positions(spark, sf):
     decoded = messages.decode(_topic(spark, sf, "ais.raw.positions"), schemas.POSITION_ENVELOPE)
