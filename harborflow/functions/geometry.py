@@ -29,7 +29,7 @@ def close_ring(points: Column) -> Column:
 
 def ring_from_waypoints(seq: Column, x: Column, y: Column) -> Column:
     """Aggregate: the waypoints of one zone, in order, as a closed ring."""
-    ordered = F.array_sort(F.collect_list(F.struct(seq.alias("seq"), x.alias("x"), y.alias("y"))))
+    ordered = F.sort_array(F.collect_list(F.struct(seq.alias("seq"), x.alias("x"), y.alias("y"))))
     return close_ring(F.transform(ordered, lambda p: point(p["x"], p["y"])))
 
 
@@ -152,7 +152,7 @@ def is_area(ring: Column) -> Column:
 
 def _crossing_xs(edge_array: Column, y: Column) -> Column:
     hits = F.filter(edge_array, lambda e: (e["y1"] > y) != (e["y2"] > y))
-    return F.array_sort(
+    return F.sort_array(
         F.transform(hits, lambda e: (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
     )
 
@@ -209,7 +209,7 @@ def overlap_area(ring_a: Column, ring_b: Column) -> Column:
         cuts = F.flatten(F.transform(e["a"], lambda p: F.transform(e["b"], lambda q: _cut_height(p, q))))
         ends = F.concat(F.transform(e["a"], lambda p: p["y1"]), F.transform(e["b"], lambda p: p["y1"]))
         lo, hi = F.greatest(box_a["y_min"], box_b["y_min"]), F.least(box_a["y_max"], box_b["y_max"])
-        return F.array_sort(F.array_distinct(F.filter(F.concat(ends, cuts), lambda v: v.between(lo, hi))))
+        return F.sort_array(F.array_distinct(F.filter(F.concat(ends, cuts), lambda v: v.between(lo, hi))))
 
     def area(e: Column) -> Column:
         return _bind(

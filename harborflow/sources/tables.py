@@ -70,7 +70,7 @@ def inspect(df: DataFrame, order_by: str | None = None, limit: int = 10) -> tupl
 
 def snapshot_document(ships: DataFrame, generated_at: Column) -> DataFrame:
     """One row: `{"generated_at": ..., "ships_at_anchor": [...]}`, ships in arrival order."""
-    listed = F.array_sort(F.collect_list(F.struct("arrival_time", "mmsi", F.struct(*ships.columns).alias("ship"))))
+    listed = F.sort_array(F.collect_list(F.struct("arrival_time", "mmsi", F.struct(*ships.columns).alias("ship"))))
     body = F.struct(
         F.date_format(generated_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at"),
         F.transform(listed, lambda e: e["ship"]).alias("ships_at_anchor"),

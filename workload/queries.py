@@ -229,7 +229,7 @@ def _order_ways(spark, sf):
     """A way per order through its line items; ways of even orders return to their start."""
     points = M.order_waypoints(spark, sf)
     ways = points.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "x", "y"))).alias("w")
+        F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("w")
     )
     open_way = F.transform("w", lambda p: G.point(p["x"], p["y"]))
     closed = F.concat(open_way, F.slice(open_way, 1, 1))
