@@ -57,3 +57,12 @@ def test_split_keeps_every_row_once(spark):
 def test_tagging_stays_in_the_jvm(spark):
     plan = tag_quality(spark.createDataFrame([row()], COLUMNS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([row()], COLUMNS).write.parquet(str(tmp_path / "p"))
+    valid = valid_rows(tag_quality(spark.read.schema(COLUMNS).parquet(str(tmp_path / "p"))))
+    spark.conf.set("spark.sql.maxMetadataValueLength", 2000)
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(lat,33.55)" in plan and "LessThanOrEqual(sog,40.0)" in plan
+    assert "concat_ws" not in plan and valid.count() == 1
