@@ -62,7 +62,7 @@ def test_tagging_stays_in_the_jvm(spark):
 def test_bounds_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([row()], COLUMNS).write.parquet(str(tmp_path / "p"))
     valid = valid_rows(tag_quality(spark.read.schema(COLUMNS).parquet(str(tmp_path / "p"))))
-    spark.conf.set("spark.sql.maxMetadataValueLength", 2000)
-    plan = valid._jdf.queryExecution().executedPlan().toString()
+    plan = valid._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "GreaterThanOrEqual(lat,33.55)" in plan and "LessThanOrEqual(sog,40.0)" in plan
     assert "concat_ws" not in plan and valid.count() == 1
