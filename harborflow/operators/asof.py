@@ -22,29 +22,28 @@ def state_as_of(
     Both sides are laid into one time line per vessel and scanned once, so no position is ever paired
     with all earlier transitions. Of transitions at the same instant EXPIRED counts as the later one.
     """
-    # Rows without a vessel match nothing; all of them in one window would be one task.
-    nameless = positions.filter(F.col("mmsi").isNull()).withColumn("derived_state", F.lit(None).cast("string"))
-    positions = positions.filter(F.col("mmsi").isNotNull())
     carried = [c for c in positions.columns if c not in ("mmsi", "event_time", *tie)]
-    left = positions.select(
-        "mmsi", F.col("event_time").alias("at"), F.lit(2).alias("side"),
+    # Rows without a vessel match nothing: each gets a window of its own instead of all sharing one.
+    keyed = positions.withColumn("spread", F.when(F.col("mmsi").isNull(), F.xxhash64(*tie)).otherwise(F.lit(0)))
+    left = keyed.select(
+        "mmsi", "spread", F.col("event_time").alias("at"), F.lit(2).alias("side"),
         F.struct(*tie).alias("tie"), F.struct(F.lit(1).alias("_"), *carried).alias("row"),
         F.lit(None).cast("string").alias("to_state"),
     )
     right = transitions.filter((F.col("event_type") == K.STATE_TRANSITION) & F.col("mmsi").isNotNull()).select(
-        "mmsi", F.col("transition_time").alias("at"),
+        "mmsi", F.lit(0).cast("long").alias("spread"), F.col("transition_time").alias("at"),
         F.when(F.col("to_state") == K.EXPIRED, 1).otherwise(0).alias("side"), "to_state",
     )
     line = left.unionByName(right, allowMissingColumns=True)
     # Every vessel's transitions are bounded by time, so the positions alone decide what is hot.
     parts = ordered_parts(
-        line, ["mmsi"], ["at", "side", "tie", "to_state"], count_from=positions.select("mmsi"), max_rows=max_rows
+        line, ["mmsi", "spread"], ["at", "side", "tie", "to_state"],
+        count_from=keyed.select("mmsi", "spread"), max_rows=max_rows,
     )
-    joined = run_on_parts(
+    return run_on_parts(
         parts,
         lambda part: part.scan(upto={"derived_state": F.col("to_state")}).df.filter("side = 2").select(
             "mmsi", F.col("at").alias("event_time"), *[F.col(f"tie.{c}").alias(c) for c in tie],
             *[F.col(f"row.{c}").alias(c) for c in carried], "derived_state",
         ),
     )
-    return joined.unionByName(nameless)

@@ -157,7 +157,8 @@ def zone_overlaps(
             "_cell_y", F.explode(F.sequence(_cell(box["y_min"], size), _cell(box["y_max"], size)))
         )
 
-    a, b = spread(slim).alias("a"), spread(slim).alias("b")
+    # Catalyst cannot foresee how many cells a zone touches: never broadcast this side by estimate.
+    a, b = spread(slim).alias("a"), spread(slim).hint("merge").alias("b")
     corner_x = F.greatest(F.col("a._box.x_min"), F.col("b._box.x_min"))
     corner_y = F.greatest(F.col("a._box.y_min"), F.col("b._box.y_min"))
     pairs = a.join(

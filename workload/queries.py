@@ -419,8 +419,9 @@ def snapshot_export(spark, sf):
 
 @query
 def asof_state(spark, sf):
-    silver = M.silver(spark, sf).select("mmsi", "event_time", "partition", "offset", "nav_status_code")
-    return state_as_of(silver, M.changes(spark, sf)).select("mmsi", "event_time", "offset", "derived_state")
+    silver = store(M.silver(spark, sf), "silver")
+    positions = silver.select("mmsi", "event_time", "partition", "offset", "nav_status_code")
+    return state_as_of(positions, M.changes(spark, sf, silver)).select("mmsi", "event_time", "offset", "derived_state")
 
 
 @query
@@ -430,7 +431,7 @@ def top_vessels(spark, sf):
 
 @query
 def trailing_window(spark, sf):
-    recent = agree.trailing_window(M.silver(spark, sf), 240)
+    recent = agree.trailing_window(store(M.silver(spark, sf), "silver"), 240)
     return recent.agg(
         F.count(F.lit(1)).alias("n"), F.min("event_time").alias("first"), F.max("event_time").alias("last")
     )
@@ -439,7 +440,7 @@ def trailing_window(spark, sf):
 def _report(spark, sf):
     # Three results are taken from the same two tables: write them once.
     silver = store(M.silver(spark, sf), "silver")
-    changes = store(M.changes(spark, sf), "changes")
+    changes = store(M.changes(spark, sf, silver), "changes")
     return agree.agreement_report(silver, changes, hours=240, n_vessels=5)
 
 
@@ -453,17 +454,17 @@ def agreement(spark, sf):
 def agreement_all_vessels(spark, sf):
     silver = store(M.silver(spark, sf), "silver")
     everyone = silver.select("mmsi").distinct()
-    report = agree.agreement_report(silver, M.changes(spark, sf), hours=720, vessels=everyone)["agreement"]
+    report = agree.agreement_report(silver, M.changes(spark, sf, silver), hours=720, vessels=everyone)["agreement"]
     return report.withColumn("agreement_rate", _r("agreement_rate"))
 
 
 @query
 def uncovered_vessels(spark, sf):
     """Vessels with positions in the last two days none of which can be compared."""
-    silver = M.silver(spark, sf)
-    window = store(agree.trailing_window(silver, 48), "window")
+    silver = store(M.silver(spark, sf), "silver")
+    window = agree.trailing_window(silver, 48)
     everyone = window.select("mmsi").distinct()
-    comparable = agree.comparable_positions(window, M.changes(spark, sf), everyone)
+    comparable = agree.comparable_positions(window, M.changes(spark, sf, silver), everyone)
     return checks.missing_keys(everyone, comparable, "mmsi")
 
 
