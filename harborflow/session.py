@@ -27,6 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Set the number of shuffle partitions for an input of this size; AQE merges what turns out small."""
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(app: str = "harborflow", cores: str = "*", **conf: str) -> SparkSession:
     """Session for tests and benches; a cluster passes its own session to `configure`."""
     builder = (

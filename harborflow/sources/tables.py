@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 # A snapshot document is one JSON value; more rows than this are exported as lines only.
 MAX_DOCUMENT_ROWS = 100_000
+_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+_JSON = {"ignoreNullFields": "false", "timestampFormat": _TIME}
 
 
 def table_path(base: str, name: str) -> str:
@@ -72,10 +74,10 @@ def snapshot_document(ships: DataFrame, generated_at: Column) -> DataFrame:
     """One row: `{"generated_at": ..., "ships_at_anchor": [...]}`, ships in arrival order."""
     listed = F.sort_array(F.collect_list(F.struct("arrival_time", "mmsi", F.struct(*ships.columns).alias("ship"))))
     body = F.struct(
-        F.date_format(generated_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at"),
+        F.date_format(generated_at, _TIME).alias("generated_at"),
         F.transform(listed, lambda e: e["ship"]).alias("ships_at_anchor"),
     )
-    return ships.agg(F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+    return ships.agg(F.to_json(body, _JSON).alias("value"))
 
 
 def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = None) -> bool:
@@ -85,8 +87,10 @@ def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = N
     while it is small enough to be one value; the return value tells whether it was written.
     """
     generated_at = F.current_timestamp() if generated_at is None else generated_at
-    ships.write.mode("overwrite").option("ignoreNullFields", "false").json(os.path.join(path, "rows"))
-    if ships.limit(MAX_DOCUMENT_ROWS + 1).count() > MAX_DOCUMENT_ROWS:
+    rows = os.path.join(path, "rows")
+    ships.write.mode("overwrite").options(**_JSON).json(rows)
+    written = ships.sparkSession.read.schema(ships.schema).options(**_JSON).json(rows)
+    if written.limit(MAX_DOCUMENT_ROWS + 1).count() > MAX_DOCUMENT_ROWS:
         return False
-    snapshot_document(ships, generated_at).write.mode("overwrite").text(os.path.join(path, "document"))
+    snapshot_document(written, generated_at).write.mode("overwrite").text(os.path.join(path, "document"))
     return True

@@ -184,7 +184,10 @@ class VesselProcessor(StatefulProcessor):
             obs = obs[obs["t"] >= last]
         if obs.empty:
             return
-        obs = obs.sort_values(["t", "tie_1", "tie_2"], kind="stable").reset_index(drop=True)
+        order = ["t", "tie_1", "tie_2"]
+        obs = obs.sort_values([*order, "priority", "area", "zone_id"], kind="stable")
+        # A position that came once per matching zone counts with its best one.
+        obs = obs.drop_duplicates(order).reset_index(drop=True)
         obs["zone_id"] = obs["zone_id"].astype(object).where(obs["zone_id"].notna(), None)
         events = self.tracker.advance(state, obs)
         if last is not None:
@@ -208,9 +211,13 @@ class VesselProcessor(StatefulProcessor):
         pass
 
 
-def _observed(tie: tuple[str, str]) -> list[Column]:
+def _observed(positions: DataFrame, tie: tuple[str, str]) -> list[Column]:
     raw = raw_state(F.col("zone_type"), F.col("sog"))
+    rank = {
+        name: F.col(f"_{name}") if f"_{name}" in positions.columns else F.lit(0) for name in ("priority", "area")
+    }
     return [
+        *[column.cast("double").alias(name) for name, column in rank.items()],
         F.col("mmsi"), F.col("event_time"), F.unix_micros("event_time").alias("t"),
         F.col(tie[0]).alias("tie_1"), F.col(tie[1]).alias("tie_2"), raw.alias("raw"),
         F.when(raw != K.UNDERWAY, F.col("zone_id")).alias("zone_id"),
@@ -222,13 +229,16 @@ def track_vessels(
     positions: DataFrame, *, debounce: int = K.DEBOUNCE_SECONDS, discrepancy: int = K.DISCREPANCY_SECONDS,
     expiry: int = K.EXPIRY_SECONDS, tie: tuple[str, str] = ("partition", "offset"),
 ) -> DataFrame:
-    """Streaming positions (with watermark and best zone) -> streaming state changes."""
+    """Streaming positions (with watermark and zone) -> streaming state changes.
+
+    Positions come with their best zone, or once per matching zone as `match_zones` gives them.
+    """
     spark = positions.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Workers get the processor with the query and need not have this package installed.
     cloudpickle.register_pickle_by_value(harborflow)
     usable = positions.filter(F.col("mmsi").isNotNull() & F.col("event_time").isNotNull())
-    return usable.select(*_observed(tie)).groupBy("mmsi").transformWithStateInPandas(
+    return usable.select(*_observed(usable, tie)).groupBy("mmsi").transformWithStateInPandas(
         statefulProcessor=VesselProcessor(debounce, discrepancy, expiry),
         outputStructType=STATE_CHANGES, outputMode="Append", timeMode="EventTime",
     )

@@ -84,6 +84,22 @@ def test_restart_from_checkpoint_equals_one_run_and_batch(spark, tmp_path):
     assert events_of(stored(spark, halting)) == batch
 
 
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_state_job_with_nested_zones(spark, tmp_path, limit):
+    """Small zone side: best zone by lookup. Large: every match goes in and the best one counts."""
+    from harborflow.operators.spatial import zone_index
+
+    index = zone_index(M.zones(spark), max_broadcast_edges=limit)
+    inside_both, outside = (33.6, -118.25), (33.7, -118.0)
+    data = [("v", at(m), lat, lon, 0.1, 15, None, None, 0, m)
+            for m, (lat, lon) in [(0, inside_both), (3, inside_both), (4, outside), (10, outside)]]
+    write_chunks(spark, str(tmp_path / "in"), data)
+    positions = located_stream(spark, str(tmp_path / "in")).drop("zone_id", "zone_type")
+    jobs.run_state_changes(positions, index, str(tmp_path / "lake"), available_now=True).awaitTermination()
+    assert events_of(stored(spark, str(tmp_path / "lake")))["v"] == sorted(
+        [transition(0, "UNKNOWN", "AT_ANCHOR", "anch-b-7"), transition(10, "AT_ANCHOR", "UNDERWAY")], key=repr)
+
+
 def test_replayed_batch_leaves_one_copy_in_the_table(spark, tmp_path):
     base = str(tmp_path / "lake")
     df = spark.createDataFrame([("1", *transition(0, "UNKNOWN", "UNDERWAY"))], schemas.STATE_CHANGES)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborflow import constants as K
 from harborflow import schemas
 from harborflow.session import new_path
 from harborflow.sources import messages, tables
@@ -27,7 +28,7 @@ def _envelope_row(topic: str, message_type: str, meta: list[Column], report: Col
     )
     envelope = F.struct(
         F.date_format(ingested_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingested_at"),
-        F.lit("aisstream").alias("source"), F.lit(1).alias("schema_version"), payload.alias("payload"),
+        F.lit(K.ENVELOPE_SOURCE).alias("source"), F.lit(K.ENVELOPE_VERSION).alias("schema_version"), payload.alias("payload"),
     )
     return F.concat(F.unhex(F.lit("0000000001")), F.to_json(envelope).cast("binary"))
 
