@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, mixing, quality_rules
+from harborflow.llm import exact_dedup, mixing, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,9 @@ select doc_id, size, source_size, target,
 @query
 def op9_quality_rules(spark, sf):
     return quality_rules.quality_rules(documents(spark, sf))
+
+
+@query
+def op10_retrieval_packing(spark, sf):
+    packed = packing.pack_documents(documents(spark, sf), payload=packing.crc)
+    return packed.withColumn("ids_crc32", F.conv(F.hex("payload"), 16, 10).cast("long")).drop("payload")
