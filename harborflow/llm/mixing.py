@@ -21,7 +21,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
 SEED = "mix-1:"
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_000
 
 
 def n_words(text: Column) -> Column:
