@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, mixing, packing, quality_rules
+from harborflow.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,8 @@ def op9_quality_rules(spark, sf):
 def op10_retrieval_packing(spark, sf):
     packed = packing.pack_documents(documents(spark, sf), payload=packing.crc)
     return packed.withColumn("ids_crc32", F.conv(F.hex("payload"), 16, 10).cast("long")).drop("payload")
+
+
+@query
+def op1_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_join(documents(spark, sf), words=3, share=(9, 10))
