@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules
+from harborflow.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,9 @@ def op10_retrieval_packing(spark, sf):
 @query
 def op1_jaccard_join(spark, sf):
     return jaccard_join.jaccard_join(documents(spark, sf), words=3, share=(9, 10))
+
+
+@query
+def op2_substring_dedup(spark, sf):
+    found = substring_dedup.substring_dedup(documents(spark, sf))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
