@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules, substring_dedup
+from harborflow.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op1_jaccard_join(spark, sf):
 def op2_substring_dedup(spark, sf):
     found = substring_dedup.substring_dedup(documents(spark, sf))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_language_id(spark, sf):
+    return language_id.language_id(documents(spark, sf))
