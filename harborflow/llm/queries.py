@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_rules, substring_dedup
+from harborflow.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,8 @@ def op2_substring_dedup(spark, sf):
 @query
 def op3_language_id(spark, sf):
     return language_id.language_id(documents(spark, sf))
+
+
+@query
+def op8_quality_classifier(spark, sf):
+    return quality_classifier.quality_classifier(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
