@@ -8,10 +8,13 @@ similar set has the same part in at least one of them. m leaves room for empty s
 1. Scan: set sizes, digests, keys. Equal sets are one class, for which its smallest doc_id stands.
 2. Keys are packed into buckets by their upper bits and sorted there; keys of one document are left out. Before that,
    each task sends only the smallest document of a key and of a class, so a hot key or class is met once a task.
-3. Stars: every member of a key is verified against the key's smallest document only. Links give components.
-4. Keys whose members lie in several components still: pairs across components are verified, without those within.
-5. Keys of more than `hot` components, and sets with too few segments: the parts are taken from elements that at most
-   `hot` components of these sets have, so no key can be hot again. Cost decides for each set: its empty segments get 0,
+3. Stars: every member of a key is compared with one pivot, the member that shares most keys with others and so lies nearest to the
+   middle of its group. Members linked to one pivot are known to be connected.
+4. Keys whose members are not all known to be connected: pairs across are compared, without those within.
+   Before any two sets are fetched, their parity bitmaps are compared, of which the bits that differ are at most as many as the
+   elements that differ. This is a condition of the join itself, so pairs that fail it are never rows.
+5. Keys of more than `hot` unconnected groups, and sets with too few segments: the parts are taken from elements that at most
+   `hot` groups of these sets have, so no key can be hot again. Cost decides for each set: its empty segments get 0,
    others 1 (the part itself) or 2 (the part and its one-deletion neighbours), more than H in sum. Sets that have
    too few rare elements go into another round with a higher limit, until none is left.
 
@@ -27,23 +30,26 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
 from harborflow.llm.graph import components
 from harborflow.llm.stages import Stages
 
-HOT = 128
+HOT = 1024
+LANES = 8  # 64-bit words of a parity bitmap
 KEYS_PER_BUCKET = 2_000_000
 KEYS_PER_TASK = 4_000_000
 WIDTH = 1.4  # ratio of a band's sizes
 _U = np.uint64
 
-SCANNED = "doc_id long, n_shingles long, d1 long, d2 long, short boolean, keys array<long>"
+BITS = [f"b{i}" for i in range(LANES)]
+SCANNED = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"{b} long" for b in BITS) + ", short boolean, keys array<long>"
 
 
 # --- sets ----------------------------------------------------------------------------
@@ -74,6 +80,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, lower: bool) ->
     return out[fresh], sizes[at]
 
 
+def parity(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bitmap of every set: a bit says whether an odd number of its elements falls on it."""
+    place = (wd.mix(values + _U(0x2545F4914F6CDD1D)) >> _U(40)).astype(np.int64) % (64 * LANES)
+    own = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    odd = np.bincount(own * 64 * LANES + place, minlength=(len(at) - 1) * 64 * LANES) % 2
+    return np.packbits(odd.astype(np.uint8).reshape(-1, 64 * LANES), axis=1).view(np.int64)
+
+
 # --- bands and keys ---------------------------------------------------------------------
 
 
@@ -216,9 +230,11 @@ def scan(k: int, p: int, q: int, lower: bool):
                     np.cumsum(wd.mix(values + _U(salt)), out=sums[1:])
                     digests.append(pa.array(wd.mix(sums[at[1:]] - sums[at[:-1]]).view(np.int64)))
                 keys, owners, short = exact_keys(values, at, sizes, p, q)
+                bitmap = parity(values, at)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), *digests, pa.array(short), _lists(keys, owners, hi - lo)],
-                    ["doc_id", "n_shingles", "d1", "d2", "short", "keys"],
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), *digests]
+                    + [pa.array(bitmap[:, i]) for i in range(LANES)] + [pa.array(short), _lists(keys, owners, hi - lo)],
+                    ["doc_id", "n_shingles", "d1", "d2", *BITS, "short", "keys"],
                 )
 
     return run
@@ -360,10 +376,18 @@ class Join:
         self.sets: DataFrame | None = None
 
     def classes(self, scanned: DataFrame) -> DataFrame:
-        """doc_id -> node, the smallest doc_id with an equal set, for documents that can link."""
+        """doc_id -> node, the smallest doc_id with an equal set, for documents that can link; with size and bitmap."""
         named = scanned.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-        least = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"))
-        return named.select("doc_id", "d1", "d2", "n_shingles").distinct().join(least, ["d1", "d2", "n_shingles"]).select("doc_id", "node")
+        kept = [F.max(b).alias(b) for b in BITS]  # equal sets have equal bitmaps
+        least = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"), *kept).withColumnRenamed("n_shingles", "n")
+        own = named.select("doc_id", "d1", "d2", F.col("n_shingles").alias("n")).distinct()
+        return own.join(least, ["d1", "d2", "n"]).select("doc_id", "node", "n", *BITS)
+
+    def near(self, x: str, y: str):
+        """Whether bitmaps and sizes allow two sets to link."""
+        differ = reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in BITS])
+        n, m, p, q = F.col(f"{x}.n"), F.col(f"{y}.n"), self.p, self.q
+        return (differ * (p + q) <= (n + m) * (q - p)) & (F.least(n, m) * q >= F.greatest(n, m) * p)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) those that link. Sets are computed once for each document that occurs in pairs."""
@@ -378,87 +402,94 @@ class Join:
         self.steps.drop(pairs, sets)
         return links
 
-    def across(self, members: DataFrame, labels: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Pairs of documents of one key in different components, and the documents of keys with too many components.
-
-        members: (key, doc_id); labels: (node, component), a document without one is its own component."""
-        rows = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-        )
-        split = rows.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).filter(F.col("l") < F.col("h"))
-        rows = self.steps.put(rows.join(split.select("key"), "key", "left_semi"), "split")
-        counts = rows.groupBy("key", "component").agg(F.lit(1).alias("_")).groupBy("key").count()
-        few, many = counts.filter(F.col("count") <= self.hot).select("key"), counts.filter(F.col("count") > self.hot).select("key")
-        cold = rows.join(few, "key", "left_semi")
-        x = cold.select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        y = cold.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-        pairs = x.join(y, "key").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-        return pairs.join(done, ["a", "b"], "left_anti"), rows.join(many, "key", "left_semi").select("doc_id").distinct()
+    def labelled(self, links: DataFrame) -> DataFrame:
+        """(doc_id, label): documents of one label are connected. One pass over links (a, b), which form stars."""
+        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("doc_id"), F.least("a", "m").alias("m"))
+        above = least.select(F.col("doc_id").alias("m"), F.col("m").alias("mm"))
+        return self.steps.put(least.join(above, "m", "left").select("doc_id", F.least("m", F.coalesce("mm", "m")).alias("label")), "labels")
+
+    def open_keys(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Rows of keys with members of several labels, with the label; a document without one is its own."""
+        rows = members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        split = rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter(F.col("l") < F.col("h"))
+        return self.steps.put(rows.join(split.select("key"), "key", "left_semi"), "open")
+
+    def stars(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of each key's members with its pivot."""
+        score = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("score"))
+        best = members.join(score, "doc_id").groupBy("key").agg(F.max(F.struct("score", F.bitwise_not("doc_id").alias("o"), "n", *BITS)).alias("p"))
+        x = best.select("key", F.bitwise_not("p.o").alias("pivot"), "p.n", *[f"p.{b}" for b in BITS]).alias("x")
+        y = members.alias("y")
+        found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("pivot") != F.col("doc_id")) & self.near("x", "y"))
+        return found.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
+
+    def across(self, rows: DataFrame, hot: int | None) -> tuple[DataFrame, DataFrame]:
+        """Pairs of documents of one key and different labels, and the documents of keys with more than `hot` labels."""
+        cold, many = rows, rows.select("doc_id").limit(0)
+        if hot is not None:
+            counts = rows.groupBy("key", "label").agg(F.lit(1).alias("_")).groupBy("key").count()
+            large = self.steps.put(counts.filter(F.col("count") > hot).select("key"), "large")
+            cold = rows.join(large, "key", "left_anti")
+            many = rows.join(large, "key", "left_semi").select("doc_id").distinct()
+        x, y = cold.alias("x"), cold.alias("y")
+        found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & self.near("x", "y"))
+        return found.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), many
 
     def run(self) -> DataFrame:
         steps, p, q = self.steps, self.p, self.q
         scanned = steps.put(self.docs.mapInArrow(scan(self.k, p, q, self.lower), SCANNED), "scan")
-        result = steps.put(scanned.drop("keys"), "sizes")
-        nodes = steps.put(self.classes(result), "classes")
+        result = steps.put(scanned.select("doc_id", "n_shingles"), "sizes")
+        nodes = steps.put(self.classes(scanned), "classes")
         usable = scanned.filter(F.col("doc_id").isNotNull())
         total = usable.agg(F.sum(F.greatest(F.size("keys"), F.lit(0)).cast("long"))).first()[0] or 0
         buckets = max(1, -(-total // KEYS_PER_BUCKET))
         dealt = usable.select("doc_id", "d1", "d2", "keys").mapInArrow(deal(buckets), "bucket long, meet boolean, keys binary, docs binary")
         found = dealt.groupBy("bucket").applyInArrow(meet, "key long, doc_id long")
-        members = steps.put(found.join(nodes, "doc_id").select("key", F.col("node").alias("doc_id")).distinct(), "members")
+        found = found.join(nodes, "doc_id").select("key", F.col("node").alias("doc_id"), "n", *BITS).distinct()
+        members = steps.put(found, "members")
         short = steps.put(usable.filter("short").join(nodes, "doc_id").select(F.col("node").alias("doc_id")).distinct(), "short")
         steps.drop(scanned)
 
-        pivots = members.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("h")).filter(F.col("a") < F.col("h"))
-        stars = members.join(pivots.select("key", "a"), "key").filter(F.col("doc_id") > F.col("a")).select("a", F.col("doc_id").alias("b"))
-        done = steps.put(stars.distinct(), "stars")
-        # A doc_id with several contents ties their classes.
-        several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("h")).filter(F.col("a") < F.col("h"))
-        tied = nodes.join(several, "doc_id").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b"))
-        links = steps.put(self.verify(done).unionByName(tied), "links")
-        labels = steps.put(components(steps, links), "labels")
-        pairs, rest = self.across(members, labels, done)
-        more = self.verify(pairs)
+        done = steps.put(self.stars(members), "stars")
+        links = self.verify(done)
+        pairs, rest = self.across(self.open_keys(members, self.labelled(links)), self.hot)
         rest = steps.put(rest.unionByName(short).distinct(), "rest")
-        links, labels = self.extend(links, labels, more)
+        links = steps.put(links.unionByName(self.verify(pairs.join(done, ["a", "b"], "left_anti"))), "links")
+        facts = nodes.filter(F.col("doc_id") == F.col("node")).drop("node")
         salt, hot = 1, self.hot
         while rest.count() > 1:
-            rest, more = self.round(rest, labels, salt, hot)
-            links, labels = self.extend(links, labels, more)
+            rest, more = self.round(rest, facts, self.labelled(links), salt, hot)
+            links = steps.put(links.unionByName(more), "links")
             salt, hot = salt + 1, hot * 8
 
+        # A doc_id with several contents ties their classes.
+        several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("h")).filter(F.col("a") < F.col("h"))
+        tied = nodes.join(several, "doc_id").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b"))
+        labels = components(steps, links.unionByName(tied))
         named = nodes.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
         named = named.groupBy("doc_id").agg(F.min("component").alias("component"))
         out = result.join(named, "doc_id", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
-    def extend(self, links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
-        if more.isEmpty():
-            return links, labels
-        links = self.steps.put(links.unionByName(more).distinct(), "links")
-        return links, self.steps.put(components(self.steps, links), "labels")
-
-    def round(self, rest: DataFrame, labels: DataFrame, salt: int, hot: int) -> tuple[DataFrame, DataFrame]:
-        """Pairs among `rest` by their rare elements; returns the sets left over, and the links."""
+    def round(self, rest: DataFrame, facts: DataFrame, labels: DataFrame, salt: int, hot: int) -> tuple[DataFrame, DataFrame]:
+        """Links among `rest` by their rare elements; returns the sets left over, and the links."""
         steps = self.steps
         wanted = self.docs.join(rest, "doc_id", "left_semi").mapInArrow(self.listed(), "doc_id long, elements array<long>")
-        wanted = wanted.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        wanted = steps.put(wanted.select("doc_id", "elements", F.coalesce("component", "doc_id").alias("component")), "rest-sets")
-        each = wanted.select("doc_id", "component", F.explode("elements").alias("element"))
-        spread = each.groupBy("element", "component").agg(F.lit(1).alias("_")).groupBy("element").count()
+        wanted = wanted.join(labels, "doc_id", "left")
+        wanted = steps.put(wanted.select("doc_id", "elements", F.coalesce("label", "doc_id").alias("label")), "rest-sets")
+        each = wanted.select("doc_id", "label", F.explode("elements").alias("element"))
+        spread = each.groupBy("element", "label").agg(F.lit(1).alias("_")).groupBy("element").count()
         cold = each.join(spread.filter(F.col("count") <= hot).select("element"), "element", "left_semi")
         held = cold.groupBy("doc_id").agg(F.collect_set("element").alias("rare"))
         sized = wanted.groupBy("doc_id").agg(F.max(F.size("elements")).cast("long").alias("size")).join(held, "doc_id", "left")
         sized = sized.select("doc_id", "size", F.coalesce("rare", F.array().cast("array<long>")).alias("rare"))
         keyed = steps.put(sized.mapInArrow(rare(self.p, self.q, salt), "doc_id long, short boolean, keys array<long>"), "rest-keys")
-        members = keyed.select("doc_id", F.explode("keys").alias("key")).distinct()
+        members = keyed.select("doc_id", F.explode("keys").alias("key")).distinct().join(facts, "doc_id")
         left = steps.put(keyed.filter("short").select("doc_id"), "rest")
-        nothing = labels.sparkSession.createDataFrame([], "a long, b long")
-        limit, self.hot = self.hot, 1 << 62  # no key has more components than a rare element has
-        pairs, _ = self.across(members, labels, nothing)
-        self.hot = limit
-        more = self.verify(pairs)
-        return left, more
+        # No key has more labels than a rare element has.
+        pairs, _ = self.across(self.open_keys(members, labels), None)
+        return left, self.verify(pairs)
 
     def listed(self):
         k, lower = self.k, self.lower
