@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, substring_dedup
+from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,10 @@ def op3_language_id(spark, sf):
 @query
 def op8_quality_classifier(spark, sf):
     return quality_classifier.quality_classifier(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@query
+def op7_line_dedup(spark, sf):
+    """Per document: lines with a word, how many stay, and the numbers of the last and of all that stay."""
+    found = line_dedup.line_dedup(documents(spark, sf))
+    return found.select("doc_id", "n_lines", F.size("kept_lines").alias("n_kept"), "kept_lines")
