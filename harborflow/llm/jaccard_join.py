@@ -43,8 +43,8 @@ from harborflow.llm.stages import Stages
 
 HOT = 1024
 LANES = 8  # 64-bit words of a parity bitmap
-KEYS_PER_BUCKET = 2_000_000
-KEYS_PER_TASK = 4_000_000
+KEYS_PER_BUCKET = 500_000
+KEYS_PER_TASK = 1_000_000
 WIDTH = 1.4  # ratio of a band's sizes
 _U = np.uint64
 

@@ -32,8 +32,8 @@ from harborflow.llm.stages import Stages
 TAU = 2
 MIN_BYTES = 20
 GROUP = 32
-KEYS_PER_BUCKET = 2_000_000
-KEYS_PER_TASK = 4_000_000
+KEYS_PER_BUCKET = 500_000
+KEYS_PER_TASK = 1_000_000
 _U = np.uint64
 LANES = 16
 _LANE = (wd.mix(np.arange(256, dtype=np.uint64)) % _U(LANES)).astype(np.int64)

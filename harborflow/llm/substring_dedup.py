@@ -36,9 +36,9 @@ from harborflow.llm.stages import Stages
 DEPTH = 13
 ANCHOR = 5
 HOT = 20_000
-SUFFIXES = 500_000
-ANCHORS_PER_BUCKET = 1_000_000
-ANCHORS_PER_TASK = 3_000_000
+SUFFIXES = 150_000
+ANCHORS_PER_BUCKET = 400_000
+ANCHORS_PER_TASK = 1_000_000
 _U = np.uint64
 
 
@@ -212,7 +212,7 @@ def keepers(words: np.ndarray, lengths: np.ndarray, docs: np.ndarray, depth: int
     edges = np.append(np.flatnonzero(np.diff(words[at][by], prepend=~words[at][by][:1]) != 0), len(by))
     low = 0
     while low < len(edges) - 1:
-        high = max(low + 1, int(np.searchsorted(edges, edges[low] + SUFFIXES // 4, "right")) - 1)
+        high = max(low + 1, int(np.searchsorted(edges, edges[low] + SUFFIXES // 2, "right")) - 1)
         group = by[edges[low]:edges[high]]
         order, node, least = subtree(words[at[group][:, None] + np.arange(depth)], owners[group])
         out[group[order]] = least[node]
