@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, substring_dedup
+from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -116,3 +116,10 @@ def op7_line_dedup(spark, sf):
     """Per document: lines with a word, how many stay, and the numbers of the last and of all that stay."""
     found = line_dedup.line_dedup(documents(spark, sf))
     return found.select("doc_id", "n_lines", F.size("kept_lines").alias("n_kept"), "kept_lines")
+
+
+@query
+def op4_secret_scan(spark, sf):
+    """Findings without their text: place, length, digest, score and verdict."""
+    found = secret_scan.secret_scan(documents(spark, sf))
+    return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
