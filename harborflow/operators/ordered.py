@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from harborflow.session import store
 
 MAX_ROWS_PER_TASK = 20_000_000
-# Segments grow rather than multiply beyond this, which bounds every broadcast of carried values.
-MAX_SEGMENTS = 5_000
 MAX_BROADCAST_KEYS = 500_000
 
 _SEGMENT = "_segment"
@@ -61,7 +59,7 @@ class OrderedRows:
             .alias(f"_tail_{n}")
             for n in wanted
         ])
-        # One row per (key, segment): at most MAX_SEGMENTS plus the number of hot keys.
+        # One row per (key, segment).
         earlier = Window.partitionBy(*self.keys).orderBy(_SEGMENT).rowsBetween(*_BEFORE)
         carried = tails.select(
             *self.keys, _SEGMENT,
@@ -74,17 +72,17 @@ class OrderedRows:
         joined = scanned.join(carried, [*self.keys, _SEGMENT], "left")
         merged = joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in wanted})
         return replace(self, df=merged.drop(*[f"_in_{n}" for n in wanted], *[f"_carry_{n}" for n in wanted]))
+
     def mark_last(self, out: str) -> OrderedRows:
         """Add a boolean column, true on the last row of every key."""
         if not self.segmented:
             window = Window.partitionBy(*self.keys).orderBy(*self.order)
             return self.with_columns({out: F.lead(F.lit(1)).over(window).isNull()})
         rows = store(self.df, "segments")
-        # One row per hot key.
         final = rows.groupBy(*self.keys).agg(F.max(_SEGMENT).alias("_final"))
         within = Window.partitionBy(*self.keys, _SEGMENT).orderBy(*self.order)
         last = F.lead(F.lit(1)).over(within).isNull() & (F.col(_SEGMENT) == F.col("_final"))
-        marked = rows.join(F.broadcast(final), list(self.keys)).withColumn(out, last)
+        marked = rows.join(final, list(self.keys)).withColumn(out, last)
         return replace(self, df=marked.drop("_final"))
 
 
@@ -119,7 +117,7 @@ def ordered_parts(
     hot_list = store(hot.select(*keys), "hot-keys")
     if n_hot <= MAX_BROADCAST_KEYS:
         hot_list = F.broadcast(hot_list)
-    segments = max(2, min(MAX_SEGMENTS, -(-total // max_rows)))
+    segments = max(2, -(-total // max_rows))
     # The partition number is written out once, so no retry can ever number rows differently.
     hot_rows = store(
         df.join(hot_list, list(keys), "left_semi")

@@ -2,12 +2,12 @@
 
 Zones and points meet on the cell of a regular grid, so every join here is an equi-join followed by
 the exact test. The zone side is measured first: a small one is broadcast, a large one is joined by
-shuffle on the cell, where AQE splits crowded cells.
+shuffle on the cell, where AQE splits crowded cells. Either way the plan and its results are the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from harborflow import constants as K
 from harborflow.functions import geometry as G
 from harborflow.functions.scalars import zone_priority
-from harborflow.operators.dedup import pick_one
 from harborflow.session import store
 
 CELL_DEGREES = 0.05
@@ -35,17 +34,17 @@ def _cell(value: Column, size: float) -> Column:
 class ZoneIndex:
     """Zones prepared for lookup and stored, so that no query or micro-batch prepares them again.
 
-    `cells` has one row per zone and grid cell its bounding box touches; `lists`, kept only for a small
-    zone side, has one row per cell with all its zones.
+    `cells` has one row per zone and grid cell its bounding box touches; `lists` has one row per cell with
+    all its zones. `small` says that both were measured to be fit for a broadcast.
     """
 
     cells: DataFrame
-    lists: DataFrame | None
+    lists: DataFrame
     size: float
+    small: bool
 
-    @property
-    def small(self) -> bool:
-        return self.lists is not None
+    def side(self, table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if self.small else table
 
 
 def zone_index(
@@ -61,13 +60,10 @@ def zone_index(
         G.bbox(F.col("ring")).alias("_box"),
     )
     cells = store(_cells(prepared, cell_degrees), "zone-cells")
-    edges = cells.agg(F.sum(F.size("_edges"))).first()[0] or 0
-    if edges > max_broadcast_edges:
-        return ZoneIndex(cells, None, cell_degrees)
-    # Measured above: all lists together are small.
+    small = (cells.agg(F.sum(F.size("_edges"))).first()[0] or 0) <= max_broadcast_edges
     entry = F.struct("_priority", "_area", *_BEST, "_inside", "_edges")
-    lists = store(cells.groupBy(*_CELL).agg(F.collect_list(entry).alias("_zones")).coalesce(1), "zone-lists")
-    return ZoneIndex(cells, lists, cell_degrees)
+    lists = cells.groupBy(*_CELL).agg(F.collect_list(entry).alias("_zones"))
+    return ZoneIndex(cells, store(lists.coalesce(1) if small else lists, "zone-lists"), cell_degrees, small)
 
 
 def _cells(zones: DataFrame, size: float) -> DataFrame:
@@ -98,7 +94,7 @@ def _with_cell(positions: DataFrame, index: ZoneIndex, lon: str, lat: str) -> Da
 
 def match_zones(positions: DataFrame, index: ZoneIndex, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Left join: one row per position and zone containing it, positions outside all zones kept once."""
-    p, z = _with_cell(positions, index, lon, lat).alias("p"), (F.broadcast(index.cells) if index.small else index.cells).alias("z")
+    p, z = _with_cell(positions, index, lon, lat).alias("p"), index.side(index.cells).alias("z")
     inside = F.col("z._inside") | G.contains(F.col("z._edges"), F.col(f"p.{lon}"), F.col(f"p.{lat}"))
     same_cell = (F.col("p._cell_x") == F.col("z._cell_x")) & (F.col("p._cell_y") == F.col("z._cell_y"))
     return p.join(z, same_cell & inside, "left").select(
@@ -106,30 +102,18 @@ def match_zones(positions: DataFrame, index: ZoneIndex, lon: str = "lon", lat: s
     )
 
 
-def best_zone(
-    positions: DataFrame,
-    index: ZoneIndex,
-    id_cols: Sequence[str] = ("partition", "offset"),
-    lon: str = "lon",
-    lat: str = "lat",
-) -> DataFrame:
-    """Each position once, with the zone of lowest (priority, area, zone_id) that contains it.
+def best_zone(positions: DataFrame, index: ZoneIndex, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Each row of `positions` once, with the zone of lowest (priority, area, zone_id) that contains it.
 
-    With a small zone side this is a lookup per row: no shuffle, and it runs on a stream too. Otherwise
-    matches are reduced by an aggregate over `id_cols`, which must identify a position.
+    A lookup per row in its cell's list, on a batch or a stream; rows need no key and are never merged.
     """
-    if not index.small:
-        matched = match_zones(positions, index, lon, lat)
-        ranked = matched.withColumn("_tie", F.coalesce("zone_id", F.lit("")))
-        return pick_one(ranked, id_cols, ["_priority", "_area", "_tie"]).select(*positions.columns, *_BEST)
-
     hits = F.filter(
         "_zones", lambda z: z["_inside"] | G.contains(z["_edges"], F.col(lon), F.col(lat))
     )
     best = F.array_min(
         F.transform(hits, lambda z: F.struct(z["_priority"], z["_area"], *[z[c].alias(c) for c in _BEST]))
     )
-    found = _with_cell(positions, index, lon, lat).join(F.broadcast(index.lists), _CELL, "left").withColumn("_best", best)
+    found = _with_cell(positions, index, lon, lat).join(index.side(index.lists), _CELL, "left").withColumn("_best", best)
     return found.select(*positions.columns, *[F.col(f"_best.{c}").alias(c) for c in _BEST])
 
 

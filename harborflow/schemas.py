@@ -44,7 +44,7 @@ POSITION_ENVELOPE = _envelope(_struct(PositionReport=_POSITION_REPORT))
 STATIC_ENVELOPE = _envelope(_struct(ShipStaticData=_SHIP_STATIC))
 
 # The little the router has to see of a feed message.
-FEED_HEADER = _struct(MessageType=_S, MetaData=_struct(MMSI=_L, latitude=_D, longitude=_D))
+FEED_HEADER = _struct(MessageType=_S, MetaData=_struct(MMSI=_S))
 
 # Topic rows as the `kafka` source gives them; file sources in tests use the same shape.
 TOPIC_ROW = _struct(key=T.BinaryType(), value=T.BinaryType(), topic=_S, partition=_I, offset=_L, timestamp=_TS)

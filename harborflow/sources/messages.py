@@ -124,7 +124,10 @@ def flatten_static(decoded: DataFrame) -> DataFrame:
     )
 
 
-_UNREADABLE = "_unreadable"
+def is_json(text: Column) -> Column:
+    """Whether text is one strictly valid JSON value: no single quotes, no text after it, not blank."""
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.coalesce(F.try_parse_json(text).isNotNull() & alone, F.lit(False))
 
 
 def route(
@@ -137,13 +140,11 @@ def route(
     text is carried over as it came, whatever fields it has.
     """
     received_at = F.current_timestamp() if received_at is None else received_at
-    header_schema = T.StructType([*schemas.FEED_HEADER.fields, T.StructField(_UNREADABLE, T.StringType())])
-    parsed = feed.withColumn(
-        "_header",
-        F.from_json(raw, header_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}),
-    )
     text = F.col(raw)
-    unreadable = F.col(f"_header.{_UNREADABLE}").isNotNull() | F.col("_header").isNull()
+    # Strings take whatever scalar stands there, so odd types of single fields never make a message unreadable.
+    header = F.from_json(raw, schemas.FEED_HEADER, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    parsed = feed.withColumns({"_header": header, "_unreadable": ~is_json(text)})
+    unreadable = F.col("_unreadable")
     envelope = F.concat(
         F.lit('{"ingested_at":"'), F.date_format(received_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
         F.lit(f'","source":"{K.ENVELOPE_SOURCE}","schema_version":{K.ENVELOPE_VERSION},"payload":'), text,
@@ -153,7 +154,7 @@ def route(
     topic = lookup(F.col("_header.MessageType"), K.TOPIC_BY_MESSAGE_TYPE, K.DEAD_LETTER_TOPIC)
     return parsed.select(
         F.when(unreadable, K.DEAD_LETTER_TOPIC).otherwise(topic).alias("topic"),
-        F.when(~unreadable, F.col("_header.MetaData.MMSI").cast("string")).alias("key"),
+        F.when(~unreadable, F.col("_header.MetaData.MMSI")).alias("key"),
         F.when(unreadable, dead_letter).otherwise(envelope).alias("value"),
         *keep,
     )

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A snapshot document is one JSON value; more rows than this are exported as lines only.
-MAX_DOCUMENT_ROWS = 100_000
+from harborflow.operators.ordered import number_rows
+
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _JSON = {"ignoreNullFields": "false", "timestampFormat": _TIME}
 
@@ -70,27 +70,35 @@ def inspect(df: DataFrame, order_by: str | None = None, limit: int = 10) -> tupl
     return df.count(), df.schema, shown.limit(limit)
 
 
-def snapshot_document(ships: DataFrame, generated_at: Column) -> DataFrame:
-    """One row: `{"generated_at": ..., "ships_at_anchor": [...]}`, ships in arrival order."""
-    listed = F.sort_array(F.collect_list(F.struct("arrival_time", "mmsi", F.struct(*ships.columns).alias("ship"))))
-    body = F.struct(
-        F.date_format(generated_at, _TIME).alias("generated_at"),
-        F.transform(listed, lambda e: e["ship"]).alias("ships_at_anchor"),
-    )
-    return ships.agg(F.to_json(body, _JSON).alias("value"))
-
-
-def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = None) -> bool:
-    """Write the snapshot; Spark's commit makes the replacement appear as a whole.
+def snapshot_lines(ships: DataFrame, generated_at: Column) -> DataFrame:
+    """(position, value): the lines of `{"generated_at": ..., "ships_at_anchor": [...]}`, a ship a line in arrival order.
 
-    Rows are written as JSON lines under `rows/`. The single document under `document/` follows only
-    while it is small enough to be one value; the return value tells whether it was written.
+    Ships are numbered in a range-partitioned order, so no task sees them all.
+    """
+    head = F.concat(F.lit('{"generated_at":"'), F.date_format(generated_at, _TIME), F.lit('","ships_at_anchor":['))
+    ends = ships.sparkSession.createDataFrame([(0, True), (2**62, False)], "position long, first boolean")
+    ends = ends.select("position", F.when(F.col("first"), head).otherwise(F.lit("]}")).alias("value"))
+    body = F.to_json(F.struct(*ships.columns), _JSON)
+    numbered = number_rows(ships.withColumn("_body", body), ("arrival_time", "mmsi", "_body"), "_position")
+    comma = F.when(F.col("_position") > 1, F.lit(",")).otherwise(F.lit(""))
+    listed = numbered.select(F.col("_position").alias("position"), F.concat(comma, F.col("_body")).alias("value"))
+    return ends.unionByName(listed)
+
+
+def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = None) -> None:
+    """Replace the snapshot, whatever its size: JSON lines under `rows/`, and under `document/` text files that, one after the
+    other, are a single JSON document.
     """
     generated_at = F.current_timestamp() if generated_at is None else generated_at
     rows = os.path.join(path, "rows")
     ships.write.mode("overwrite").options(**_JSON).json(rows)
     written = ships.sparkSession.read.schema(ships.schema).options(**_JSON).json(rows)
-    if written.limit(MAX_DOCUMENT_ROWS + 1).count() > MAX_DOCUMENT_ROWS:
-        return False
-    snapshot_document(written, generated_at).write.mode("overwrite").text(os.path.join(path, "document"))
-    return True
+    document = snapshot_lines(written, generated_at).orderBy("position").select("value")
+    document.write.mode("overwrite").text(os.path.join(path, "document"))
+
+
+def read_snapshot_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The ships of the document, one row a line (`value`), head and tail left out."""
+    lines = spark.read.text(os.path.join(path, "document"))
+    ship = F.regexp_replace("value", "^,", "")
+    return lines.filter(~F.col("value").startswith('{"generated_at"') & (F.col("value") != "]}")).select(ship.alias("value"))

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harborflow import constants as K
 from harborflow import schemas
-from harborflow.operators.spatial import ZoneIndex, best_zone, match_zones
+from harborflow.operators.spatial import ZoneIndex, best_zone
 from harborflow.sources import messages
 from harborflow.streaming import sinks
 from harborflow.streaming.state import track_vessels
@@ -51,9 +51,7 @@ def run_state_changes(
     expiry: int = K.EXPIRY_SECONDS, message_format: str | None = None, **message_options: str,
 ) -> StreamingQuery:
     """Every decoded position goes in, checked or not, with its best zone."""
-    # Choosing the best of many matches needs an aggregate, which a stream leaves to the vessel's own step.
-    located = best_zone(positions, zones) if zones.small else match_zones(positions, zones)
-    changes = track_vessels(located, debounce=debounce, discrepancy=discrepancy, expiry=expiry)
+    changes = track_vessels(best_zone(positions, zones), debounce=debounce, discrepancy=discrepancy, expiry=expiry)
     writer = sinks.state_change_writer(base, message_format, **message_options)
     checkpoint = sinks.checkpoint_path(base, "vessel_state_changes")
     return sinks.start(changes, writer, checkpoint, available_now=available_now)

@@ -29,6 +29,11 @@ FEED = {
     "no_metadata": json.dumps({"MessageType": "PositionReport"}),
     "broken": '{"MessageType": "Posit',
     "text": "not json at all",
+    "text_numbers": '{"MessageType":"PositionReport","MetaData":{"MMSI":"367000001","latitude":"33.7"}}',
+    "single_quotes": "{'MessageType':'PositionReport','MetaData':{'MMSI':3}}",
+    "trailing": '{"MessageType":"PositionReport","MetaData":{"MMSI":4}} xyz',
+    "two_values": '{"MessageType":"PositionReport"},{"MessageType":"PositionReport"}',
+    "empty": "",
 }
 
 
@@ -45,6 +50,8 @@ def routed(spark):
         ("position", "ais.raw.positions", "367625810"), ("static", "ais.raw.static", "1"),
         ("other", "ais.deadletter", "2"), ("no_vessel", "ais.raw.positions", None),
         ("no_metadata", "ais.raw.positions", None), ("broken", "ais.deadletter", None), ("text", "ais.deadletter", None),
+        ("text_numbers", "ais.raw.positions", "367000001"), ("single_quotes", "ais.deadletter", None),
+        ("trailing", "ais.deadletter", None), ("two_values", "ais.deadletter", None), ("empty", "ais.deadletter", None),
     ],
 )
 def test_routing(routed, name, topic, key):
@@ -58,7 +65,7 @@ def test_envelope_carries_the_whole_payload(routed):
     assert dt.datetime.fromisoformat(envelope["ingested_at"]) == RECEIVED.replace(tzinfo=dt.timezone.utc)
 
 
-@pytest.mark.parametrize("name", ["broken", "text"])
+@pytest.mark.parametrize("name", ["broken", "text", "single_quotes", "trailing", "two_values"])
 def test_unreadable_text_is_kept_with_its_error(routed, name):
     letter = json.loads(routed[name]["value"])
     assert letter["raw"] == FEED[name] and letter["error"]

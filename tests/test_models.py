@@ -159,14 +159,23 @@ def test_trailing_window_includes_both_ends(spark):
     assert sorted(r["event_time"] for r in agree.trailing_window(positions, 1).collect()) == [at(0), at(60)]
 
 
+def document_in(base):
+    """The text files one after the other are one JSON document."""
+    return json.loads("".join(open(p).read() for p in sorted(glob.glob(os.path.join(base, "document", "part-*")))))
+
+
 def test_snapshot_files(spark, base):
     dwell = models.anchorage_dwell(sessions_of(spark, transition(0, "UNKNOWN", "AT_ANCHOR", ANCHORAGE[1])))
     vessels = spark.createDataFrame([("9", "OTHER")], "mmsi string, ship_name string")
     snapshot = models.at_anchor_now(dwell, vessels, F.lit(AS_OF))
-    assert tables.export_snapshot(snapshot, base, F.lit(AS_OF))
-    (text,) = [open(p).read() for p in glob.glob(os.path.join(base, "document", "part-*")) if os.path.getsize(p)]
-    document = json.loads(text)
-    (ship,) = document["ships_at_anchor"]
+    tables.export_snapshot(snapshot.limit(0), base, F.lit(AS_OF))
+    assert document_in(base)["ships_at_anchor"] == []
+    # A later export replaces the document, whatever its size.
+    many = spark.range(500).join(snapshot).withColumn("mmsi", F.col("id").cast("string")).select(snapshot.columns)
+    tables.export_snapshot(many, base, F.lit(AS_OF))
+    assert sorted(int(s["mmsi"]) for s in document_in(base)["ships_at_anchor"]) == list(range(500))
+    tables.export_snapshot(snapshot, base, F.lit(AS_OF))
+    (ship,) = document_in(base)["ships_at_anchor"]
     assert ship["mmsi"] == "1" and ship["ship_name"] is None and ship["minutes_at_anchor"] == 1000
     assert models.ships_at_anchor(snapshot).first()[0] == 1
     assert models.presented(snapshot).columns[0] == "MMSI"

@@ -86,7 +86,7 @@ def test_restart_from_checkpoint_equals_one_run_and_batch(spark, tmp_path):
 
 @pytest.mark.parametrize("limit", [10**6, 0])
 def test_state_job_with_nested_zones(spark, tmp_path, limit):
-    """Small zone side: best zone by lookup. Large: every match goes in and the best one counts."""
+    """The best zone counts, whether the zone side is broadcast or joined by shuffle."""
     from harborflow.operators.spatial import zone_index
 
     index = zone_index(M.zones(spark), max_broadcast_edges=limit)

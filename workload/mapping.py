@@ -175,7 +175,10 @@ def dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed text per delivered event: positions, static reports, unknown types and broken JSON."""
+    """Feed text per delivered event: positions, static reports, unknown types and broken JSON.
+
+    Unknown types have numbers written as text, which is valid; text is broken in four ways, one of them empty.
+    """
     k, kind = F.col("k"), F.col("event_type")
     lat, lon = F.lit(33.56) + F.lit(0.022) * (k % 10), F.lit(-118.29) + F.lit(0.025) * F.floor(k / 10)
     sog = F.when(kind.isin("view", "click", "purchase"), F.col("value") / 100).otherwise(F.col("value") / 8)
@@ -209,11 +212,16 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(message_type == "ShipStaticData", static).alias("ShipStaticData"),
         ).alias("Message"),
     )
-    text = F.to_json(body)
+    plain = F.to_json(body)
+    quoted = F.regexp_replace(plain, r'"(MMSI|latitude)":([0-9.-]+)', r'"$1":"$2"')
+    text = F.when((message_type == "BaseStationReport") & (k % 2 == 0), quoted).otherwise(plain)
+    broken = (
+        F.when(k % 5 == 1, F.replace(F.col("text"), F.lit('"'), F.lit("'"))).when(k % 5 == 2, F.concat(F.col("text"), F.lit(" xyz")))
+        .when(k % 5 == 3, F.lit("")).otherwise(F.expr("left(text, length(text) - 20)"))
+    )
     return events(spark, sf_dir).withColumns({"text": text, "message_type": message_type}).select(
         "event_id", "event_type", "k", "ts", lat.alias("lat"), lon.alias("lon"), "message_type",
-        # Broken in transit: the end of the text is missing.
-        F.when(kind == "error", F.expr("left(text, length(text) - 20)")).otherwise(F.col("text")).alias("raw"),
+        F.when(kind == "error", broken).otherwise(F.col("text")).alias("raw"),
     )
 
 

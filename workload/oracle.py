@@ -380,6 +380,9 @@ _SELECT = {
     "best_zone": """
         select v.mmsi, v.event_time, v."offset", b.zone_id, b.zone_type, b.zone_name
         from valid v left join place_best b on v.lat = b.lat and v.lon = b.lon""",
+    "best_zone_large": """
+        select v.mmsi, v.event_time, case when v."offset" % 3 = 0 then null else v."offset" % 10 end as "offset", b.zone_id, b.zone_type, b.zone_name
+        from valid v left join place_best b on v.lat = b.lat and v.lon = b.lon""",
     "zone_occupancy": """
         select zone_id, zone_type, count(*) as positions, count(distinct mmsi) as vessels from silver group by zone_id, zone_type""",
     "match_summary": """
@@ -450,8 +453,7 @@ _SELECT = {
         from mapped""",
     "missing_operators": f"""
         select operator from (values ('APM'), ('TraPac'), ('LBCT'), ('Everport'), ('ITS'), ('APL'), ('YTI'), ('PCT')) t(operator)
-        where operator not in (select op from (select {_tag("name", "operator")} as op from mapped where p_partkey % 10 > 2)
-                               where op is not null)""",
+        where operator not in (select op from (select {_tag("name", "operator")} as op from mapped) where op is not null)""",
     "named_lines": """
         select p_partkey, name, 'noaa-breakwater-' || lower(replace(name, ' ', '-')) as zone_id from (
             select p_partkey, coalesce(name, 'Unnamed Breakwater '
@@ -529,7 +531,7 @@ _SELECT = {
         select topic, count(*) as n, sum(case when "key" is null then 1 else 0 end)::bigint as without_key,
                count(distinct "key") as "keys" from routed group by topic""",
     "dead_letters": """
-        select 'message is not valid JSON' as error, count(*) as n, count(*) as with_text from feed
+        select 'message is not valid JSON' as error, count(*) as n, sum(case when k % 5 <> 3 then 1 else 0 end)::bigint as with_text from feed
         where event_type = 'error' having count(*) > 0""",
     "source_filter": """
         select message_type, count(*) as n from feed

@@ -89,6 +89,14 @@ def best_zone(spark, sf):
     return located.select("mmsi", "event_time", "offset", "zone_id", "zone_type", "zone_name")
 
 
+@query
+def best_zone_large(spark, sf):
+    """The same lookup with the zone side joined by shuffle, on rows whose ids repeat or are null."""
+    rows = quality.valid_rows(M.tagged(spark, sf)).withColumn("offset", F.when(F.col("offset") % 3 != 0, F.col("offset") % 10))
+    located = spatial.best_zone(rows, spatial.zone_index(M.zones(spark), max_broadcast_edges=0))
+    return located.select("mmsi", "event_time", "offset", "zone_id", "zone_type", "zone_name")
+
+
 @query
 def zone_occupancy(spark, sf):
     return models.zone_occupancy(M.silver(spark, sf))
@@ -297,9 +305,9 @@ def attribution_report(spark, sf):
 
 @query
 def missing_operators(spark, sf):
-    """Operators no part made of brass or steel is attributed to."""
+    """Operators no part is attributed to."""
     tag = S.operator_tag([F.col("name"), F.col("operator")])
-    tagged = _part_names(spark, sf).filter(F.col("p_partkey") % 10 > 2).withColumn("operator", tag)
+    tagged = _part_names(spark, sf).withColumn("operator", tag)
     targets = spark.createDataFrame([(code,) for code in K.OPERATOR_ALIASES], "operator string")
     return zone_sources.missing_operators(tagged, targets)
 
@@ -407,11 +415,12 @@ def ships_at_anchor(spark, sf):
 
 @query
 def snapshot_export(spark, sf):
-    """The snapshot written to files and read back."""
+    """The snapshot written to files, and its document read back line by line."""
     path = new_path(spark, "snapshot")
     snapshot = models.at_anchor_now(M.dwell(spark, sf), M.dim_vessels(spark, sf), M.as_of())
     tables.export_snapshot(snapshot, path, M.as_of())
-    return spark.read.schema(snapshot.schema).json(f"{path}/rows")
+    ship = F.from_json("value", snapshot.schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return tables.read_snapshot_lines(spark, path).select(ship.alias("s")).select("s.*")
 
 
 # --- as-of join and agreement -----------------------------------------------------------
