@@ -15,7 +15,7 @@ from harborflow.operators.quality import quarantined_rows, tag_quality, valid_ro
 from harborflow.operators.spatial import ZoneIndex, best_zone
 from harborflow.operators.state_machine import state_changes
 from harborflow.plans import models
-from harborflow.sources.tables import export_snapshot, read_table, write_table
+from harborflow.sources.tables import export_snapshot, read_table, write_load, write_table
 
 SOURCES = {
     "positions_silver": schemas.POSITIONS_SILVER,
@@ -33,14 +33,14 @@ def build_lake(positions: DataFrame, zones: ZoneIndex, base: str, **thresholds:
     spark = positions.sparkSession
     tagged = tag_quality(positions)
     bad = quarantined_rows(tagged).withColumn("quarantined_at", F.current_timestamp())
-    write_table(bad.select(*schemas.POSITIONS_QUARANTINE.names), base, "positions_quarantine")
+    write_load(bad.select(*schemas.POSITIONS_QUARANTINE.names), base, "positions_quarantine", "batch")
 
     located = best_zone(drop_redelivered(valid_rows(tagged)), zones)
     silver = located.withColumn("event_date", F.to_date("event_time")).select(*schemas.POSITIONS_SILVER.names)
-    write_table(silver, base, "positions_silver", partition_by=("event_date",))
+    write_load(silver, base, "positions_silver", "batch", partition_by=("event_date",))
 
     stored = read_table(spark, base, "positions_silver", schemas.POSITIONS_SILVER)
-    write_table(state_changes(stored, **thresholds), base, "vessel_state_changes")
+    write_load(state_changes(stored, **thresholds), base, "vessel_state_changes", "batch")
 
 
 def load_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from harborflow.operators.ordered import number_rows
 
+# Last partition level of every table that micro-batches append to.
+LOAD = "load"
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _JSON = {"ignoreNullFields": "false", "timestampFormat": _TIME}
 
@@ -43,17 +45,33 @@ def _gathered(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 
 def append_batch(
-    df: DataFrame, base: str, name: str, batch_id: int, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet"
+    df: DataFrame, base: str, name: str, batch_id: int, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+    writer: str | None = None,
 ) -> None:
-    """Append a micro-batch into its own `batch_id` partition.
+    """Append a micro-batch into its own part of the table: the last partition level, `load`, names query and batch.
 
-    A replayed batch overwrites exactly what its first attempt wrote, so nothing is doubled.
+    A replayed batch overwrites exactly what its first attempt wrote. `writer` is by default the streaming query's id, which
+    belongs to its checkpoint, so other queries, and a query on a new checkpoint, never touch these rows.
     """
+    writer = writer or df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+    _save_load(df, base, name, f"{writer}-{batch_id}", partition_by, fmt)
+
+
+def write_load(df: DataFrame, base: str, name: str, load: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
+    """Batch counterpart of `append_batch`, for tables that streams append to as well: replace what `load` wrote before
+    (with partitions: in the partitions present in `df`)."""
+    if partition_by:
+        _save_load(df, base, name, load, partition_by, fmt)
+    else:
+        df.write.format(fmt).mode("overwrite").save(os.path.join(table_path(base, name), f"{LOAD}={load}"))
+
+
+def _save_load(df: DataFrame, base: str, name: str, load: str, partition_by: tuple[str, ...], fmt: str) -> None:
     (
-        _gathered(df, partition_by).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        _gathered(df, partition_by).withColumn(LOAD, F.lit(load))
         .write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partition_by)
+        .partitionBy(*partition_by, LOAD)
         .save(table_path(base, name))
     )
 

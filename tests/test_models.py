@@ -217,7 +217,7 @@ def test_append_batch_replaces_its_replay(spark, base):
     tables.append_batch(df, base, "t", 2)
     assert tables.read_table(spark, base, "t").count() == 6
     count, schema, newest = tables.inspect(tables.read_table(spark, base, "t"), "id", 2)
-    assert count == 6 and schema.names == ["id", "batch_id"] and [r["id"] for r in newest.collect()] == [2, 2]
+    assert count == 6 and schema.names == ["id", "load"] and [r["id"] for r in newest.collect()] == [2, 2]
 
 
 def test_lake_and_gold(spark, base):

@@ -112,6 +112,21 @@ def test_replayed_batch_leaves_one_copy_in_the_table(spark, tmp_path):
     assert message["key"] == "1" and '"to_state":"UNDERWAY"' in message["value"]
 
 
+def test_two_queries_and_a_batch_load_share_a_table(spark, tmp_path):
+    """Two checkpoints both start at batch 0; neither replaces the other's rows, nor those of a batch load."""
+    base = str(tmp_path / "lake")
+    for name in ("a", "b"):
+        write_chunks(spark, str(tmp_path / name), [(name, at(1), 33.6, -118.1, 1.0, 0, None, None, 0, 1)])
+        stream = located_stream(spark, str(tmp_path / name)).drop("zone_id", "zone_type")
+
+        def write(batch, batch_id):
+            tables.append_batch(batch.select("mmsi"), base, "t", batch_id, partition_by=())
+
+        sinks.start(stream, write, str(tmp_path / f"cp-{name}"), available_now=True).awaitTermination()
+    tables.write_load(spark.createDataFrame([("c",)], "mmsi string"), base, "t", "batch")
+    assert sorted(r["mmsi"] for r in tables.read_table(spark, base, "t").collect()) == ["a", "b", "c"]
+
+
 def test_deduplication_across_batches(spark, tmp_path):
     twin = ("v", at(1), 33.6, -118.1, 1.0, 0, None, None, 0, 1)
     write_chunks(spark, str(tmp_path / "in"), [twin], [(*twin[:9], 2)])
