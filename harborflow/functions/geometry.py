@@ -65,13 +65,19 @@ def bbox(ring: Column) -> Column:
 
 
 def contains(edge_array: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule; edges are half-open in y, so a point is never counted twice."""
+    """Even-odd rule over the edges of any number of rings; a point on an edge is outside."""
 
     def crosses(e: Column) -> Column:
         at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
         return F.when((e["y1"] > y) != (e["y2"] > y), x < at).otherwise(F.lit(False))
 
-    return F.aggregate(edge_array, F.lit(False), lambda acc, e: acc != crosses(e))
+    def carries(e: Column) -> Column:
+        level = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
+        within_x = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        return level & within_x & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+
+    inside = F.aggregate(edge_array, F.lit(False), lambda acc, e: acc != crosses(e))
+    return inside & ~F.exists(edge_array, carries)
 
 
 def _metres_per_degree(lat: Column) -> tuple[Column, Column]:

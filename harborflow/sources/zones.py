@@ -97,6 +97,12 @@ def berths_from_areas(areas: DataFrame) -> DataFrame:
     )
 
 
+def skipped_areas(areas: DataFrame) -> DataFrame:
+    """How many mapped areas `berths_from_areas` leaves out, by reason."""
+    reason = F.when(~not_excluded(F.col("name")), "excluded name").when(~G.is_area(F.col("ring")), "not a closed area")
+    return areas.select(reason.alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def largest_outer_rings(members: DataFrame) -> DataFrame:
     """(element_id, role, member_no, ring) -> the largest closed outer ring of each relation.
 

@@ -91,15 +91,14 @@ def test_small_zone_side_needs_no_shuffle_of_positions(world):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_points_on_edges_are_counted_once(spark):
-    """Half-open edges: of two squares sharing an edge exactly one owns it."""
+def test_points_on_edges_are_outside(spark):
+    """The boundary belongs to no zone; of two squares sharing an edge neither owns it."""
     left, right = SQUARE, pts((1, 0), (2, 0), (2, 1), (1, 1), (1, 0))
-    points = spark.createDataFrame([(0, 0, 1.0, 0.5), (0, 1, 0.5, 1.0)], "partition int, offset long, lon double, lat double")
+    points = spark.createDataFrame(
+        [(0, 0, 1.0, 0.5), (0, 1, 0.5, 1.0), (0, 2, 0.0, 0.5), (0, 3, 0.0, 0.0), (0, 4, 0.5, 0.5)], "partition int, offset long, lon double, lat double")
     index = spatial.zone_index(zones_df(spark, zone("left", left), zone("right", right)), 0.3)
     found = {(r["offset"], r["zone_id"]) for r in spatial.match_zones(points, index).collect()}
-    assert found == {(0, "right"), (1, None)}
-
-
+    assert found == {(0, None), (1, None), (2, None), (3, None), (4, "left")}
 def _clip_area(a, b, n=400):
     """Overlap area by sampling a fine lattice over both rings."""
     xs = [p[0] for p in a + b]

@@ -448,6 +448,16 @@ _SELECT = {
     "operator_tags": f"""
         select p_partkey, name, {_tag("name", "operator", "brand")} as operator from mapped
         where name is null or name not in ('Port of Los Angeles', 'Port of Long Beach', 'Terminal Island')""",
+    "mapped_berths": f"""
+        select 'osm-way-' || p_partkey as zone_id, 'berth' as zone_type, 'OSM' as authority,
+               'https://www.openstreetmap.org/way/' || p_partkey as source_ref, name,
+               {_tag("name", "operator", "brand")} as operator, operator as osm_operator_tag from mapped
+        where p_partkey % 4 <> 3 and (name is null or name not in ('Port of Los Angeles', 'Port of Long Beach', 'Terminal Island'))""",
+    "skipped_areas": """
+        select reason, count(*) as n from (
+            select case when name in ('Port of Los Angeles', 'Port of Long Beach', 'Terminal Island') then 'excluded name'
+                        when p_partkey % 4 = 3 then 'not a closed area' end as reason from mapped)
+        where reason is not null group by reason""",
     "attribution_report": f"""
         select count(*) as zones, sum(case when {_tag("name", "operator", "brand")} is null then 1 else 0 end)::bigint as unattributed
         from mapped""",
@@ -487,6 +497,18 @@ _SELECT = {
     "at_anchor_snapshot": "select * from snapshot",
     "ships_at_anchor": "select count(*) as ships_at_anchor from snapshot",
     "snapshot_export": "select * from snapshot",
+    "presented_snapshot": """
+        select mmsi as "MMSI", ship_name as "Ship", anchorage_name as "Anchorage", arrival_time as "Arrived",
+               minutes_at_anchor as "Minutes at anchor" from snapshot""",
+    "staged_state_changes": """
+        select mmsi, event_type, from_state, to_state, zone_id, derived_state, reported_status, transition_time from change""",
+    "staged_positions": """
+        select mmsi, event_time, event_date, round(lat, 6) as lat, round(lon, 6) as lon, round(sog, 6) as sog, nav_status_code,
+               zone_id, zone_type, zone_name, ingested_at from silver""",
+    "inspected_silver": """
+        select mmsi, event_time, "offset", (select count(*) from silver) as n from silver order by "offset" desc limit 10""",
+    "source_views": """
+        select zone_type, count(*) as n, count(distinct mmsi) as vessels from silver group by zone_type""",
     "asof_state": 'select mmsi, event_time, "offset", derived_state from located',
     "top_vessels": "select mmsi, count(*) as n from silver group by mmsi order by count(*) desc, mmsi limit 5",
     "trailing_window": f"""

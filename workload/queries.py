@@ -74,6 +74,28 @@ def silver_table(spark, sf):
     )
 
 
+@query
+def inspected_silver(spark, sf):
+    """Row count next to the newest rows, as a look at a table shows them."""
+    count, _, shown = tables.inspect(store(M.silver(spark, sf), "silver"), "offset", 10)
+    return shown.select("mmsi", "event_time", "offset", F.lit(count).alias("n"))
+
+
+@query
+def source_views(spark, sf):
+    """SQL over the lake's tables, registered as views."""
+    base = new_path(spark, "lake")
+    tables.write_load(M.silver(spark, sf), base, "positions_silver", "batch", partition_by=("event_date",))
+    tables.register_sources(spark, base, {"positions_silver": schemas.POSITIONS_SILVER})
+    return spark.sql("SELECT zone_type, COUNT(*) AS n, COUNT(DISTINCT mmsi) AS vessels FROM positions_silver GROUP BY zone_type")
+
+
+@query
+def staged_positions(spark, sf):
+    rounded = {c: _r(c) for c in ("lat", "lon", "sog")}
+    return models.staged_positions(M.silver(spark, sf)).withColumns(rounded)
+
+
 # --- zones ---------------------------------------------------------------------------
 
 
@@ -296,6 +318,25 @@ def operator_tags(spark, sf):
     return kept.select("p_partkey", "name", tag.alias("operator"))
 
 
+def _part_areas(spark, sf):
+    """Parts as mapped areas with a square; that of every fourth part is left open."""
+    x, y = (F.col("p_partkey") % 300).cast("double"), F.floor(F.col("p_partkey") / 300).cast("double")
+    corners = F.array(G.point(x, y), G.point(x + 0.5, y), G.point(x + 0.5, y + 0.5), G.point(x, y + 0.5))
+    ring = F.when(F.col("p_partkey") % 4 == 3, corners).otherwise(F.concat(corners, F.array(G.point(x, y))))
+    return _part_names(spark, sf).select(F.lit("way").alias("element_type"), F.col("p_partkey").alias("element_id"), "name", "operator", "brand", ring.alias("ring"))
+
+
+@query
+def mapped_berths(spark, sf):
+    berths = zone_sources.berths_from_areas(_part_areas(spark, sf))
+    return berths.select("zone_id", "zone_type", "authority", "source_ref", "name", "operator", "osm_operator_tag")
+
+
+@query
+def skipped_areas(spark, sf):
+    return zone_sources.skipped_areas(_part_areas(spark, sf))
+
+
 @query
 def attribution_report(spark, sf):
     tag = S.operator_tag([F.col("name"), F.col("operator"), F.col("brand")])
@@ -407,6 +448,16 @@ def at_anchor_snapshot(spark, sf):
     return models.at_anchor_now(M.dwell(spark, sf), M.dim_vessels(spark, sf), M.as_of())
 
 
+@query
+def presented_snapshot(spark, sf):
+    return models.presented(models.at_anchor_now(M.dwell(spark, sf), M.dim_vessels(spark, sf), M.as_of()))
+
+
+@query
+def staged_state_changes(spark, sf):
+    return models.staged_state_changes(M.changes(spark, sf))
+
+
 @query
 def ships_at_anchor(spark, sf):
     snapshot = models.at_anchor_now(M.dwell(spark, sf), M.dim_vessels(spark, sf), M.as_of())
