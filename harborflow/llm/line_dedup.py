@@ -7,9 +7,10 @@ A line is what stands between line feeds, from its first word to the end of its
    lines within TAU edits, the longer has one of the shorter's segments as a substring at one of few positions (both its
    distance from the start and from the end bound them). Keys hold length, segment number and hash of the bytes.
 2. Distinct lines with their first occurrence. Keys are packed into buckets and sorted there; keys of one line are left out.
-3. Candidates: lines of one key whose lengths and histograms allow TAU edits. Keys of more than `group` lines are split by what is left of the
-   histogram after up to TAU deletions, which two such lines must share. Groups that are large still hold near copies:
-   all are verified against their first line, and only those not yet near an earlier line against the others.
+3. Candidates: first, the lines of a key against the earliest of them; then, those not yet near an earlier line against all
+   earlier ones. Lengths and histograms must allow TAU edits, as a condition of the join, so pairs that fail are never rows.
+   Keys of more than `group` lines are split by parts of the histogram: TAU edits change at most 2 * TAU of its lanes, so
+   of 2 * TAU + 1 parts one is equal.
 4. Candidates are verified by a bit-parallel automaton over the 2 * TAU + 1 diagonals of the band.
 
 Edge cases: null or empty text has no lines; null doc_ids come last; repeated rows are separate documents of which the
@@ -28,18 +29,20 @@ from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
 from harborflow.llm.stages import Stages
+from harborflow.llm.tokens import ranges
 
 TAU = 2
 MIN_BYTES = 20
-GROUP = 32
+GROUP = 1024
 KEYS_PER_BUCKET = 500_000
 KEYS_PER_TASK = 1_000_000
 _U = np.uint64
+SKETCH = ("s1", "s2", "s3", "s4", "s5", "s6")  # histograms of bytes and of runs of three bytes
 LANES = 16
 _LANE = (wd.mix(np.arange(256, dtype=np.uint64)) % _U(LANES)).astype(np.int64)
 _WEIGHT = wd.mix(np.arange(LANES, dtype=np.uint64) + _U(99))
 
-SCANNED = "doc_id long, body long, lines array<struct<no:int,h1:long,h2:long,size:int,s1:long,s2:long>>, keys array<long>"
+SCANNED = "doc_id long, body long, lines array<struct<no:int,h1:long,h2:long,size:int,s1:long,s2:long,s3:long,s4:long,s5:long,s6:long>>, keys array<long>"
 
 
 # --- lines and keys -----------------------------------------------------------------------
@@ -59,14 +62,16 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def histograms(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Bytes of each line by lane, modulo 256."""
-    lanes = _LANE[data]
-    out = np.empty((len(begin), LANES), np.uint8)
-    for lane in range(LANES):
-        total = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(lanes == lane, out=total[1:])
-        out[:, lane] = (total[stop] - total[begin]).astype(np.uint8)
-    return out
+    """Of each line: its bytes by lane, then its runs of three bytes by lane (twice as many), modulo 256."""
+    size = stop - begin
+    own, at = np.repeat(np.arange(len(begin)), size), ranges(begin, size)
+    single = np.bincount(own * LANES + _LANE[data[at]], minlength=len(begin) * LANES)
+    inner = at < np.repeat(stop, size) - 2
+    own, at = own[inner], at[inner]
+    code = (data[at].astype(np.uint64) << _U(16)) | (data[at + 1].astype(np.uint64) << _U(8)) | data[at + 2]
+    runs = (wd.mix(code) % _U(2 * LANES)).astype(np.int64)
+    triple = np.bincount(own * 2 * LANES + runs, minlength=len(begin) * 2 * LANES)
+    return np.concatenate([single.reshape(-1, LANES), triple.reshape(-1, 2 * LANES)], axis=1).astype(np.uint8)
 
 
 def segment(size: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +115,9 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             entries = pa.StructArray.from_arrays(
                 [
                     pa.array(number.astype(np.int32)), pa.array(first.view(np.int64)), pa.array(swapped.view(np.int64)),
-                    pa.array((stop - begin).astype(np.int32)), pa.array(lanes[:, 0]), pa.array(lanes[:, 1]),
+                    pa.array((stop - begin).astype(np.int32)), *[pa.array(lanes[:, i]) for i in range(len(SKETCH))],
                 ],
-                ["no", "h1", "h2", "size", "s1", "s2"],
+                ["no", "h1", "h2", "size", *SKETCH],
             )
             long = stop - begin >= MIN_BYTES
             keys = join_keys(sums, begin[long], stop[long])
@@ -188,27 +193,16 @@ def meet(table: pa.Table) -> pa.Table:
 
 
 def split_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of large keys once for each histogram that up to TAU deletions leave."""
-    steps = [np.zeros(LANES, np.uint64)]
-    seen = {steps[0].tobytes()}
-    for _ in range(TAU):
-        for old in list(steps):
-            for lane in range(LANES):
-                new = old.copy()
-                new[lane] += _U(1)
-                if new.tobytes() not in seen:
-                    seen.add(new.tobytes())
-                    steps.append(new)
-    gone = np.stack(steps).astype(np.uint8)
+    """Rows of large keys once for each part of the histogram, with that part in the key."""
+    parts = 2 * TAU + 1
+    in_part = np.arange(LANES) % parts
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            lanes = np.stack([part.column(c).to_numpy() for c in ("s1", "s2")], axis=1).copy().view(np.uint8)
-            left = (lanes[:, None, :] - gone[None]).astype(np.uint64)
-            key = wd.mix((left * _WEIGHT).sum(axis=2, dtype=np.uint64) + wd.mix(part.column("key").to_numpy().view(np.uint64))[:, None])
-            own = np.repeat(np.arange(part.num_rows), len(gone))
-            rows = part.drop_columns(["key"]).take(pa.array(own))
-            yield rows.append_column("key", pa.array(key.reshape(-1).view(np.int64)))
+        lanes = np.stack([batch.column(c).to_numpy() for c in ("s1", "s2")], axis=1).copy().view(np.uint8).astype(np.uint64)
+        key = batch.column("key").to_numpy().view(np.uint64)
+        for part in range(parts):
+            own = (lanes[:, in_part == part] * _WEIGHT[in_part == part]).sum(axis=1, dtype=np.uint64)
+            new = wd.mix(own + wd.mix(key + _U(part + 1)))
+            yield batch.set_column(batch.schema.get_field_index("key"), "key", pa.array(new.view(np.int64)))
 
 
 # --- verification ---------------------------------------------------------------------------
@@ -282,15 +276,18 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("late").filter(pa.array(near))], ["late"])
 
 
-def _apart(x: str, y: str) -> Column:
-    """L1 distance of two histograms, lane by lane modulo 256."""
-    total = []
-    for s in ("s1", "s2"):
-        for lane in range(8):
-            left = F.shiftrightunsigned(F.col(f"{x}.{s}"), 8 * lane).bitwiseAND(F.lit(255))
-            right = F.shiftrightunsigned(F.col(f"{y}.{s}"), 8 * lane).bitwiseAND(F.lit(255))
-            total.append(F.least(F.abs(left - right), 256 - F.abs(left - right)))
-    return reduce(Column.__add__, total)
+def _allow(x: str, y: str) -> Column:
+    """Whether histograms allow TAU edits: an edit changes at most 2 bytes and 6 runs of three."""
+    def apart(names) -> Column:
+        total = []
+        for s in names:
+            for lane in range(8):
+                left = F.shiftrightunsigned(F.col(f"{x}.{s}"), 8 * lane).bitwiseAND(F.lit(255))
+                right = F.shiftrightunsigned(F.col(f"{y}.{s}"), 8 * lane).bitwiseAND(F.lit(255))
+                total.append(F.least(F.abs(left - right), 256 - F.abs(left - right)))
+        return reduce(Column.__add__, total)
+
+    return (apart(SKETCH[:2]) <= 2 * TAU) & (apart(SKETCH[2:]) <= 6 * TAU)
 
 
 # --- the join ---------------------------------------------------------------------------------
@@ -302,23 +299,35 @@ class Dedup:
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("body"))
 
-    def pairs(self, rows: DataFrame) -> DataFrame:
-        """(late, early) candidates of lines that share a key; rows: key, seeks, line, first, size, s1, s2."""
-        x, y = rows.filter(~F.col("seeks")).alias("x"), rows.filter("seeks").alias("y")
-        near = (F.col("y.size") - F.col("x.size")).between(0, TAU) & (F.col("x.line") != F.col("y.line")) & (_apart("x", "y") <= 2 * TAU)
-        late = F.when(F.col("x.first") > F.col("y.first"), F.col("x.line")).otherwise(F.col("y.line"))
-        early = F.when(F.col("x.first") > F.col("y.first"), F.col("y.line")).otherwise(F.col("x.line"))
-        return x.join(y, (F.col("x.key") == F.col("y.key")) & near).select(late.alias("late"), early.alias("early")).distinct()
-
-    def sized(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows of keys with at most `group` lines, and of larger ones."""
+    def stars(self, rows: DataFrame) -> DataFrame:
+        """(late, early): every line of a key with the key's earliest one; rows: key, seeks, line, first, size and the sketch."""
+        earliest = rows.groupBy("key").agg(F.min(F.struct("first", "line", "size", *SKETCH)).alias("p")).select("key", "p.*")
+        x, y = earliest.alias("x"), rows.alias("y")
+        near = F.abs(F.col("y.size") - F.col("x.size")) <= TAU
+        found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.line") != F.col("y.line")) & near & _allow("x", "y"))
+        return found.select(F.col("y.line").alias("late"), F.col("x.line").alias("early")).distinct()
+
+    def pairs(self, open_: DataFrame, rows: DataFrame) -> DataFrame:
+        """(late, early): lines that are still open with all earlier ones of their keys."""
+        x, y = open_.alias("x"), rows.alias("y")
+        longer = F.when(F.col("x.seeks"), F.col("x.size") - F.col("y.size")).otherwise(F.col("y.size") - F.col("x.size"))
+        near = (F.col("x.seeks") != F.col("y.seeks")) & longer.between(0, TAU) & (F.col("y.first") < F.col("x.first")) & (F.col("x.line") != F.col("y.line"))
+        found = x.join(y, (F.col("x.key") == F.col("y.key")) & near & _allow("x", "y"))
+        return found.select(F.col("x.line").alias("late"), F.col("y.line").alias("early")).distinct()
+
+    def split(self, rows: DataFrame) -> DataFrame:
+        """Rows with large keys split."""
         large = rows.groupBy("key").count().filter(F.col("count") > self.group).select("key")
         large = self.steps.put(large, "large")
-        return rows.join(large, "key", "left_anti"), rows.join(large, "key", "left_semi")
+        many = rows.join(large, "key", "left_semi").select(rows.columns)
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in many.schema)
+        return self.steps.put(rows.join(large, "key", "left_anti").select(rows.columns).unionByName(many.mapInArrow(split_groups, schema)), "split")
 
     def verify(self, pairs: DataFrame, distinct: DataFrame) -> DataFrame:
         """The late lines of pairs within TAU edits."""
         pairs = self.steps.put(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs.select("late")
         needed = pairs.select(F.explode(F.array("late", "early")).alias("line")).distinct().join(distinct, "line")
         homes = needed.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list("line").alias("wanted"))
         found = self.docs.join(homes, self.docs["doc_id"].eqNullSafe(homes["doc_id"])).select("text", "wanted")
@@ -335,8 +344,8 @@ class Dedup:
         scanned = steps.put(self.docs.mapInArrow(scan, SCANNED).withColumn("_row", F.monotonically_increasing_id()), "scan")
         each = scanned.select("doc_id", "_row", F.explode("lines").alias("l"))
         place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "l.no").alias("place")
-        each = each.select("l.h1", "l.h2", place, "l.size", "l.s1", "l.s2")
-        lines = each.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("size").alias("size"), F.max("s1").alias("s1"), F.max("s2").alias("s2"))
+        each = each.select("l.h1", "l.h2", place, "l.size", *[f"l.{s}" for s in SKETCH])
+        lines = each.groupBy("h1", "h2").agg(F.min("place").alias("first"), *[F.max(c).alias(c) for c in ("size", *SKETCH)])
         lines = steps.put(lines.withColumnRenamed("h1", "line"), "lines")
 
         total = scanned.agg(F.sum(F.greatest(F.size("keys"), F.lit(0)).cast("long"))).first()[0] or 0
@@ -347,17 +356,11 @@ class Dedup:
         kept = steps.put(scanned.drop("keys"), "occurrences")
         steps.drop(scanned)
 
-        few, many = self.sized(rows)
-        many = many.select("key", "seeks", "line", "first", "size", "s1", "s2")
-        split = many.mapInArrow(split_groups, many.drop("key").schema.simpleString()[7:-1] + ",key:bigint")
-        split = steps.put(split.select(rows.columns), "split")
-        some, rest = self.sized(split)
-        pivots = rest.groupBy("key").agg(F.min_by("line", "first").alias("early"))
-        stars = rest.select("key", F.col("line").alias("late")).join(pivots, "key").filter(F.col("late") != F.col("early")).select("late", "early").distinct()
-        late = self.verify(self.pairs(few).unionByName(self.pairs(some)).unionByName(stars).distinct(), lines)
-        open_ = rest.join(late.withColumnRenamed("late", "line"), "line", "left_anti").select("key", F.col("line").alias("late"), F.col("first").alias("_f"))
-        others = open_.join(rest.select("key", F.col("line").alias("early"), "first"), "key").filter(F.col("first") < F.col("_f"))
-        late = late.unionByName(self.verify(others.select("late", "early").distinct(), lines)).distinct()
+        late = self.verify(self.stars(rows), lines)
+        undone = rows.join(late.withColumnRenamed("late", "line"), "line", "left_anti")
+        rows = self.split(rows.join(undone.select("key").distinct(), "key", "left_semi").select(rows.columns))
+        undone = rows.join(late.withColumnRenamed("late", "line"), "line", "left_anti").select(rows.columns)
+        late = late.unionByName(self.verify(self.pairs(undone, rows), lines)).distinct()
         stays = lines.join(late.withColumnRenamed("late", "line"), "line", "left_anti")
         return kept, steps.put(stays.select("first._row", "first.no"), "stays")
 
