@@ -10,14 +10,22 @@ from harborflow.llm import line_dedup as ld
 SPACE = b" \t\n\r\x0b\x0c"
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+def distance(a, b, limit=ld.TAU):
+    """Edit distance as far as `limit`, else limit + 1: the table near its diagonal only."""
+    if abs(len(a) - len(b)) > limit:
+        return limit + 1
+    row = {j: j for j in range(min(limit, len(b)) + 1)}
+    for i in range(1, len(a) + 1):
+        new, x = {}, a[i - 1]
+        for j in range(max(0, i - limit), min(len(b), i + limit) + 1):
+            best = row.get(j, limit) + 1
+            if j:
+                best = min(best, new.get(j - 1, limit) + 1, row.get(j - 1, limit + 1) + (x != b[j - 1]))
+            new[j] = min(best, limit + 1)
+        if min(new.values()) > limit:
+            return limit + 1
         row = new
-    return row[-1]
+    return row[len(b)]
 
 
 def brute(rows):
