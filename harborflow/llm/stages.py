@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from harborflow.session import new_path
 
 
+# Rows of whole texts: smaller Arrow batches bound what a task holds outside the heap and in its Python worker.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 class Stages:
     """Tables of one operator run under the folder that `spark.checkpoint.dir` names."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label = spark, label
+        for key, value in ARROW_CONF.items():
+            spark.conf.set(key, value)
         self.paths: dict[int, str] = {}
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
