@@ -387,17 +387,33 @@ def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The columns of docs; texts hold the lines that stay, whole and in order. Documents without any are left out, and n_chars
-    is counted anew. Rows meet their lines by doc_id and a 64-bit hash of the text; of equal rows only the first keeps lines, so
-    one of them is enough.
+    is counted anew. Rows meet their lines by doc_id and a 64-bit hash of the text. Rows equal in both would all meet the lines that
+    the first of them keeps, so only the first in storage order is taken.
     """
     body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    kept, stays = Dedup(docs, group).run()
+    dedup = Dedup(docs, group)
+    kept, stays = dedup.run()
     lists = stays.groupBy("_row").agg(F.array_sort(F.collect_list("no")).alias("kept_lines"))
-    found = kept.select("doc_id", "body", "_row", F.size("lines").alias("n_lines")).join(lists, "_row").drop("_row")
-    found = found.withColumnRenamed("doc_id", "_doc").withColumnRenamed("body", "_body")
-    one = docs.withColumn("_body", body)
-    joined = one.join(found, one["doc_id"].eqNullSafe(found["_doc"]) & (one["_body"] == found["_body"])).drop("_doc", "_body")
-    joined = joined.select(*docs.columns, "kept_lines", "n_lines")
+    kept = kept.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "_row", F.size("lines").alias("n_lines"))
+    found = kept.join(lists, "_row").drop("_row").alias("f")
+    repeated = kept.groupBy("_doc", "_body").count().filter(F.col("count") > 1).select("_doc", "_body")
+    repeated = dedup.steps.put(repeated, "repeated").alias("r")
+
+    def met(one: DataFrame, lines: DataFrame) -> DataFrame:
+        one, lines = one.withColumn("_hash", body).alias("o"), lines.alias("l")
+        return one.join(lines, F.col("o.doc_id").eqNullSafe(F.col("l._doc")) & (F.col("o._hash") == F.col("l._body")))
+
+    def parts(rows: DataFrame) -> DataFrame:
+        return rows.select(F.struct(*[F.col(f"o.`{c}`") for c in docs.columns]).alias("o"), "l.*", *([c for c in ["_at"] if c in rows.columns]))
+
+    same = F.col("f._doc").eqNullSafe(F.col("r._doc")) & (F.col("f._body") == F.col("r._body"))
+    if repeated.isEmpty():
+        joined = parts(met(docs, found))
+    else:
+        many = parts(met(docs.withColumn("_at", F.monotonically_increasing_id()), found.join(repeated, same, "left_semi")))
+        first = many.groupBy("_doc", "_body").agg(*[F.min_by(c, "_at").alias(c) for c in ("o", "kept_lines", "n_lines")])
+        joined = parts(met(docs, found.join(repeated, same, "left_anti"))).unionByName(first)
+    joined = joined.select(*[F.col("o").getField(c).alias(c) for c in docs.columns], "kept_lines", "n_lines")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = joined.mapInArrow(rebuilt, schema)
     if "n_chars" in docs.columns:

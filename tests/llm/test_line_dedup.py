@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from harborflow.llm import line_dedup as ld
+from harborflow.llm.stages import Stages
 
 SPACE = b" \t\n\r\x0b\x0c"
 
@@ -98,6 +100,18 @@ def test_texts(spark):
     assert out == sorted([(1, rows[0][1], "a", len(rows[0][1])), (2, second, "b", len(second)), (None, "no id", "c", 5)], key=repr)
 
 
+def test_repeated_rows_through_two_stages(spark):
+    """Rows equal in doc_id and text, and copies without a doc_id, stay once; the next stage gets no copies either."""
+    text = "this line is long enough\nand so is this other one"
+    rows = [(1, text, "a")] * 5 + [(None, "a text without an id that comes twice", "b")] * 3 + [(None, text, "c"), (2, text, "c"), (3, "a line of its own", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    lined = Stages(spark, "test-repeats").put(corpus_pipeline.lines(spark, docs, ""), "lined")
+    want = sorted([(1, text, "a"), (None, "a text without an id that comes twice", "b"), (3, "a line of its own", "d")], key=repr)
+    assert sorted((tuple(r) for r in lined.collect()), key=repr) == want
+    single = corpus_pipeline.near_duplicates(spark, lined, "")
+    assert sorted((tuple(r) for r in single.collect()), key=repr) == want
+
+
 def test_automaton():
     r = random.Random(1)
     x, y = [], []
