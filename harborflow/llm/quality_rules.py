@@ -2,8 +2,8 @@
 
 Lines are normalised (words, A-Z lower-cased, one space) and hashed. For each host (the `source` column) and line, the
 documents of different content that hold it are counted; exact copies of a document count once. A line in at least
-`min_docs` of them and in at least `min_share` of the host's is removed from all documents but the one with the
-smallest doc_id. A document that keeps less than `min_left` of its words is rejected as depleted.
+`min_docs` of them, however large the host, is removed from all documents but the one with the smallest doc_id. Callers
+can ask for at least `min_share` of the host's contents as well; the default asks for none. A document that keeps less than `min_left` of its words is rejected as depleted.
 
 Edge cases: null or empty text has no words, so the base rules reject it; a null source is a host of its own; rows are
 told apart by position, so repeated rows and null doc_ids are judged each; an empty table gives an empty result; other
@@ -26,7 +26,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MIN_DOCS = 20
-MIN_SHARE = 0.002
+MIN_SHARE = 0.0
 MIN_LEFT = 0.4
 
 SYMBOL = np.zeros(256, bool)
@@ -133,10 +133,12 @@ def quality_rules(
 
     # Exact copies are one content: its smallest doc_id stands for it.
     contents = scanned.groupBy("_host", "content").agg(F.min_by("lines", "_row").alias("lines"), F.min("doc_id").alias("doc_id"))
-    hosts = scanned.groupBy("_host").agg(F.count_distinct("content").alias("_contents"))
     lines = contents.select("_host", "doc_id", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
     counts = lines.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("_docs"), F.min("doc_id").alias("_first"))
-    common = counts.filter(F.col("_docs") >= min_docs).join(hosts, "_host").filter(F.col("_docs") >= F.col("_contents") * F.lit(min_share))
+    common = counts.filter(F.col("_docs") >= min_docs)
+    if min_share > 0:
+        hosts = scanned.groupBy("_host").agg(F.count_distinct("content").alias("_contents"))
+        common = common.join(hosts, "_host").filter(F.col("_docs") >= F.col("_contents") * F.lit(min_share))
     common = common.select("_host", "line", "_first")
 
     held = scanned.select("_host", "_row", "doc_id", F.explode("lines").alias("l")).select("_host", "_row", "doc_id", "l.line", "l.words")

@@ -80,6 +80,17 @@ def test_against_plain_python(spark, min_docs, min_share):
     assert any(not r[-1] and not r[-2] for r in got)
 
 
+@pytest.mark.parametrize("others", [100, 12_000])
+def test_one_limit_for_every_host_size(spark, others):
+    """The same boilerplate line in 20 documents is common in a small and in a large host."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(25))
+    line = "all rights reserved by the owners of this very site"
+    docs = [(i, f"{line}\n{own(i)}", "h") for i in range(20)] + [(100 + i, own(100 + i), "h") for i in range(others)]
+    out = qr.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    removed = {r.doc_id: r.removed_words for r in out.filter("doc_id < 100").collect()}
+    assert removed == {i: 10 if i else 0 for i in range(20)}
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
