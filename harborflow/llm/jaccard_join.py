@@ -18,6 +18,9 @@ similar set has the same part in at least one of them. m leaves room for empty s
    others 1 (the part itself) or 2 (the part and its one-deletion neighbours), more than H in sum. Sets that have
    too few rare elements go into another round with a higher limit, until none is left.
 
+6. All links (`jaccard_links`): steps 3 and 4 leave out pairs already known to be connected. Linked sets are of one component, so
+   all pairs of classes of a component are compared, in pairs of blocks of bounded size; no link is left out.
+
 Verification compares the whole sets (of 64-bit element hashes) that are fetched for candidates only.
 
 Edge cases: null or empty text and text without words has the empty set and links with nothing; fewer words than a
@@ -42,6 +45,8 @@ from harborflow.llm.graph import components
 from harborflow.llm.stages import Stages
 
 HOT = 1024
+BLOCK = 128  # sets of a component that meet another block of it in one group
+BLOCK_ELEMENTS = 1_000_000
 LANES = 8  # 64-bit words of a parity bitmap
 KEYS_PER_BUCKET = 500_000
 KEYS_PER_TASK = 1_000_000
@@ -351,6 +356,31 @@ def linked(p: int, q: int):
     return run
 
 
+def block_links(p: int, q: int):
+    """Of two blocks of a component (or one with itself): the pairs of different sets that link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
+        sets = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
+        sizes = np.array([len(e) for e in sets], np.int64)
+        low = own == own.min()
+        left, right = np.flatnonzero(low), np.flatnonzero(low if table.column("i")[0] == table.column("j")[0] else ~low)
+        found = [np.zeros((2, 0), np.int64)]
+        if len(left) and len(right):
+            elements = np.concatenate([sets[i] for i in right])
+            begin = np.cumsum(sizes[right]) - sizes[right]
+            for x in left:
+                at = np.minimum(np.searchsorted(sets[x], elements), sizes[x] - 1)
+                common = np.add.reduceat((sets[x][at] == elements).astype(np.int64), begin)
+                either = sizes[x] + sizes[right] - common
+                b = ids[right[(common * q >= either * p) & (common < either) & (ids[right] != ids[x])]]
+                found.append(np.stack([np.minimum(b, ids[x]), np.maximum(b, ids[x])]))
+        found = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"a": found[0], "b": found[1]})
+
+    return run
+
+
 def rare(p: int, q: int, salt: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -467,11 +497,27 @@ class Join:
         several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("h")).filter(F.col("a") < F.col("h"))
         tied = nodes.join(several, "doc_id").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b"))
         labels = components(steps, links.unionByName(tied))
+        self.nodes, self.labels = nodes, labels
         named = nodes.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
         named = named.groupBy("doc_id").agg(F.min("component").alias("component"))
         out = result.join(named, "doc_id", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
+    def links(self, block: int) -> DataFrame:
+        """(a, b), a < b: all links between classes of different sets, named by their smallest doc_ids; after `run`."""
+        members = self.nodes.groupBy("node").agg(F.max("n").alias("n")).join(self.labels, "node")
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int")
+        many = members.groupBy("component").agg(F.count(F.lit(1)).alias("count"), blocks.alias("blocks")).filter(F.col("count") > 1)
+        members = members.join(many, "component").select(F.col("node").alias("doc_id"), "component", "blocks")
+        members = self.steps.put(members.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")), "blocks")
+        wanted = self.docs.join(members.select("doc_id"), "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), "doc_id long, elements binary")
+        sets = self.steps.put(wanted.filter(F.octet_length("elements") > 0), "link-sets")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        each = members.select("doc_id", "component", "own", other).join(sets, "doc_id")
+        each = each.select("doc_id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "elements")
+        found = each.groupBy("component", "i", "j").applyInArrow(block_links(self.p, self.q), "a long, b long")
+        return self.steps.put(found.distinct(), "all-links")
+
     def round(self, rest: DataFrame, facts: DataFrame, labels: DataFrame, salt: int, hot: int) -> tuple[DataFrame, DataFrame]:
         """Links among `rest` by their rare elements; returns the sets left over, and the links."""
         steps = self.steps
@@ -507,3 +553,17 @@ class Join:
 def jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5), lower: bool = True, hot: int = HOT) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included)."""
     return Join(docs, words, share, lower, hot).run()
+
+
+def jaccard_links(
+    docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5), lower: bool = True, hot: int = HOT, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of `jaccard_join` with n_links, and all links (a, b) between different sets, each named by the smallest doc_id
+    that has it, a < b. n_links is how many other sets a document's own links with; exact copies count once."""
+    join = Join(docs, words, share, lower, hot)
+    out = join.run()
+    links = join.links(block)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = join.nodes.select("doc_id", F.col("node").alias("a")).distinct().join(both, "a")
+    counts = own.select("doc_id", "b").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
+    return out.join(counts, "doc_id", "left").fillna(0, ["n_links"]), links

@@ -92,7 +92,7 @@ def op10_retrieval_packing(spark, sf):
 
 @query
 def op1_jaccard_join(spark, sf):
-    return jaccard_join.jaccard_join(documents(spark, sf), words=3, share=(9, 10))
+    return jaccard_join.jaccard_links(documents(spark, sf), words=3, share=(9, 10))[0]
 
 
 @query

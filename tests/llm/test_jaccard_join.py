@@ -78,6 +78,25 @@ def test_odd_rows(spark):
     assert joined(spark, rows, 3, 9, 10) == brute(rows, 3, 9, 10)
 
 
+@pytest.mark.parametrize("block", [jj.BLOCK, 4])
+def test_all_links(spark, block):
+    """Every link between different sets, those inside a group that a star has connected too, and how many each document has."""
+    rows = near_copies(4, 200, 3, 25, 3) + [(i + 1000, t) for i, t in near_copies(6, 40, 8, 3, 2)]
+    rows += [(2000, rows[0][1]), (None, rows[0][1]), (2001, None), (2002, "alone")]
+    node = {}
+    for doc, text in rows:
+        if doc is not None and (own := shingles(text, 3)):
+            node[own] = min(node.get(own, doc), doc)
+    sets = list(node)
+    want = {tuple(sorted((node[x], node[y]))) for i, x in enumerate(sets) for y in sets[:i] if 10 * len(x & y) >= 9 * len(x | y)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out, links = jj.jaccard_links(docs, 3, (9, 10), block=block)
+    assert sorted(map(tuple, links.select("a", "b").collect())) == sorted(want) and len(want) > 300
+    counts = {r.doc_id: r.n_links for r in out.collect()}
+    nodes = {d: node.get(shingles(t, 3)) if d is not None else None for d, t in rows}
+    assert counts == {d: sum(n in pair for pair in want) for d, n in nodes.items()}
+
+
 def test_empty_table(spark):
     assert joined(spark, [], 3, 9, 10) == []
 
