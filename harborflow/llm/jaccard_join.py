@@ -14,8 +14,8 @@ similar set has the same part in at least one of them. m leaves room for empty s
    Before any two sets are fetched, their parity bitmaps are compared, of which the bits that differ are at most as many as the
    elements that differ. This is a condition of the join itself, so pairs that fail it are never rows.
 5. Keys of more than `hot` unconnected groups, and sets with too few segments: the parts are taken from elements that at most
-   `hot` groups of these sets have, so no key can be hot again. Cost decides for each set: its empty segments get 0,
-   others 1 (the part itself) or 2 (the part and its one-deletion neighbours), more than H in sum. Sets that have
+   `hot` groups of these sets have, so no key can be hot again. The allocation is fixed: empty segments get 0,
+   those of one element 1 (the part itself), others 2 (the part and its one-deletion neighbours), more than H in sum. Sets that have
    too few rare elements go into another round with a higher limit, until none is left.
 
 6. All links (`jaccard_links`): steps 3 and 4 leave out pairs already known to be connected. Linked sets are of one component, so
