@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
+from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +123,31 @@ def op4_secret_scan(spark, sf):
     """Findings without their text: place, length, digest, score and verdict."""
     found = secret_scan.secret_scan(documents(spark, sf))
     return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
+@query
+def op12_url_filter(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    return url_filter.url_filter(pages, url_filter.production_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op12_url_filter"] = r"""
+with cut as (
+  select page_id, case when strpos(url, '://') > 0 then substring(url, strpos(url, '://') + 3) else '' end as rest from pages
+), raw as (
+  select page_id, regexp_extract(rest, '^[^/?#]*') as raw_host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut
+), u as (
+  select page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from raw
+), d as (
+  select distinct host, path from u
+), rules(rule_host, rule_path, verdict) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), f as (
+  select host, path, max(struct_pack(n := length(rule_host || rule_path), h := length(rule_host), v := verdict, r := rule_host || rule_path)) as best
+  from d join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+  group by host, path
+)
+select page_id, u.host, u.path, best.r as rule, coalesce(best.v, 'allow') as verdict
+from u left join f on u.host = f.host and u.path = f.path
+"""
