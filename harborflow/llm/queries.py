@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter
+from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +151,16 @@ with cut as (
 select page_id, u.host, u.path, best.r as rule, coalesce(best.v, 'allow') as verdict
 from u left join f on u.host = f.host and u.path = f.path
 """
+
+
+@query
+def op13_embedding_whitening(spark, sf):
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    rows = whitening.apply(vectors, model)
+    n, shares = (model.n, (model.values / model.trace).tolist()) if model and len(model.values) else (0, [])
+    explained = F.array(*[F.lit(float(v)) for v in shares]).cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("_at", "whitened")).select(
+        "vec_id", (F.col("_at") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("_at")).alias("explained"), F.lit(whitening.identity_error(rows)).cast("double").alias("identity_error"),
+    )
