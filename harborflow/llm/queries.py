@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborflow.llm import exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter, whitening
+from harborflow.llm import exact_dedup, jaccard_join, language_id, lexical_search, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,39 @@ def op13_embedding_whitening(spark, sf):
         "vec_id", (F.col("_at") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened",
         F.get(explained, F.col("_at")).alias("explained"), F.lit(whitening.identity_error(rows)).cast("double").alias("identity_error"),
     )
+
+
+@query
+def op11_ranked_search(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return lexical_search.search(lexical_search.build_index(docs), docs, spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+ORACLE["op11_ranked_search"] = r"""
+with d as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), h as (
+  select row, doc_id, len(terms) as n, terms from d where len(terms) > 0
+), s as (
+  select count(*) as docs, cast(sum(n) as bigint) as all_terms from h
+), q as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+), c as (
+  select item_id, term, count(*) as repeats from q group by item_id, term
+), o as (
+  select row, doc_id, n, unnest(terms) as term from h
+), t as (
+  select row, doc_id, n, term, count(*) as tf from o where term in (select term from c) group by row, doc_id, n, term
+), w as (
+  select term, cast(floor(1000 * ln(cast(2 * max(docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w from t, s group by term
+), r as (
+  select item_id, doc_id, row, cast(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // all_terms)))) as bigint) as score
+  from c join t using (term) join w using (term), s group by item_id, doc_id, row
+), k as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from r where score > 0
+)
+select item_id, rank, doc_id, score from k where rank <= 10
+"""

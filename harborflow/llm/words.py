@@ -69,13 +69,16 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         begin = end
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the first word of every text (one more entry closes the last)."""
+def spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the first word of every text (one more entry closes the last).
+
+    `between` says of each byte value whether it stands between words.
+    """
     n = len(data)
     if n == 0:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~between[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     before = np.zeros(n, bool)
