@@ -1,6 +1,7 @@
-"""Planar geometry over `ring` columns (ARRAY<STRUCT<x, y>>, first point repeated last).
+"""Planar geometry over `ring` columns (ARRAY<STRUCT<x, y>>, first point repeated last) and `shape` columns.
 
-Rings are small per-row values; every expression below is evaluated row by row in the JVM.
+A shape is an array of polygons, a polygon an array of rings: its outer ring, then its holes. What lies inside follows from
+all rings together by the even-odd rule. Every expression below is evaluated row by row in the JVM.
 """
 
 from __future__ import annotations
@@ -64,20 +65,72 @@ def bbox(ring: Column) -> Column:
     )
 
 
-def contains(edge_array: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over the edges of any number of rings; a point on an edge is outside."""
+def shape_of(ring: Column) -> Column:
+    """The shape of a single ring without holes."""
+    return F.when(ring.isNotNull(), F.array(F.array(ring)))
 
-    def crosses(e: Column) -> Column:
-        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        return F.when((e["y1"] > y) != (e["y2"] > y), x < at).otherwise(F.lit(False))
 
-    def carries(e: Column) -> Column:
-        level = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
-        within_x = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        return level & within_x & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+def shape_edges(shape: Column) -> Column:
+    return F.flatten(F.transform(F.flatten(shape), edges))
 
-    inside = F.aggregate(edge_array, F.lit(False), lambda acc, e: acc != crosses(e))
-    return inside & ~F.exists(edge_array, carries)
+
+def shape_area(shape: Column) -> Column:
+    """Area of all polygons, their holes taken off."""
+
+    def polygon(rings: Column) -> Column:
+        return _sum(F.transform(rings, lambda ring, i: F.when(i == 0, ring_area(ring)).otherwise(-ring_area(ring))))
+
+    return _sum(F.transform(shape, polygon))
+
+
+def shape_bbox(shape: Column) -> Column:
+    return bbox(F.flatten(F.flatten(shape)))
+
+
+def _right_of(e: Column, x: Column, y: Column) -> Column:
+    """For an edge that reaches the height `y`: whether it passes to the right of the point."""
+    return x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+
+
+def _reaches(e: Column, y: Column) -> Column:
+    return (e["y1"] > y) != (e["y2"] > y)
+
+
+def _carries(e: Column, x: Column, y: Column) -> Column:
+    """Whether the point lies on the edge."""
+    level = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
+    within_x = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+    return level & within_x & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+
+
+def inside(edge_array: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule over the edges of any number of rings; of an edge's two sides the right and upper one counts for points on it."""
+    return F.aggregate(
+        edge_array, F.lit(False),
+        lambda acc, e: acc != F.when(_reaches(e, y), _right_of(e, x, y)).otherwise(F.lit(False)),
+    )
+
+
+def _turns(e: Column, from_x: Column, from_y: Column, x: Column, y: Column) -> Column:
+    """Whether an edge is crossed on the way up or down from one point to the height of another, and then across to it."""
+    at = (e["y2"] - e["y1"]) * (from_x - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+    upright = F.when((e["x1"] > from_x) != (e["x2"] > from_x), (from_y < at) != (y < at)).otherwise(F.lit(False))
+    across = F.when(_reaches(e, y), _right_of(e, from_x, y) != _right_of(e, x, y)).otherwise(F.lit(False))
+    return upright != across
+
+
+def inside_from(edge_array: Column, from_inside: Column, from_x: Column, from_y: Column, x: Column, y: Column) -> Column:
+    """`inside` by what is known of another point and the edges that may lie between the two."""
+    return F.aggregate(edge_array, from_inside, lambda acc, e: acc != _turns(e, from_x, from_y, x, y))
+
+
+def contains_from(edge_array: Column, from_inside: Column, from_x: Column, from_y: Column, x: Column, y: Column) -> Column:
+    """As `inside_from`, but a point on an edge is outside. One walk over the edges: 2 stands for a point on one."""
+    found = F.aggregate(
+        edge_array, from_inside.cast("int"),
+        lambda acc, e: F.when((acc == 2) | _carries(e, x, y), 2).when(_turns(e, from_x, from_y, x, y), 1 - acc).otherwise(acc),
+    )
+    return found == 1
 
 
 def _metres_per_degree(lat: Column) -> tuple[Column, Column]:
@@ -156,6 +209,12 @@ def is_area(ring: Column) -> Column:
     return F.coalesce((F.size(ring) >= 4) & closed & (ring_area(ring) > 0) & is_simple(ring), F.lit(False))
 
 
+def is_shape(shape: Column) -> Column:
+    """At least one polygon, each with an outer ring, and every ring a usable polygon by itself."""
+    whole = F.forall(shape, lambda rings: (F.size(rings) > 0) & F.forall(rings, is_area))
+    return F.coalesce((F.size(shape) > 0) & whole, F.lit(False))
+
+
 def _crossing_xs(edge_array: Column, y: Column) -> Column:
     hits = F.filter(edge_array, lambda e: (e["y1"] > y) != (e["y2"] > y))
     return F.sort_array(
@@ -201,8 +260,8 @@ def _shared_width(ea: Column, eb: Column, y: Column) -> Column:
     )
 
 
-def overlap_area(ring_a: Column, ring_b: Column) -> Column:
-    """Area common to two simple polygons.
+def overlap_area(shape_a: Column, shape_b: Column) -> Column:
+    """Area common to two shapes whose rings neither cross themselves nor each other.
 
     Between neighbouring heights at which anything happens (a vertex, or an edge of one cutting an
     edge of the other) the shared width changes linearly, so the height at the middle of each slab
@@ -230,6 +289,7 @@ def overlap_area(ring_a: Column, ring_b: Column) -> Column:
         )
 
     both = F.struct(
-        edges(ring_a).alias("a"), edges(ring_b).alias("b"), bbox(ring_a).alias("box_a"), bbox(ring_b).alias("box_b")
+        shape_edges(shape_a).alias("a"), shape_edges(shape_b).alias("b"),
+        shape_bbox(shape_a).alias("box_a"), shape_bbox(shape_b).alias("box_b"),
     )
     return _bind(both, area)

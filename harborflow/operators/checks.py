@@ -81,15 +81,15 @@ def freshness(
 
 
 def zone_checks(zones: DataFrame, table: str = "zones") -> DataFrame:
-    """Required properties, enumerations, duplicate ids, usable rings."""
+    """Required properties, enumerations, duplicate ids, usable shapes."""
     present = zones.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in K.ZONE_REQUIRED])
-    invalid = zones.agg(F.count_if(~G.is_area(F.col("ring"))).alias("failures"))
+    invalid = zones.agg(F.count_if(~G.is_shape(F.col("shape"))).alias("failures"))
     return run_checks([
         not_null(present, table, K.ZONE_REQUIRED),
         accepted_values(zones, table, "zone_type", K.ZONE_TYPES),
         accepted_values(zones, table, "authority", K.ZONE_AUTHORITIES),
         unique(zones, table, "zone_id"),
-        _result(invalid, "valid_ring", table, F.lit("ring"), "error"),
+        _result(invalid, "valid_shape", table, F.lit("shape"), "error"),
     ])
 
 

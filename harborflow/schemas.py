@@ -78,12 +78,17 @@ SHIP_STATIC = _struct(
 
 POINT = _struct(x=_D, y=_D)
 RING = T.ArrayType(POINT)
-ZONES = _struct(zone_id=_S, zone_type=_S, authority=_S, source_ref=_S, name=_S, ring=RING)
+# Polygons, each an outer ring and its holes.
+SHAPE = T.ArrayType(T.ArrayType(RING))
+ZONES = _struct(zone_id=_S, zone_type=_S, authority=_S, source_ref=_S, name=_S, shape=SHAPE)
 
+# How deep coordinates are nested depends on the geometry's type, so they are read as text first.
+GEOJSON_POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(_D)))
+GEOJSON_MULTI_POLYGON = T.ArrayType(GEOJSON_POLYGON)
 GEOJSON_FEATURE = _struct(
     type=_S,
     properties=_struct(zone_id=_S, zone_type=_S, authority=_S, source_ref=_S, name=_S),
-    geometry=_struct(type=_S, coordinates=T.ArrayType(T.ArrayType(T.ArrayType(_D)))),
+    geometry=_struct(type=_S, coordinates=_S),
 )
 GEOJSON_COLLECTION = _struct(type=_S, features=T.ArrayType(GEOJSON_FEATURE))
 

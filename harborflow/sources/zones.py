@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborflow import constants as K
@@ -17,9 +17,16 @@ from harborflow.operators.ordered import number_rows
 
 def _zone_columns(feature: str) -> list:
     properties = [F.col(f"{feature}.properties.{c}").alias(c) for c in schemas.ZONES.names[:-1]]
-    outer = F.get(F.col(f"{feature}.geometry.coordinates"), F.lit(0))
-    ring = F.transform(outer, lambda p: G.point(F.get(p, F.lit(0)), F.get(p, F.lit(1))))
-    return [*properties, ring.alias("ring")]
+    kind, text = F.col(f"{feature}.geometry.type"), F.col(f"{feature}.geometry.coordinates")
+    polygons = F.when(kind == "MultiPolygon", F.from_json(text, schemas.GEOJSON_MULTI_POLYGON)).when(
+        kind == "Polygon", F.array(F.from_json(text, schemas.GEOJSON_POLYGON))
+    )
+    return [*properties, _nested(polygons, lambda p: G.point(F.get(p, F.lit(0)), F.get(p, F.lit(1)))).alias("shape")]
+
+
+def _nested(shape, point) -> Column:
+    """Every point of a shape turned by `point`."""
+    return F.transform(shape, lambda rings: F.transform(rings, lambda ring: F.transform(ring, point)))
 
 
 def read_zones(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
@@ -36,14 +43,19 @@ def read_zones(spark: SparkSession, path: str, *, lines: bool = False) -> DataFr
 
 
 def write_zones(zones: DataFrame, path: str) -> None:
-    """One GeoJSON feature per line."""
-    coordinates = F.array(F.transform("ring", lambda p: F.array(p["x"], p["y"])))
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*schemas.ZONES.names[:-1]).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"),
-    )
-    zones.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+    """One GeoJSON feature per line; a shape of one polygon is a Polygon, any other a MultiPolygon."""
+    polygons = _nested(F.col("shape"), lambda p: F.array(p["x"], p["y"]))
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        return F.to_json(F.struct(
+            F.lit("Feature").alias("type"),
+            F.struct(*schemas.ZONES.names[:-1]).alias("properties"),
+            F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"),
+        ))
+
+    single = feature("Polygon", F.get(polygons, F.lit(0)))
+    text = F.when(F.size("shape") == 1, single).otherwise(feature("MultiPolygon", polygons))
+    zones.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def merge_zones(parts: Sequence[DataFrame]) -> DataFrame:
@@ -91,7 +103,7 @@ def berths_from_areas(areas: DataFrame) -> DataFrame:
         F.concat(F.lit("osm-"), F.replace(element, F.lit("/"), F.lit("-"))).alias("zone_id"),
         F.lit("berth").alias("zone_type"), F.lit("OSM").alias("authority"),
         F.concat(F.lit("https://www.openstreetmap.org/"), element).alias("source_ref"),
-        "name", "ring",
+        "name", G.shape_of(F.col("ring")).alias("shape"),
         operator_tag([F.col("name"), F.col("operator"), F.col("brand")]).alias("operator"),
         F.col("operator").alias("osm_operator_tag"),
     )
@@ -139,7 +151,7 @@ def breakwaters_from_segments(segments: DataFrame, source_ref: str) -> DataFrame
 
 
 def _as_zones(df: DataFrame, zone_type: str, authority: str) -> DataFrame:
-    typed = df.withColumns({"zone_type": F.lit(zone_type), "authority": F.lit(authority)})
+    typed = df.withColumns({"zone_type": F.lit(zone_type), "authority": F.lit(authority), "shape": G.shape_of(F.col("ring"))})
     return typed.select(*schemas.ZONES.names)
 
 

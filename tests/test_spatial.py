@@ -21,7 +21,7 @@ SQUARE = pts((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
 
 
 def zone(zone_id, ring, kind="anchorage", authority="CFR", name=None):
-    return (zone_id, kind, authority, "ref", name or zone_id, ring)
+    return (zone_id, kind, authority, "ref", name or zone_id, [[ring]])
 
 
 def zones_df(spark, *rows):
@@ -67,26 +67,26 @@ def shoelace(ring):
 @pytest.mark.parametrize("limit", [10**9, 0])
 def test_matches_against_brute_force(world, limit):
     zones, points, df, zdf = world
-    index = spatial.zone_index(zdf, 0.17, max_broadcast_edges=limit)
+    index = spatial.zone_index(zdf, max_broadcast_edges=limit)
     assert index.small == (limit > 0)
     got = {(r["offset"], r["zone_id"]) for r in spatial.match_zones(df, index).collect()}
     want = set()
     for _, i, _, x, y in points:
-        hits = {z[0] for z in zones if x is not None and inside(z[5], x, y)}
+        hits = {z[0] for z in zones if x is not None and inside(z[5][0][0], x, y)}
         want |= {(i, h) for h in hits} or {(i, None)}
     assert got == want
 
     order = {"berth": 0, "anchorage": 1, "harbor": 2, "channel": 3}
     best = {r["offset"]: r["zone_id"] for r in spatial.best_zone(df, index).collect()}
     for _, i, _, x, y in points:
-        hits = [(order[z[1]], shoelace(z[5]), z[0]) for z in zones if x is not None and inside(z[5], x, y)]
+        hits = [(order[z[1]], shoelace(z[5][0][0]), z[0]) for z in zones if x is not None and inside(z[5][0][0], x, y)]
         assert best[i] == (min(hits)[2] if hits else None)
     assert len(best) == len(points)
 
 
 def test_small_zone_side_needs_no_shuffle_of_positions(world):
     _, _, df, zdf = world
-    plan = spatial.best_zone(df, spatial.zone_index(zdf, 0.17))._jdf.queryExecution().executedPlan().toString()
+    plan = spatial.best_zone(df, spatial.zone_index(zdf))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
@@ -96,7 +96,7 @@ def test_points_on_edges_are_outside(spark):
     left, right = SQUARE, pts((1, 0), (2, 0), (2, 1), (1, 1), (1, 0))
     points = spark.createDataFrame(
         [(0, 0, 1.0, 0.5), (0, 1, 0.5, 1.0), (0, 2, 0.0, 0.5), (0, 3, 0.0, 0.0), (0, 4, 0.5, 0.5)], "partition int, offset long, lon double, lat double")
-    index = spatial.zone_index(zones_df(spark, zone("left", left), zone("right", right)), 0.3)
+    index = spatial.zone_index(zones_df(spark, zone("left", left), zone("right", right)))
     found = {(r["offset"], r["zone_id"]) for r in spatial.match_zones(points, index).collect()}
     assert found == {(0, None), (1, None), (2, None), (3, None), (4, "left")}
 def _clip_area(a, b, n=400):
@@ -126,7 +126,7 @@ def test_overlap_area_exact_and_sampled(spark):
         cases.append((a, b, None))
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)],
                                "id int, a array<struct<x double, y double>>, b array<struct<x double, y double>>")
-    got = df.select("id", G.overlap_area(F.col("a"), F.col("b")).alias("v")).collect()
+    got = df.select("id", G.overlap_area(G.shape_of(F.col("a")), G.shape_of(F.col("b"))).alias("v")).collect()
     for r in got:
         a, b, want = cases[r["id"]]
         assert r["v"] == (pytest.approx(want, abs=1e-9) if want is not None else pytest.approx(_clip_area(a, b), rel=0.02))
@@ -143,15 +143,19 @@ def test_overlap_report(spark, world):
     allowed = spark.createDataFrame([("a-inner", "a")], "zone_a string, zone_b string")
     found = {
         (r["zone_a"], r["zone_b"]): (r["severity"], round(r["overlap_area"], 9))
-        for r in spatial.zone_overlaps(zones_df(spark, *rows), allowed, 0.25).collect()
+        for r in spatial.zone_overlaps(zones_df(spark, *rows), allowed).collect()
     }
     assert found == {
         ("a", "b"): ("warning", 0.1), ("a", "c"): ("error", 0.025), ("b", "c"): ("warning", 0.525),
     }
-    pairs = {(r["zone_a"], r["zone_b"]) for r in spatial.zone_overlaps(zones_df(spark, *zones), None, 0.2, 1e-4).collect()}
+    pairs = {(r["zone_a"], r["zone_b"]) for r in spatial.zone_overlaps(zones_df(spark, *zones), None, 1e-4).collect()}
+    # Rings that cut through themselves take no part.
+    knotted = {r["zone_id"] for r in spatial.invalid_zones(zones_df(spark, *zones)).collect()}
+    usable = [z for z in zones if z[0] not in knotted]
     brute = {
-        (a[0], b[0]) for a, b in combinations(zones, 2) if _clip_area(a[5], b[5], 120) > 2e-3
+        (a[0], b[0]) for a, b in combinations(usable, 2) if _clip_area(a[5][0][0], b[5][0][0], 120) > 2e-3
     }
+    assert len(brute) > 5 and not knotted & {z for pair in pairs for z in pair}
     assert brute <= pairs
 
 
@@ -185,8 +189,9 @@ def test_zone_building(spark):
         "zone_id string, name string, source_ref string, seq int, lat_text string, lon_text string",
     )
     built = Z.anchorages_from_waypoints(way).first()
-    assert len(built["ring"]) == 4 and built["ring"][0] == built["ring"][3] and built["zone_type"] == "anchorage"
-    assert built["ring"][1]["x"] == pytest.approx(-118.2)
+    ((ring,),) = built["shape"]
+    assert len(ring) == 4 and ring[0] == ring[3] and built["zone_type"] == "anchorage"
+    assert ring[1]["x"] == pytest.approx(-118.2)
 
     areas = spark.createDataFrame(
         [("way", 1, "Pier 400", None, None, SQUARE), ("way", 2, "Terminal Island", None, None, SQUARE),
@@ -239,20 +244,20 @@ def test_geojson_both_forms(spark, tmp_path):
     path.write_text(json.dumps({"type": "FeatureCollection", "features": [feature, feature]}, indent=2))
     read = Z.read_zones(spark, str(path))
     assert read.columns == schemas.ZONES.names and read.count() == 2
-    assert read.first()["name"] is None and [tuple(p) for p in read.first()["ring"]] == SQUARE
+    assert read.first()["name"] is None and [[[tuple(p) for p in ring] for ring in rings] for rings in read.first()["shape"]] == [[SQUARE]]
     Z.write_zones(read, str(tmp_path / "lines"))
     assert Z.read_zones(spark, str(tmp_path / "lines"), lines=True).exceptAll(read).count() == 0
 
 
 def test_zone_checks_report_each_fault(spark):
     zones = zones_df(
-        spark, zone("a", SQUARE), zone("a", SQUARE, "pier"), ("b", "berth", "OSM", "", "b", SQUARE[:-1]),
+        spark, zone("a", SQUARE), zone("a", SQUARE, "pier"), ("b", "berth", "OSM", "", "b", [[SQUARE[:-1]]]),
         zone("c", SQUARE, authority="ME"),
     )
     faults = {(r["check"], r["column"]): r["failures"] for r in zone_checks(zones).collect() if r["failures"]}
     assert faults == {
         ("unique", "zone_id"): 1, ("accepted_values", "zone_type"): 1, ("accepted_values", "authority"): 1,
-        ("not_null", "source_ref"): 1, ("valid_ring", "ring"): 1,
+        ("not_null", "source_ref"): 1, ("valid_shape", "shape"): 1,
     }
 
 
@@ -263,5 +268,114 @@ def test_regulated_anchorages_overlap_only_where_allowed(spark):
     zones = regulated_anchorages(spark)
     assert zones.count() == 13 and spatial.invalid_zones(zones).count() == 0
     allowed = spark.createDataFrame(ALLOWED_OVERLAPS, "zone_a string, zone_b string")
-    assert spatial.zone_overlaps(zones, allowed, 0.02, 1e-10).collect() == []
-    assert spatial.zone_overlaps(zones, None, 0.02, 1e-10).count() == len(ALLOWED_OVERLAPS)
+    assert spatial.zone_overlaps(zones, allowed, 1e-10).collect() == []
+    assert spatial.zone_overlaps(zones, None, 1e-10).count() == len(ALLOWED_OVERLAPS)
+
+
+def star(cx, cy, r, n, k=0.45):
+    """A jagged ring with n tips."""
+    turns = [(r if i % 2 == 0 else k * r, math.pi * i / n) for i in range(2 * n)]
+    ring = [(cx + q * math.cos(a), cy + q * math.sin(a)) for q, a in turns]
+    return pts(*ring, ring[0])
+
+
+def box(x0, y0, x1, y1):
+    return pts((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+
+
+def in_shape(shape, x, y):
+    return sum(inside(ring, x, y) for rings in shape for ring in rings) % 2 == 1
+
+
+SHAPES = {
+    "holed": [[box(0, 0, 10, 10), box(2, 2, 4, 8), star(7, 5, 2, 7)]],
+    "parts": [[box(-5, -5, -1, -1), box(-4, -4, -2, -2)], [box(-3.5, -3.5, -2.5, -2.5)], [box(20, 20, 20.001, 20.001)]],
+    "jagged": [[star(3, 3, 40, 300)]],
+    "wide": [[box(-60, -30, 60, 30), box(-16, -16, 16, 16)]],
+    "on cell borders": [[box(0.25, 0.25, 0.75, 1), box(0.5, 0.5, 0.625, 0.75)]],
+}
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_holes_and_parts_against_brute_force(spark, limit):
+    rng = np.random.default_rng(11)
+    rows = [(name, "anchorage", "CFR", "ref", name, shape) for name, shape in SHAPES.items()]
+    spots = [*map(tuple, rng.uniform(-70, 70, (300, 2))), *map(tuple, rng.uniform(-6, 11, (500, 2))), *map(tuple, rng.uniform(0, 1, (200, 2)))]
+    # Corners, edges, and cell borders through the middle of things.
+    spots += [(0.25, 0.5), (0.5, 0.5), (0.5, 0.6), (0.75, 1.0), (0.25, 0.25), (0.5, 0.9), (0.7, 0.75), (16.0, 0.0), (-16.0, 4.0), (0.0, 0.0), (4.0, 5.0), (20.0005, 20.0005)]
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(spots)], "offset long, lon double, lat double")
+    index = spatial.zone_index(zones_df(spark, *rows), max_broadcast_edges=limit)
+    got = {(r["offset"], r["zone_id"]) for r in spatial.match_zones(points, index).collect()}
+    want = set()
+    for i, (x, y) in enumerate(spots):
+        on_edge = {
+            name for name, shape in SHAPES.items() for rings in shape for ring in rings for (x1, y1), (x2, y2) in zip(ring[:-1], ring[1:])
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+        }
+        hits = {name for name, shape in SHAPES.items() if name not in on_edge and in_shape(shape, x, y)}
+        want |= {(i, h) for h in hits} or {(i, None)}
+    assert got == want
+    areas = {r["zone_id"]: r["_area"] for r in index.cells.select("zone_id", "_area").distinct().collect()}
+    assert areas["wide"] == pytest.approx(120 * 60 - 32 * 32) and areas["parts"] == pytest.approx(16 - 4 + 1 + 1e-6)
+    # No cell keeps more edges of a zone than allowed, and a fine one none that is far away.
+    assert index.cells.filter(F.size("_edges") > spatial.CELL_EDGES).count() == 0
+
+
+def test_rows_of_a_wide_zone_grow_with_its_border(spark):
+    square = (("wide", "anchorage", "CFR", "ref", "wide", [[box(-30.1, -30.1, 30.1, 30.1)]]),)
+    index = spatial.zone_index(zones_df(spark, *square))
+    assert index.cells.count() <= 25
+    # Many tips on the border: cells follow the border, whatever lies between.
+    tips = 4000
+    jagged = zones_df(spark, ("jagged", "anchorage", "CFR", "ref", "jagged", [[star(0, 0, 30, tips, 0.98)]]))
+    cells = spatial.zone_index(jagged).cells
+    border, inner = cells.filter(F.size("_edges") > 0).count(), cells.filter(F.size("_edges") == 0).count()
+    assert border <= 2 * tips and inner <= 4 * border
+    edges = cells.agg(F.sum(F.size("_edges"))).first()[0]
+    assert edges <= 8 * 2 * tips
+
+
+def test_crowded_cells_are_cut_but_not_without_end(spark):
+    zones = [zone(f"z{i:03d}", box(i * 1e-4, 0, 1 + i * 1e-4, 1)) for i in range(150)]
+    index = spatial.zone_index(zones_df(spark, *zones))
+    assert index.cells.agg(F.max("_depth")).first()[0] == spatial.CROWDED_TIERS
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.00505, 0.5), (3, 1.00505, 0.999), (4, 2.0, 0.5)], "offset long, lon double, lat double")
+    counts = {r["offset"]: r["n"] for r in spatial.match_zones(points, index).groupBy("offset").agg(F.count("zone_id").alias("n")).collect()}
+    assert counts == {1: 150, 2: 51, 3: 99, 4: 0}
+
+
+def test_zones_without_area_and_points_without_place(spark):
+    rows = [("null", "berth", "OSM", "r", "n", None), ("none", "berth", "OSM", "r", "n", []), zone("ok", SQUARE)]
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, None, 0.5), (3, float("nan"), 0.5), (4, float("inf"), 0.5)], "offset long, lon double, lat double")
+    index = spatial.zone_index(zones_df(spark, *rows))
+    assert {(r["offset"], r["zone_id"]) for r in spatial.match_zones(points, index).collect()} == {(1, "ok"), (2, None), (3, None), (4, None)}
+    empty = spatial.zone_index(zones_df(spark, *rows[:2]))
+    assert {(r["offset"], r["zone_id"]) for r in spatial.best_zone(points, empty).collect()} == {(i, None) for i in (1, 2, 3, 4)}
+    assert {(r["offset"], r["zone_id"], r["_area"]) for r in spatial.match_zones(points, empty).collect()} == {(i, None, None) for i in (1, 2, 3, 4)}
+
+
+def test_overlaps_of_holes_parts_and_far_sizes(spark):
+    rows = [
+        ("a", "anchorage", "CFR", "r", "a", [[box(0, 0, 10, 10), box(2, 2, 8, 8)]]),
+        ("in-hole", "anchorage", "CFR", "r", "b", [[box(3, 3, 7, 7)]]),
+        ("half", "berth", "CFR", "r", "c", [[box(7, 3, 9, 4)], [box(20, 20, 21, 21)]]),
+        ("tiny", "anchorage", "CFR", "r", "d", [[box(20.5, 20.5, 20.501, 20.501)]]),
+        ("world", "harbor", "CFR", "r", "e", [[box(-100, -50, 100, 50), box(-1, -1, 15, 15)]]),
+        ("bad", "harbor", "CFR", "r", "f", [[pts((0, 0), (10, 10), (10, 0), (0, 10), (0, 0))]]),
+    ]
+    found = {(r["zone_a"], r["zone_b"]): r["overlap_area"] for r in spatial.zone_overlaps(zones_df(spark, *rows), None, 1e-9).collect()}
+    assert found == {
+        ("a", "half"): pytest.approx(1.0), ("half", "world"): pytest.approx(1.0), ("half", "tiny"): pytest.approx(1e-6),
+        ("tiny", "world"): pytest.approx(1e-6),
+    }
+
+
+def test_geojson_keeps_holes_and_parts(spark, tmp_path):
+    rows = [(name, "anchorage", "CFR", "ref", name, shape) for name, shape in SHAPES.items()]
+    zones = zones_df(spark, *rows)
+    Z.write_zones(zones, str(tmp_path / "lines"))
+    read = Z.read_zones(spark, str(tmp_path / "lines"), lines=True)
+    assert read.exceptAll(zones).count() == 0 and read.count() == len(rows)
+    point = {"type": "Feature", "properties": {"zone_id": "p"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}
+    (tmp_path / "more.json").write_text(json.dumps(point) + "\n" + json.dumps(point | {"geometry": None}))
+    assert [r["shape"] for r in Z.read_zones(spark, str(tmp_path / "more.json"), lines=True).collect()] == [None, None]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborflow import schemas
+from harborflow.functions import geometry as G
 from harborflow.operators.dedup import drop_redelivered
 from harborflow.operators.quality import tag_quality, valid_rows
 from harborflow.operators.spatial import ZoneIndex, best_zone, zone_index
@@ -60,7 +61,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def zones(spark: SparkSession) -> DataFrame:
     rows = [
-        (zone_id, kind, "CFR", f"fixture {zone_id}", name, [*ring, ring[0]]) for zone_id, kind, name, ring in ZONES
+        (zone_id, kind, "CFR", f"fixture {zone_id}", name, [[[*ring, ring[0]]]]) for zone_id, kind, name, ring in ZONES
     ]
     return configure(spark).createDataFrame(rows, schemas.ZONES)
 
@@ -242,7 +243,10 @@ def topic_rows(routed: DataFrame, tie: str = "event_id") -> DataFrame:
 
 
 def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rectangle per customer, on a lattice of one-degree tiles with 40 customers each."""
+    """A zone per customer, on a lattice of one-degree tiles with 40 customers each.
+
+    A rectangle; every third one has a hole of half its width and height, every fifth one a second part to its right.
+    """
     key = F.col("c_custkey")
     tile = F.floor(key / 40)
     x = (tile % 300) - 150 + F.lit(0.02) * (key % 40) + F.lit(0.001) * (key % 7)
@@ -250,12 +254,19 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.lit(0.05) + F.lit(0.002) * (key % 11)
     height = F.lit(0.15) + F.lit(0.003) * (key % 5)
     zone_type = F.get(F.array(*[F.lit(t) for t in ["anchorage", "berth", "harbor"]]), (key % 3).cast("int"))
-    corners = [(x, y), (x + width, y), (x + width, y + height), (x, y + height), (x, y)]
-    ring = F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in corners])
+
+    def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+        return F.array(*[G.point(a, b) for a, b in [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]])
+
+    whole = rectangle(x, y, x + width, y + height)
+    hole = rectangle(x + width * 0.25, y + height * 0.25, x + width * 0.75, y + height * 0.75)
+    second = rectangle(x + width * 2, y, x + width * 2.5, y + height)
+    first = F.when(key % 3 == 0, F.array(whole, hole)).otherwise(F.array(whole))
+    shape = F.when(key % 5 == 0, F.array(first, F.array(second))).otherwise(F.array(first))
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("zone-"), F.lpad(key.cast("string"), 9, "0")).alias("zone_id"), zone_type.alias("zone_type"),
         F.lit("NOAA").alias("authority"), F.concat(F.lit("customer "), key.cast("string")).alias("source_ref"),
-        F.col("c_name").alias("name"), ring.alias("ring"),
+        F.col("c_name").alias("name"), shape.alias("shape"),
     )
 
 

@@ -218,6 +218,10 @@ _CTE: list[tuple[str, str]] = [
                (c_custkey // 12000) - 60 + 0.01e0 * ((c_custkey * 13) % 40) as y0,
                0.05e0 + 0.002e0 * (c_custkey % 11) as w, 0.15e0 + 0.003e0 * (c_custkey % 5) as h
         from customer"""),
+    ("crect", """
+        select zone_id, 1 as sign, x0 as rx0, y0 as ry0, x0 + w as rx1, y0 + h as ry1 from czone
+        union all select zone_id, -1, x0 + w * 0.25e0, y0 + h * 0.25e0, x0 + w * 0.75e0, y0 + h * 0.75e0 from czone where c_custkey % 3 = 0
+        union all select zone_id, 1, x0 + w * 2, y0, x0 + w * 2.5e0, y0 + h from czone where c_custkey % 5 = 0"""),
     ("waypoint", """
         select l_orderkey, l_linenumber as seq,
                -118.2e0 + (0.001e0 + l_quantity / 5000e0) * cos(l_linenumber * (2 * pi() / 8)) as x,
@@ -398,20 +402,30 @@ _SELECT = {
     "zone_overlaps": """
         select * from (
             select a.zone_id as zone_a, a.zone_type as type_a, b.zone_id as zone_b, b.zone_type as type_b,
-                   round((least(a.x0 + a.w, b.x0 + b.w) - greatest(a.x0, b.x0))
-                       * (least(a.y0 + a.h, b.y0 + b.h) - greatest(a.y0, b.y0)), 8) as overlap_area,
+                   round(p.area, 8) as overlap_area,
                    case when a.zone_type = b.zone_type then 'error' else 'warning' end as severity
-            from czone a join czone b on a.zone_id < b.zone_id and b.c_custkey <> a.c_custkey + 3
-             and least(a.x0 + a.w, b.x0 + b.w) > greatest(a.x0, b.x0) and least(a.y0 + a.h, b.y0 + b.h) > greatest(a.y0, b.y0)
-             and (least(a.x0 + a.w, b.x0 + b.w) - greatest(a.x0, b.x0))
-                       * (least(a.y0 + a.h, b.y0 + b.h) - greatest(a.y0, b.y0)) > 1e-12)""",
+            from (select i.zone_id as id_a, j.zone_id as id_b, sum(i.sign * j.sign
+                         * (least(i.rx1, j.rx1) - greatest(i.rx0, j.rx0)) * (least(i.ry1, j.ry1) - greatest(i.ry0, j.ry0))) as area
+                  from crect i join crect j on i.zone_id < j.zone_id
+                   and least(i.rx1, j.rx1) > greatest(i.rx0, j.rx0) and least(i.ry1, j.ry1) > greatest(i.ry0, j.ry0)
+                  group by 1, 2) p
+            join czone a on a.zone_id = p.id_a join czone b on b.zone_id = p.id_b
+            where b.c_custkey <> a.c_custkey + 3 and p.area > 1e-12)""",
     "customer_zone_matches": """
         select s.s_suppkey, z.zone_id, z.zone_type
         from (select s_suppkey, ((s_suppkey // 4) % 300) - 150 + 0.02e0 * ((s_suppkey * 7) % 40) + 0.00517e0 as lon,
                      (s_suppkey // 1200) - 60 + 0.01e0 * ((s_suppkey * 29) % 40) + 0.00713e0 as lat from supplier) s
-        left join czone z on s.lon > z.x0 and s.lon < z.x0 + z.w and s.lat > z.y0 and s.lat < z.y0 + z.h""",
+        left join (
+            select q.s_suppkey, r.zone_id from (
+                select s_suppkey, ((s_suppkey // 4) % 300) - 150 + 0.02e0 * ((s_suppkey * 7) % 40) + 0.00517e0 as lon,
+                       (s_suppkey // 1200) - 60 + 0.01e0 * ((s_suppkey * 29) % 40) + 0.00713e0 as lat from supplier) q
+            join crect r on q.lon > r.rx0 and q.lon < r.rx1 and q.lat > r.ry0 and q.lat < r.ry1
+            group by q.s_suppkey, r.zone_id having sum(r.sign) > 0) h on h.s_suppkey = s.s_suppkey
+        left join czone z on z.zone_id = h.zone_id""",
     "geojson_zones": """
-        select zone_id, zone_type, authority, source_ref, name, 5 as points, round(w * h, 8) as area from czone""",
+        select zone_id, zone_type, authority, source_ref, name, cast(case when c_custkey % 5 = 0 then 2 else 1 end as int) as polygons,
+               cast(n as int) as rings, cast(5 * n as int) as points, round(a, 8) as area
+        from czone join (select zone_id, count(*) as n, sum(sign * (rx1 - rx0) * (ry1 - ry0)) as a from crect group by zone_id) using (zone_id)""",
     "merged_zones": """
         select zone_type, authority, count(*) as n, sum(case when name is null then 1 else 0 end)::bigint as unnamed from (
             select zone_type, authority, name from czone
@@ -425,7 +439,7 @@ _SELECT = {
                "select count(distinct length(name)) from czone where zone_type = 'harbor'"),
         _check("accepted_values", "zones", "authority", "error", "select 0"),
         _check("unique", "zones", "zone_id", "error", "select 0"),
-        _check("valid_ring", "zones", "ring", "error", "select count(*) from czone where w * h <= 0"),
+        _check("valid_shape", "zones", "shape", "error", "select count(*) from czone where w * h <= 0"),
     ),
     "waypoint_rings": "select l_orderkey, cast(case when corners = 1 or returns then corners else corners + 1 end as int) as points, round(area, 9) as area from ring",
     "circle_zones": f"""

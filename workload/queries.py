@@ -149,7 +149,7 @@ def zone_priority(spark, sf):
 
 @query
 def zone_overlaps(spark, sf):
-    """Overlaps among customer rectangles; pairs three numbers apart are allowed to."""
+    """Overlaps among customer zones with holes and parts; pairs three numbers apart are allowed to."""
     zones = M.customer_zones(spark, sf)
     neighbours = M.table(spark, sf, "customer").select(
         F.concat(F.lit("zone-"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("zone_a"),
@@ -161,7 +161,7 @@ def zone_overlaps(spark, sf):
 
 @query
 def customer_zone_matches(spark, sf):
-    """Suppliers as points against thousands of customer rectangles."""
+    """Suppliers as points against thousands of customer zones, some in their holes and second parts."""
     key = F.col("s_suppkey")
     points = M.table(spark, sf, "supplier").select(
         key.alias("s_suppkey"),
@@ -179,7 +179,8 @@ def geojson_zones(spark, sf):
     zone_sources.write_zones(M.customer_zones(spark, sf), path)
     return zone_sources.read_zones(spark, path, lines=True).select(
         "zone_id", "zone_type", "authority", "source_ref", "name",
-        F.size("ring").alias("points"), _r(G.ring_area(F.col("ring")), 8).alias("area"),
+        F.size("shape").alias("polygons"), F.size(F.flatten("shape")).alias("rings"),
+        F.size(F.flatten(F.flatten("shape"))).alias("points"), _r(G.shape_area(F.col("shape")), 8).alias("area"),
     )
 
 
