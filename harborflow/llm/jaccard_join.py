@@ -18,8 +18,9 @@ similar set has the same part in at least one of them. m leaves room for empty s
    those of one element 1 (the part itself), others 2 (the part and its one-deletion neighbours), more than H in sum. Sets that have
    too few rare elements go into another round with a higher limit, until none is left.
 
-6. All links (`jaccard_links`): steps 3 and 4 leave out pairs already known to be connected. Linked sets are of one component, so
-   all pairs of classes of a component are compared, in pairs of blocks of bounded size; no link is left out.
+6. Links: steps 3 and 4 leave out pairs already known to be connected. Linked sets are of one component, so all pairs of classes
+   of a component are compared, in pairs of blocks of bounded size; no link is left out. `jaccard_counts` adds up how many links
+   every class has, a number per class and pair of blocks, and never makes a row a link; `jaccard_links` returns the links.
 
 Verification compares the whole sets (of 64-bit element hashes) that are fetched for candidates only.
 
@@ -45,7 +46,7 @@ from harborflow.llm.graph import components
 from harborflow.llm.stages import Stages
 
 HOT = 1024
-BLOCK = 128  # sets of a component that meet another block of it in one group
+BLOCK = 512  # sets of a component that meet another block of it in one group
 BLOCK_ELEMENTS = 1_000_000
 LANES = 8  # 64-bit words of a parity bitmap
 KEYS_PER_BUCKET = 500_000
@@ -54,6 +55,7 @@ WIDTH = 1.4  # ratio of a band's sizes
 _U = np.uint64
 
 BITS = [f"b{i}" for i in range(LANES)]
+FETCHED = "doc_id long, d1 long, d2 long, elements binary"
 SCANNED = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"{b} long" for b in BITS) + ", short boolean, keys array<long>"
 
 
@@ -65,7 +67,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, lower: bool) ->
     start, end, first = wd.spans(data, offsets)
     if lower:
         data = wd.LOWER[data]
-    hashes = wd.span_hashes(wd.prefix_hashes(data), start, end)
+    hashes = wd.text_hashes(data, start, end)
     counts = np.diff(first)
     runs = np.maximum(counts - k + 1, (counts > 0).astype(np.int64))
     at = np.concatenate([[0], np.cumsum(runs)])
@@ -229,15 +231,10 @@ def scan(k: int, p: int, q: int, lower: bool):
             for lo, hi, data, offsets in wd.chunks(batch.column("text")):
                 values, at = shingle_sets(data, offsets, k, lower)
                 sizes = np.diff(at)
-                digests = []
-                for salt in (0xA5A5A5A5, 0x5C5C5C5C5C):
-                    sums = np.zeros(len(values) + 1, np.uint64)
-                    np.cumsum(wd.mix(values + _U(salt)), out=sums[1:])
-                    digests.append(pa.array(wd.mix(sums[at[1:]] - sums[at[:-1]]).view(np.int64)))
                 keys, owners, short = exact_keys(values, at, sizes, p, q)
                 bitmap = parity(values, at)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), *digests]
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), *digests(values, at)]
                     + [pa.array(bitmap[:, i]) for i in range(LANES)] + [pa.array(short), _lists(keys, owners, hi - lo)],
                     ["doc_id", "n_shingles", "d1", "d2", *BITS, "short", "keys"],
                 )
@@ -325,6 +322,16 @@ def meet(table: pa.Table) -> pa.Table:
     })
 
 
+def digests(values: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """Two 64-bit numbers that stand for a set."""
+    out = []
+    for salt in (0xA5A5A5A5, 0x5C5C5C5C5C):
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(wd.mix(values + _U(salt)), out=sums[1:])
+        out.append(pa.array(wd.mix(sums[at[1:]] - sums[at[:-1]]).view(np.int64)))
+    return out
+
+
 def fetched(k: int, lower: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,7 +339,7 @@ def fetched(k: int, lower: bool):
                 values, at = shingle_sets(data, offsets, k, lower)
                 raw = [values[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(raw, pa.binary())], ["doc_id", "elements"]
+                    [batch.column("doc_id").slice(lo, hi - lo), *digests(values, at), pa.array(raw, pa.binary())], ["doc_id", "d1", "d2", "elements"]
                 )
 
     return run
@@ -356,31 +363,54 @@ def linked(p: int, q: int):
     return run
 
 
+def block_pairs(table: pa.Table, p: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of two blocks of a component (or one with itself): a row and the later rows whose sets link with its set."""
+    own = table.column("own").to_numpy()
+    sets = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
+    sizes = np.array([len(e) for e in sets], np.int64)
+    alone = table.column("i")[0] == table.column("j")[0]
+    low = own == own.min()
+    left, right = np.flatnonzero(low), np.flatnonzero(low if alone else ~low)
+    elements = np.concatenate([sets[i] for i in right]) if len(right) else np.zeros(0, np.uint64)
+    begin = np.cumsum(sizes[right]) - sizes[right]
+    for n, x in enumerate(left if len(right) else ()):
+        first = n + 1 if alone else 0
+        if first == len(right):
+            return
+        some = elements[begin[first]:]
+        at = np.minimum(np.searchsorted(sets[x], some), sizes[x] - 1)
+        common = np.add.reduceat((sets[x][at] == some).astype(np.int64), begin[first:] - begin[first])
+        either = sizes[x] + sizes[right[first:]] - common
+        yield int(x), right[first:][common * q >= either * p]
+
+
 def block_links(p: int, q: int):
-    """Of two blocks of a component (or one with itself): the pairs of different sets that link."""
+    """The links between the classes of two blocks, named by their smallest doc_ids."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
-        sets = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
-        sizes = np.array([len(e) for e in sets], np.int64)
-        low = own == own.min()
-        left, right = np.flatnonzero(low), np.flatnonzero(low if table.column("i")[0] == table.column("j")[0] else ~low)
-        found = [np.zeros((2, 0), np.int64)]
-        if len(left) and len(right):
-            elements = np.concatenate([sets[i] for i in right])
-            begin = np.cumsum(sizes[right]) - sizes[right]
-            for x in left:
-                at = np.minimum(np.searchsorted(sets[x], elements), sizes[x] - 1)
-                common = np.add.reduceat((sets[x][at] == elements).astype(np.int64), begin)
-                either = sizes[x] + sizes[right] - common
-                b = ids[right[(common * q >= either * p) & (common < either) & (ids[right] != ids[x])]]
-                found.append(np.stack([np.minimum(b, ids[x]), np.maximum(b, ids[x])]))
-        found = np.unique(np.concatenate(found, axis=1), axis=1)
+        ids, found = table.column("doc_id").to_numpy(), [np.zeros((2, 0), np.int64)]
+        for x, others in block_pairs(table, p, q):
+            found.append(np.stack([np.minimum(ids[others], ids[x]), np.maximum(ids[others], ids[x])]))
+        found = np.concatenate(found, axis=1)
         return pa.table({"a": found[0], "b": found[1]})
 
     return run
 
 
+def block_counts(p: int, q: int):
+    """How many links to the other block each class has that has any."""
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = np.zeros(table.num_rows, np.int64)
+        for x, others in block_pairs(table, p, q):
+            counts[x] += len(others)
+            counts[others] += 1
+        has = pa.array(counts > 0)
+        return pa.table({"d1": table.column("d1").filter(has), "d2": table.column("d2").filter(has), "n_links": pa.array(counts).filter(has)})
+
+    return run
+
+
 def rare(p: int, q: int, salt: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -411,7 +441,7 @@ class Join:
         kept = [F.max(b).alias(b) for b in BITS]  # equal sets have equal bitmaps
         least = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"), *kept).withColumnRenamed("n_shingles", "n")
         own = named.select("doc_id", "d1", "d2", F.col("n_shingles").alias("n")).distinct()
-        return own.join(least, ["d1", "d2", "n"]).select("doc_id", "node", "n", *BITS)
+        return own.join(least, ["d1", "d2", "n"]).select("doc_id", "node", "d1", "d2", "n", *BITS)
 
     def near(self, x: str, y: str):
         """Whether bitmaps and sizes allow two sets to link."""
@@ -423,8 +453,8 @@ class Join:
         """Of pairs (a, b) those that link. Sets are computed once for each document that occurs in pairs."""
         pairs = self.steps.put(pairs, "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        wanted = self.docs.join(nodes, "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), "doc_id long, elements binary")
-        sets = self.steps.put(wanted, "sets")
+        wanted = self.docs.join(nodes, "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), FETCHED)
+        sets = self.steps.put(wanted.select("doc_id", "elements"), "sets")
         x = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
         found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked(self.p, self.q), "a long, b long")
@@ -486,7 +516,7 @@ class Join:
         pairs, rest = self.across(self.open_keys(members, self.labelled(links)), self.hot)
         rest = steps.put(rest.unionByName(short).distinct(), "rest")
         links = steps.put(links.unionByName(self.verify(pairs.join(done, ["a", "b"], "left_anti"))), "links")
-        facts = nodes.filter(F.col("doc_id") == F.col("node")).drop("node")
+        facts = nodes.filter(F.col("doc_id") == F.col("node")).drop("node", "d1", "d2")
         salt, hot = 1, self.hot
         while rest.count() > 1:
             rest, more = self.round(rest, facts, self.labelled(links), salt, hot)
@@ -503,20 +533,31 @@ class Join:
         out = result.join(named, "doc_id", "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
-    def links(self, block: int) -> DataFrame:
-        """(a, b), a < b: all links between classes of different sets, named by their smallest doc_ids; after `run`."""
-        members = self.nodes.groupBy("node").agg(F.max("n").alias("n")).join(self.labels, "node")
+    def blocks(self, block: int) -> DataFrame:
+        """Every class that may have links, once for each pair of blocks of its component that its own is in; after `run`."""
+        classes = self.nodes.filter(F.col("doc_id") == F.col("node")).select("doc_id", "d1", "d2", "n")
+        members = classes.join(self.labels.withColumnRenamed("node", "doc_id"), "doc_id")
         blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int")
         many = members.groupBy("component").agg(F.count(F.lit(1)).alias("count"), blocks.alias("blocks")).filter(F.col("count") > 1)
-        members = members.join(many, "component").select(F.col("node").alias("doc_id"), "component", "blocks")
-        members = self.steps.put(members.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")), "blocks")
-        wanted = self.docs.join(members.select("doc_id"), "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), "doc_id long, elements binary")
-        sets = self.steps.put(wanted.filter(F.octet_length("elements") > 0), "link-sets")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        each = members.select("doc_id", "component", "own", other).join(sets, "doc_id")
-        each = each.select("doc_id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "elements")
-        found = each.groupBy("component", "i", "j").applyInArrow(block_links(self.p, self.q), "a long, b long")
-        return self.steps.put(found.distinct(), "all-links")
+        members = members.join(many, "component").select("doc_id", "d1", "d2", "component", "blocks")
+        members = self.steps.put(members.withColumn("own", F.pmod(F.xxhash64("d1", "d2"), F.col("blocks")).cast("int")), "blocks")
+        wanted = self.docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), FETCHED)
+        # A document with several texts stands for the classes it is the smallest of, each with its own set; equal rows once.
+        sets = wanted.filter(F.octet_length("elements") > 0).dropDuplicates(["doc_id", "d1", "d2"])
+        sets = self.steps.put(members.join(sets, ["doc_id", "d1", "d2"]), "link-sets")
+        each = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return each.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "d1", "d2", "elements")
+
+    def links(self, block: int) -> DataFrame:
+        """(a, b), a <= b: the links between classes, each named by its smallest doc_id."""
+        found = self.blocks(block).groupBy("component", "i", "j").applyInArrow(block_links(self.p, self.q), "a long, b long")
+        return self.steps.put(found, "all-links")
+
+    def counts(self, block: int) -> DataFrame:
+        """(doc_id, n_links) of documents with links: those of its class, or of its classes together."""
+        found = self.blocks(block).groupBy("component", "i", "j").applyInArrow(block_counts(self.p, self.q), "d1 long, d2 long, n_links long")
+        each = found.groupBy("d1", "d2").agg(F.sum("n_links").alias("n_links"))
+        return self.nodes.join(each, ["d1", "d2"]).groupBy("doc_id").agg(F.sum("n_links").alias("n_links"))
 
     def round(self, rest: DataFrame, facts: DataFrame, labels: DataFrame, salt: int, hot: int) -> tuple[DataFrame, DataFrame]:
         """Links among `rest` by their rare elements; returns the sets left over, and the links."""
@@ -555,15 +596,18 @@ def jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5
     return Join(docs, words, share, lower, hot).run()
 
 
+def jaccard_counts(
+    docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5), lower: bool = True, hot: int = HOT, block: int = BLOCK
+) -> DataFrame:
+    """The rows of `jaccard_join` with n_links: how many other sets the document's set links with, whoever has them, exact copies
+    once. The links of a doc_id with several texts are added up."""
+    join = Join(docs, words, share, lower, hot)
+    return join.run().join(join.counts(block), "doc_id", "left").fillna(0, ["n_links"])
+
+
 def jaccard_links(
     docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5), lower: bool = True, hot: int = HOT, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows of `jaccard_join` with n_links, and all links (a, b) between different sets, each named by the smallest doc_id
-    that has it, a < b. n_links is how many other sets a document's own links with; exact copies count once."""
+    """The rows of `jaccard_join`, and all links (a, b) between different sets, each set named by the smallest doc_id that has it, a <= b."""
     join = Join(docs, words, share, lower, hot)
-    out = join.run()
-    links = join.links(block)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = join.nodes.select("doc_id", F.col("node").alias("a")).distinct().join(both, "a")
-    counts = own.select("doc_id", "b").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
-    return out.join(counts, "doc_id", "left").fillna(0, ["n_links"]), links
+    return join.run(), join.links(block)

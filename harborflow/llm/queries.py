@@ -92,7 +92,7 @@ def op10_retrieval_packing(spark, sf):
 
 @query
 def op1_jaccard_join(spark, sf):
-    return jaccard_join.jaccard_links(documents(spark, sf), words=3, share=(9, 10))[0]
+    return jaccard_join.jaccard_counts(documents(spark, sf), words=3, share=(9, 10))
 
 
 @query

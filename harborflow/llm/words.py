@@ -1,8 +1,7 @@
 """Vectorised words of whole texts, for tasks that work on Arrow batches.
 
 A word is a maximal run of bytes outside 0x20 and 0x09-0x0D (so never splits a UTF-8 character). A chunk of texts is
-hashed at once with a rolling polynomial over random byte values, finished per word, so that equal words have equal
-64-bit hashes everywhere. Chunks are cut at document ends by size in bytes: memory follows the chunk, or one long text.
+hashed at once over random byte values, finished per span, so that equal words have equal 64-bit hashes everywhere. Chunks are cut at document ends by size in bytes: memory follows the chunk, or one long text.
 """
 
 from __future__ import annotations
@@ -98,11 +97,40 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span of the data behind `sums` (see prefix_hashes)."""
+    """64-bit hash of each byte span of the data behind `sums` (see prefix_hashes): for keys, not for equality."""
     _, down = _Powers.to(len(sums))
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
+class _Weights:
+    """A random odd number for every place in a span, grown on demand and kept per worker."""
+
+    values = np.zeros(0, np.uint64)
+
+    @classmethod
+    def to(cls, n: int) -> np.ndarray:
+        if len(cls.values) < n:
+            places = np.arange(max(n, 1 << 16), dtype=np.uint64)
+            cls.values = mix(mix(places + _U(0x6A09E667F3BCC909)) + _U(0xBB67AE8584CAA73B)) | _U(1)
+        return cls.values
+
+
+def text_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash that stands for the bytes of each of some spans, which are in order and do not overlap.
+
+    Every byte's random value is weighted by a random number of its place, so unlike sums of powers (`span_hashes`, for keys
+    that are verified later) there is no pattern of bytes, of whatever length, that cancels out.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    n, origin = len(data), int(start[0])
+    room = np.append(start[1:], n) - start
+    place = np.arange(origin, n) - np.repeat(start, room)
+    sums = np.zeros(n - origin + 1, np.uint64)
+    np.cumsum(_BYTE[data[origin:]] * _Weights.to(int(room.max()))[place], out=sums[1:])
+    return mix(sums[end - origin] - sums[start - origin] + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
 def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of k consecutive entries, in order."""
     n = len(words) - k + 1

@@ -92,11 +92,30 @@ def test_all_links(spark, block):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out, links = jj.jaccard_links(docs, 3, (9, 10), block=block)
     assert sorted(map(tuple, links.select("a", "b").collect())) == sorted(want) and len(want) > 300
-    counts = {r.doc_id: r.n_links for r in out.collect()}
+    counts = {r.doc_id: r.n_links for r in jj.jaccard_counts(docs, 3, (9, 10), block=block).collect()}
     nodes = {d: node.get(shingles(t, 3)) if d is not None else None for d, t in rows}
     assert counts == {d: sum(n in pair for pair in want) for d, n in nodes.items()}
 
 
+@pytest.mark.parametrize("block", [jj.BLOCK, 3])
+def test_links_of_repeated_ids(spark, block):
+    """A doc_id with several texts, that is the smallest of several classes: every class links by its own set only."""
+    base, far = [f"b{i}" for i in range(100)], [f"f{i}" for i in range(100)]
+    text = " ".join
+    rows = [(3, text(far)), (5, text(base)), (5, text(far)), (7, text([*base, "x"])), (8, text([*far, "x"])), (5, text(far)), (1, text(["z", *base])), (1, text(["z", *far]))]
+    rows += [(20 + i, text([*base, f"y{i}"])) for i in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    of = {}
+    for doc, body in rows:
+        of.setdefault(shingles(body, 3), set()).add(doc)
+    links = [(x, y) for i, x in enumerate(of) for y in list(of)[:i] if 10 * len(x & y) >= 9 * len(x | y)]
+    want = {doc: sum(doc in of[x] for link in links for x in link) for doc, _ in rows}
+    got = {r.doc_id: r.n_links for r in jj.jaccard_counts(docs, 3, (9, 10), block=block).collect()}
+    assert got == want and got[8] == 2 and got[3] == 2
+    _, found = jj.jaccard_links(docs, 3, (9, 10), block=block)
+    assert sorted(map(tuple, found.collect())) == sorted(tuple(sorted((min(of[x]), min(of[y])))) for x, y in links)
+
+
 def test_empty_table(spark):
     assert joined(spark, [], 3, 9, 10) == []
 
