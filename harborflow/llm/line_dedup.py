@@ -108,13 +108,12 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, offsets in wd.chunks(batch.column("text"), 1 << 20):
             begin, stop, text, number = lines_of(data, offsets)
             sums = wd.prefix_hashes(data)
-            first = wd.span_hashes(sums, begin, stop)
-            swapped = wd.span_hashes(wd.prefix_hashes(data ^ np.uint8(0x5A)), begin, stop)
+            first, second = wd.text_hashes(data, begin, stop), wd.span_hashes(sums, begin, stop)
             lanes = histograms(data, begin, stop).view(np.int64)
             ends = np.searchsorted(text, np.arange(hi - lo + 1)).astype(np.int32)
             entries = pa.StructArray.from_arrays(
                 [
-                    pa.array(number.astype(np.int32)), pa.array(first.view(np.int64)), pa.array(swapped.view(np.int64)),
+                    pa.array(number.astype(np.int32)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                     pa.array((stop - begin).astype(np.int32)), *[pa.array(lanes[:, i]) for i in range(len(SKETCH))],
                 ],
                 ["no", "h1", "h2", "size", *SKETCH],
@@ -257,7 +256,7 @@ def wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = at - at[0]
         for lo, hi, data, offsets in wd.chunks(batch.column("text")):
             begin, stop, text, _ = lines_of(data, offsets)
-            hashes = wd.span_hashes(wd.prefix_hashes(data), begin, stop)
+            hashes = wd.text_hashes(data, begin, stop)
             pairs = wd.mix(values[at[lo]:at[hi]]) + np.repeat(np.arange(hi - lo), np.diff(at[lo:hi + 1])).astype(np.uint64)
             hit = np.flatnonzero(np.isin(wd.mix(hashes) + text.astype(np.uint64), pairs))
             raw = data.tobytes()

@@ -62,8 +62,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     start, end, first = wd.spans(data, offsets)
     counts = np.diff(first)
     of_word = np.repeat(np.arange(texts), counts)
-    sums = wd.prefix_hashes(data)
-    hashes = wd.span_hashes(sums, start, end)
+    hashes = wd.text_hashes(data, start, end)
     out = {"n_words": counts, "n_symbols": _per_text(SYMBOL[data], offsets)}
     points = (data & 0xC0) != 0x80
     out["word_chars"] = _per_text(points & ~wd.SPACE[data], offsets)
@@ -77,9 +76,9 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     held = word_to > word_from
     begin, stop, word_from, word_to = begin[held], stop[held], word_from[held], word_to[held]
     of_line = np.searchsorted(offsets, begin, "right") - 1
-    raw = wd.span_hashes(sums, begin, stop)
+    raw = wd.text_hashes(data, begin, stop)
     out["n_dup_lines"] = np.bincount(of_line[_later_equal(of_line, raw)[0]], minlength=texts)
-    lower = wd.span_hashes(wd.prefix_hashes(wd.LOWER[data]), start, end)
+    lower = wd.text_hashes(wd.LOWER[data], start, end)
     out["line"] = _sequence(lower, word_from, word_to)
     out["line_words"], out["line_text"] = word_to - word_from, of_line
     out["content"] = _sequence(hashes, first[:-1], first[1:])

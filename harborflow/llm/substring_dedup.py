@@ -64,7 +64,7 @@ def anchored(hashes: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndar
 
 def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, first = wd.spans(data, offsets)
-    return wd.span_hashes(wd.prefix_hashes(data), start, end), first
+    return wd.text_hashes(data, start, end), first
 
 
 def send_anchors(depth: int, buckets: int):

@@ -84,7 +84,7 @@ class Encoder:
         begin = np.concatenate([unit_from, last_end[tail]])[order]
         stop = np.concatenate([end, offsets[1:][tail]])[order]
         owner = owner[order]
-        hashes = wd.span_hashes(wd.prefix_hashes(data), begin, stop)
+        hashes = wd.text_hashes(data, begin, stop)
         odd = np.add.reduceat(np.append(_odd_space(data), False).astype(np.int64), np.minimum(offsets[:-1], len(data))) > 0
         odd &= np.diff(offsets) > 0
         plain = ~odd[owner]
