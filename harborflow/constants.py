@@ -23,6 +23,8 @@ DEBOUNCE_SECONDS = 5 * 60
 DISCREPANCY_SECONDS = 15 * 60
 EXPIRY_SECONDS = 30 * 60
 WATERMARK_DELAY = "10 minutes"
+# A report delivered again within this time (of processing) is recognised across micro-batches.
+REDELIVERY_SECONDS = 3600
 TRIGGER_INTERVAL = "30 seconds"
 
 # AIS navigational status code -> comparable state; every other code is OTHER.

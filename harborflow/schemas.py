@@ -71,6 +71,11 @@ STATE_CHANGES = _struct(
     reported_status=_S, transition_time=_TS,
 )
 
+# What the state stream gives: a state change, or how many rows of a vessel came too late to be applied.
+TRACKED = T.StructType([*STATE_CHANGES.fields, T.StructField("late_rows", _L)])
+
+LATE = _struct(mmsi=_S, late_rows=_L)
+
 SHIP_STATIC = _struct(
     mmsi=_S, ship_name=_S, call_sign=_S, ship_type_code=_I, destination=_S, imo_number=_L,
     max_static_draught=_D, ingested_at=_TS,

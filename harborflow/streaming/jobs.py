@@ -7,10 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harborflow import constants as K
 from harborflow import schemas
+from harborflow.operators.quality import tag_quality
 from harborflow.operators.spatial import ZoneIndex, best_zone
 from harborflow.sources import messages
 from harborflow.streaming import sinks
-from harborflow.streaming.state import track_vessels
+from harborflow.streaming.state import first_deliveries, track_vessels
 
 POSITIONS_TOPIC = K.TOPIC_BY_MESSAGE_TYPE["PositionReport"]
 STATIC_TOPIC = K.TOPIC_BY_MESSAGE_TYPE["ShipStaticData"]
@@ -33,11 +34,13 @@ def static_stream(spark: SparkSession, **source: str) -> DataFrame:
 
 
 def run_silver(
-    positions: DataFrame, zones: ZoneIndex, base: str, *, available_now: bool = False, **bounds
+    positions: DataFrame, zones: ZoneIndex, base: str, *, available_now: bool = False,
+    keep: int = K.REDELIVERY_SECONDS, **bounds
 ) -> StreamingQuery:
-    writer = sinks.silver_writer(base, zones, **bounds)
+    """Every row is checked first, so a bad first delivery never hides a good second one; of good ones the first stays."""
+    once = first_deliveries(tag_quality(positions, **bounds), keep)
     checkpoint = sinks.checkpoint_path(base, "positions_silver")
-    return sinks.start(positions, writer, checkpoint, available_now=available_now)
+    return sinks.start(once, sinks.silver_writer(base, zones), checkpoint, available_now=available_now)
 
 
 def run_ship_static(static: DataFrame, base: str, *, available_now: bool = False) -> StreamingQuery:
@@ -50,7 +53,7 @@ def run_state_changes(
     debounce: int = K.DEBOUNCE_SECONDS, discrepancy: int = K.DISCREPANCY_SECONDS,
     expiry: int = K.EXPIRY_SECONDS, message_format: str | None = None, **message_options: str,
 ) -> StreamingQuery:
-    """Every decoded position goes in, checked or not, with its best zone."""
+    """Every decoded position goes in, checked or not, in any order, with its best zone."""
     changes = track_vessels(best_zone(positions, zones), debounce=debounce, discrepancy=discrepancy, expiry=expiry)
     writer = sinks.state_change_writer(base, message_format, **message_options)
     checkpoint = sinks.checkpoint_path(base, "vessel_state_changes")

@@ -11,23 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from harborflow import constants as K
-from harborflow.operators.dedup import drop_redelivered
-from harborflow.operators.quality import quarantined_rows, tag_quality, valid_rows
+from harborflow.operators.quality import quarantined_rows, valid_rows
 from harborflow.operators.spatial import ZoneIndex, best_zone
 from harborflow.schemas import POSITIONS_QUARANTINE, POSITIONS_SILVER, STATE_CHANGES
 from harborflow.sources.tables import append_batch, table_path
+from harborflow.streaming.state import ROCKSDB
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def silver_writer(base: str, zones: ZoneIndex, **bounds) -> BatchWriter:
-    """Valid rows to `positions_silver` by event date, the rest to `positions_quarantine`.
+def silver_writer(base: str, zones: ZoneIndex) -> BatchWriter:
+    """Of checked rows without redelivered ones: valid rows to `positions_silver` by event date, the rest to `positions_quarantine`.
 
-    The batch is checked once and held for both writes. Duplicates are removed within the batch.
+    The batch is held for both writes, so that the stateful stream before it runs once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag_quality(batch, **bounds).persist(StorageLevel.MEMORY_AND_DISK)
+        tagged = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = tagged.agg(
                 F.count_if("quality_ok").alias("valid"), F.count_if(~F.col("quality_ok")).alias("bad")
@@ -36,7 +36,7 @@ def silver_writer(base: str, zones: ZoneIndex, **bounds) -> BatchWriter:
                 bad = quarantined_rows(tagged).withColumn("quarantined_at", F.current_timestamp())
                 append_batch(bad.select(*POSITIONS_QUARANTINE.names), base, "positions_quarantine", batch_id)
             if counts["valid"]:
-                located = best_zone(drop_redelivered(valid_rows(tagged)), zones)
+                located = best_zone(valid_rows(tagged), zones)
                 silver = located.withColumn("event_date", F.to_date("event_time"))
                 append_batch(
                     silver.select(*POSITIONS_SILVER.names), base, "positions_silver", batch_id,
@@ -52,12 +52,18 @@ def state_change_writer(base: str, message_format: str | None = None, **message_
     """State changes to the `vessel_state_changes` table and, as messages, to their topic.
 
     `message_format="kafka"` publishes through the connector (at least once: readers drop exact
-    copies); other formats write message rows next to the table. Both are distributed writes.
+    copies); other formats write message rows next to the table. Both are distributed writes. Counts of rows that came
+    too late go to `late_positions`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.select(*STATE_CHANGES.names).persist(StorageLevel.MEMORY_AND_DISK)
+        tracked = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            held = tracked.filter(F.col("event_type").isNotNull()).select(*STATE_CHANGES.names)
+            if "late_rows" in tracked.columns:
+                late = tracked.filter(F.col("late_rows").isNotNull()).select("mmsi", "late_rows")
+                if not late.isEmpty():
+                    append_batch(late, base, "late_positions", batch_id)
             if held.isEmpty():
                 return
             messages = held.select(
@@ -70,19 +76,31 @@ def state_change_writer(base: str, message_format: str | None = None, **message_
                 append_batch(messages, base, "state_change_messages", batch_id, fmt=message_format)
             append_batch(held, base, "vessel_state_changes", batch_id)
         finally:
-            held.unpersist()
+            tracked.unpersist()
 
     return write
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def start(
     stream: DataFrame, writer: BatchWriter, checkpoint: str, *, available_now: bool = False,
     interval: str = K.TRIGGER_INTERVAL, name: str | None = None,
 ) -> StreamingQuery:
-    """Run a batch writer on a trigger interval, or once over the present backlog."""
+    """Run a batch writer on a trigger interval, or once over the present backlog.
+
+    The query keeps its state in RocksDB; the caller's session is as before when the query has started.
+    """
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     query = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(**trigger)
-    return (query.queryName(name) if name else query).start()
+    spark = stream.sparkSession
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, ROCKSDB)
+    try:
+        return (query.queryName(name) if name else query).start()
+    finally:
+        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
 
 
 def append_stream(

@@ -1,8 +1,10 @@
 """Vessel state across micro-batches: the streaming form of `operators.state_machine`.
 
-A vessel's rows of one micro-batch are sorted and folded into the stored state run by run: a run of equal
-raw states (or of agreement) is handled with one binary search, whatever its length. Silence longer than
-the expiry ends a track, seen either in the data or by a timer once the watermark has passed it.
+Rows arrive in any order. Each is held, by vessel and stretch of time, until the watermark has passed it; a timer then folds what
+is due into the vessel's state, in time order, one stretch after the other, so that no more than a stretch is in memory. A row
+that the watermark had passed when its micro-batch began is too late to be put in order: it is counted, not applied.
+A run of equal raw states (or of agreement) is handled with one binary search, whatever its length. Silence longer than
+the expiry ends a track, seen either in the data or by the timer once the watermark has passed it.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,24 +24,30 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 import harborflow
 from harborflow import constants as K
 from harborflow.functions.scalars import raw_state, reported_bucket
-from harborflow.schemas import STATE_CHANGES
+from harborflow.schemas import STATE_CHANGES, TRACKED
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MICROS = 1_000_000
+# Held rows are stored, read and folded by stretches of this length.
+STRETCH_SECONDS = 1800
 
-_L, _S, _D = T.LongType(), T.StringType(), T.DoubleType()
-# Times are microseconds since the epoch.
+_L, _S = T.LongType(), T.StringType()
+# Times are microseconds since the epoch; `due` is the first held row's, `timer` milliseconds.
 STATE = T.StructType([
-    T.StructField("current_state", _S), T.StructField("state_entry_time", _L),
-    T.StructField("current_zone_id", _S),
-    T.StructField("candidate_state", _S), T.StructField("candidate_since", _L),
-    T.StructField("candidate_zone_id", _S),
-    T.StructField("last_lat", _D), T.StructField("last_lon", _D), T.StructField("last_sog", _D),
-    T.StructField("last_position_time", _L), T.StructField("reported_status", _S),
+    T.StructField("current_state", _S), T.StructField("candidate_state", _S), T.StructField("candidate_since", _L),
+    T.StructField("candidate_zone_id", _S), T.StructField("last_position_time", _L),
     T.StructField("discrepancy_since", _L), T.StructField("discrepancy_flagged", T.BooleanType()),
+    T.StructField("due", _L), T.StructField("timer", _L),
 ])
 _EMPTY = dict.fromkeys(STATE.names) | {"discrepancy_flagged": False}
 
+_ORDER = ["t", "tie_1", "tie_2"]
+_RANK = ["priority", "area", "zone_id"]
+_HELD = pa.schema([
+    ("t", pa.int64()), ("tie_1", pa.int64()), ("tie_2", pa.int64()), ("priority", pa.float64()), ("area", pa.float64()),
+    ("zone_id", pa.string()), ("raw", pa.string()), ("reported", pa.string()),
+])
+
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     """Bounds of the stretches of equal values."""
@@ -60,17 +69,18 @@ class Tracker:
         self.expiry = expiry * MICROS
 
     def expire(self, state: dict[str, Any]) -> list[dict[str, Any]]:
+        """Forget the vessel, but not what is held of it."""
         if state["current_state"] is None:
             return []
         event = _row(
             K.STATE_TRANSITION, state["last_position_time"], from_state=state["current_state"],
             to_state=K.EXPIRED, derived_state=K.EXPIRED,
         )
-        state.update(_EMPTY)
+        state.update({name: value for name, value in _EMPTY.items() if name not in ("due", "timer")})
         return [event]
 
     def advance(self, state: dict[str, Any], obs: pd.DataFrame) -> list[dict[str, Any]]:
-        """Fold sorted rows (t, raw, zone_id, reported, lat, lon, sog) into `state`; return events."""
+        """Fold sorted rows (t, raw, zone_id, reported) into `state`; return events."""
         events: list[dict[str, Any]] = []
         times = obs["t"].to_numpy()
         last = state["last_position_time"]
@@ -83,11 +93,7 @@ class Tracker:
             track = obs.iloc[lo:hi]
             current = self._debounce(state, track, events)
             self._compare(state, track, current, events)
-            tail = track.iloc[-1]
-            state.update(
-                last_position_time=int(tail["t"]), reported_status=tail["reported"],
-                **{f"last_{c}": None if pd.isna(tail[c]) else float(tail[c]) for c in ("lat", "lon", "sog")},
-            )
+            state["last_position_time"] = int(times[hi - 1])
         return events
 
     def _debounce(self, state: dict[str, Any], obs: pd.DataFrame, events: list) -> np.ndarray:
@@ -115,7 +121,7 @@ class Tracker:
                     K.STATE_TRANSITION, int(times[at]), from_state=before or K.UNKNOWN, to_state=wanted,
                     zone_id=zones[at], derived_state=wanted,
                 ))
-                state.update(current_state=wanted, state_entry_time=int(times[at]), current_zone_id=zones[at])
+                state["current_state"] = wanted
             if wanted == state["current_state"]:
                 state.update(candidate_state=None, candidate_since=None, candidate_zone_id=None)
             after[lo if at is None else at:hi] = state["current_state"]
@@ -147,18 +153,33 @@ class Tracker:
                     events.append(event(K.DISCREPANCY_FLAGGED, due))
 
 
-def _frame(mmsi: str, events: list[dict[str, Any]]) -> pd.DataFrame:
-    out = pd.DataFrame(events, columns=STATE_CHANGES.names)
+def _frame(mmsi: str, events: list[dict[str, Any]], late: int = 0) -> pd.DataFrame:
+    """Events and, if any row came too late, one row without an event that says how many."""
+    rows = [*events, *([dict.fromkeys(STATE_CHANGES.names)] if late else [])]
+    out = pd.DataFrame(rows, columns=STATE_CHANGES.names)
     out["mmsi"] = mmsi
-    out["transition_time"] = pd.to_datetime(out["transition_time"].astype("int64"), unit="us")
-    return out
+    out["transition_time"] = pd.to_datetime(out["transition_time"].astype("Int64"), unit="us")
+    out["late_rows"] = pd.array([None] * len(events) + [late] * bool(late), dtype="Int64")
+    return out[TRACKED.names]
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _HELD) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
 
 
 class VesselProcessor(StatefulProcessor):
-    """Keeps a `STATE` value per vessel and one timer at last position + expiry.
+    """Keeps a `STATE` value per vessel, its held rows by stretch of time, and one timer: at the first held row, or at last
+    position + expiry, whichever the watermark passes first.
 
-    A micro-batch is bounded by the source's files or offsets per trigger, and so is what one vessel can
-    contribute to it.
+    Rows come in chunks of bounded size and go to their stretches chunk by chunk; a fold reads one stretch at a time. A stretch is
+    as large as what a vessel reports in it.
     """
 
     def __init__(self, debounce: int, discrepancy: int, expiry: int):
@@ -167,43 +188,87 @@ class VesselProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.value = handle.getValueState("vessel", STATE)
+        self.held = handle.getMapState("held", T.StructType([T.StructField("stretch", _L)]), T.StructType([T.StructField("rows", T.BinaryType())]))
 
     def _load(self) -> dict[str, Any]:
         return dict(zip(STATE.names, self.value.get(), strict=True)) if self.value.exists() else dict(_EMPTY)
 
-    def _timer(self, last: int) -> int:
-        """First millisecond at which silence exceeds the expiry."""
-        return (last + self.tracker.expiry) // 1000 + 1
+    def _save(self, state: dict[str, Any]) -> None:
+        """Store the state with its one timer; forget a vessel of which nothing is known or held."""
+        last, due = state["last_position_time"], state["due"]
+        # A row is due, and silence exceeds the expiry, from the first full millisecond on that is not before it.
+        wanted = [-(-due // 1000)] if due is not None else []
+        if last is not None:
+            wanted.append((last + self.tracker.expiry) // 1000 + 1)
+        timer = min(wanted, default=None)
+        if timer != state["timer"]:
+            if state["timer"] is not None:
+                self.handle.deleteTimer(state["timer"])
+            if timer is not None:
+                self.handle.registerTimer(timer)
+        state["timer"] = timer
+        if timer is None:
+            self.value.clear()
+        else:
+            self.value.update(tuple(state[name] for name in STATE.names))
+
+    def _hold(self, state: dict[str, Any], rows: pd.DataFrame) -> None:
+        width = STRETCH_SECONDS * MICROS
+        for stretch, part in rows.groupby(rows["t"] // width):
+            key = (int(stretch),)
+            table = pa.Table.from_pandas(part[_HELD.names], _HELD, preserve_index=False)
+            if self.held.containsKey(key):
+                table = pa.concat_tables([_unpacked(bytes(self.held.getValue(key)[0])), table])
+            self.held.updateValue(key, (_packed(table),))
+        if len(rows):
+            first = int(rows["t"].min())
+            state["due"] = first if state["due"] is None else min(first, state["due"])
+
+    def _fold(self, state: dict[str, Any], watermark: int) -> list[dict[str, Any]]:
+        """Apply all held rows up to the watermark (microseconds), in order."""
+        events, width = [], STRETCH_SECONDS * MICROS
+        state["due"] = None
+        for stretch in sorted(key[0] for key in self.held.keys()):
+            if stretch * width > watermark:
+                state["due"] = stretch * width
+                break
+            table = _unpacked(bytes(self.held.getValue((stretch,))[0]))
+            obs = table.to_pandas()
+            ready = obs[obs["t"] <= watermark].sort_values([*_ORDER, *_RANK], kind="stable")
+            if len(ready):
+                # A position that came once per matching zone counts with its best one.
+                ready = ready.drop_duplicates(_ORDER).reset_index(drop=True)
+                ready["zone_id"] = ready["zone_id"].astype(object).where(ready["zone_id"].notna(), None)
+                events += self.tracker.advance(state, ready)
+            rest = table.filter(pa.array((obs["t"] > watermark).to_numpy()))
+            if rest.num_rows:
+                self.held.updateValue((stretch,), (_packed(rest),))
+                state["due"] = int(obs["t"][obs["t"] > watermark].min())
+                break
+            self.held.removeKey((stretch,))
+        return events
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        state = self._load()
-        last = state["last_position_time"]
-        obs = pd.concat(list(rows), ignore_index=True)
-        if last is not None:
-            # Arrived in time for the watermark but behind this vessel's own progress.
-            obs = obs[obs["t"] >= last]
-        if obs.empty:
-            return
-        order = ["t", "tie_1", "tie_2"]
-        obs = obs.sort_values([*order, "priority", "area", "zone_id"], kind="stable")
-        # A position that came once per matching zone counts with its best one.
-        obs = obs.drop_duplicates(order).reset_index(drop=True)
-        obs["zone_id"] = obs["zone_id"].astype(object).where(obs["zone_id"].notna(), None)
-        events = self.tracker.advance(state, obs)
-        if last is not None:
-            self.handle.deleteTimer(self._timer(last))
-        self.handle.registerTimer(self._timer(state["last_position_time"]))
-        self.value.update(tuple(state[name] for name in STATE.names))
-        if events:
-            yield _frame(key[0], events)
+        state, late = self._load(), 0
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        for chunk in rows:
+            in_time = chunk["t"] > watermark
+            late += int((~in_time).sum())
+            self._hold(state, chunk[in_time])
+        self._save(state)
+        if late:
+            yield _frame(key[0], [], late)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         state = self._load()
-        last = state["last_position_time"]
-        if last is None or expiredTimerInfo.getExpiryTimeInMs() != self._timer(last):
+        if expiredTimerInfo.getExpiryTimeInMs() != state["timer"]:
             return
-        events = self.tracker.expire(state)
-        self.value.clear()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        events = self._fold(state, watermark * 1000)
+        last = state["last_position_time"]
+        if last is not None and watermark > (last + self.tracker.expiry) // 1000:
+            events += self.tracker.expire(state)
+        self._save(state)
         if events:
             yield _frame(key[0], events)
 
@@ -216,12 +281,13 @@ def _observed(positions: DataFrame, tie: tuple[str, str]) -> list[Column]:
     rank = {
         name: F.col(f"_{name}") if f"_{name}" in positions.columns else F.lit(0) for name in ("priority", "area")
     }
+    # The watermarked column itself stays behind: Spark would drop late rows by it before they can be counted.
     return [
         *[column.cast("double").alias(name) for name, column in rank.items()],
-        F.col("mmsi"), F.col("event_time"), F.unix_micros("event_time").alias("t"),
-        F.col(tie[0]).alias("tie_1"), F.col(tie[1]).alias("tie_2"), raw.alias("raw"),
+        F.col("mmsi"), F.unix_micros("event_time").alias("t"),
+        F.col(tie[0]).cast("long").alias("tie_1"), F.col(tie[1]).cast("long").alias("tie_2"), raw.alias("raw"),
         F.when(raw != K.UNDERWAY, F.col("zone_id")).alias("zone_id"),
-        reported_bucket(F.col("nav_status_code")).alias("reported"), F.col("lat"), F.col("lon"), F.col("sog"),
+        reported_bucket(F.col("nav_status_code")).alias("reported"),
     ]
 
 
@@ -229,16 +295,79 @@ def track_vessels(
     positions: DataFrame, *, debounce: int = K.DEBOUNCE_SECONDS, discrepancy: int = K.DISCREPANCY_SECONDS,
     expiry: int = K.EXPIRY_SECONDS, tie: tuple[str, str] = ("partition", "offset"),
 ) -> DataFrame:
-    """Streaming positions (with watermark and zone) -> streaming state changes.
+    """Streaming positions (with watermark and zone), in any order -> streaming rows of schema `TRACKED`: state changes, and
+    per vessel and micro-batch how many rows came behind the watermark.
 
-    Positions come with their best zone, or once per matching zone as `match_zones` gives them.
+    Positions come with their best zone, or once per matching zone as `match_zones` gives them. Started by `sinks.start`,
+    which names the state store.
     """
-    spark = positions.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Workers get the processor with the query and need not have this package installed.
     cloudpickle.register_pickle_by_value(harborflow)
     usable = positions.filter(F.col("mmsi").isNotNull() & F.col("event_time").isNotNull())
     return usable.select(*_observed(usable, tie)).groupBy("mmsi").transformWithStateInPandas(
         statefulProcessor=VesselProcessor(debounce, discrepancy, expiry),
-        outputStructType=STATE_CHANGES, outputMode="Append", timeMode="EventTime",
+        outputStructType=TRACKED, outputMode="Append", timeMode="EventTime",
+    )
+
+
+SEEN = T.StructType([T.StructField("times", T.BinaryType()), T.StructField("since", T.BinaryType())])
+
+
+class FirstDelivery(StatefulProcessor):
+    """Passes rows that failed the quality check, and of valid ones the first delivery of every time: the lowest offset of the
+    micro-batch in which the time is first seen. Later deliveries are dropped for `keep` seconds of processing time.
+
+    A log delivers a key's rows by rising offset, so the row that stays is the one with the lowest offset of all.
+    """
+
+    def __init__(self, schema: T.StructType, keep: int):
+        self.columns, self.keep = schema.names, keep * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.value = handle.getValueState("seen", SEEN)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        times = since = np.zeros(0, np.int64)
+        if self.value.exists():
+            times, since = (np.frombuffer(bytes(blob), np.int64) for blob in self.value.get())
+        now, best = 0, None
+        for chunk in rows:
+            if best is None:
+                now = int(chunk["delivered_now"].iloc[0])
+                fresh = since > now - self.keep
+                times, since = times[fresh], since[fresh]
+            valid = chunk["quality_ok"].to_numpy(bool)
+            if not valid.all():
+                yield chunk[~valid][self.columns]
+            new = chunk[valid]
+            new = new[~np.isin(new["delivered_t"].to_numpy(np.int64), times)]
+            best = new if best is None else pd.concat([best, new], ignore_index=True)
+            # What is kept between chunks is one row a time.
+            best = best.sort_values(["delivered_t", "partition", "offset"], kind="stable").drop_duplicates("delivered_t")
+        if best is not None and len(best):
+            new = best["delivered_t"].to_numpy(np.int64)
+            self.value.update((np.concatenate([times, new]).tobytes(), np.concatenate([since, np.full(len(new), now)]).tobytes()))
+            yield best[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+def first_deliveries(tagged: DataFrame, keep: int = K.REDELIVERY_SECONDS) -> DataFrame:
+    """Quality-tagged streaming positions without redelivered valid rows (equal vessel and time), across micro-batches.
+
+    A valid row has a vessel; invalid rows without one share a key, and are only passed on. Started by `sinks.start`.
+    """
+    cloudpickle.register_pickle_by_value(harborflow)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in tagged.schema.fields])
+    keyed = tagged.withColumns({
+        "delivered_key": F.when(F.col("quality_ok"), F.col("mmsi")).otherwise(F.concat(F.lit("bad "), F.pmod(F.col("offset"), F.lit(1024)).cast("string"))),
+        # One instant a micro-batch, and the same when it is replayed.
+        "delivered_now": F.unix_millis(F.current_timestamp()),
+        "delivered_t": F.coalesce(F.unix_micros("event_time"), F.lit(0)),
+        # Without the watermark's mark: late rows are silver, too.
+        "event_time": F.timestamp_micros(F.unix_micros("event_time")),
+    })
+    return keyed.groupBy("delivered_key").transformWithStateInPandas(
+        statefulProcessor=FirstDelivery(schema, keep), outputStructType=schema, outputMode="Append", timeMode="None",
     )

@@ -1,8 +1,11 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from cases import ANCHORAGE, OPEN, POSITION_COLUMNS, SCENARIOS, at, events_of, obs, random_tracks, rows, transition
 from pyspark.sql import functions as F
 
+from harborflow import constants as K
 from harborflow import schemas
 from harborflow.operators.state_machine import state_changes
 from harborflow.sources import tables
@@ -39,19 +42,25 @@ CLOSING = "closing"
 
 @pytest.fixture(scope="module")
 def scenarios(spark, tmp_path_factory):
-    """All scenarios as one stream, cut into three files."""
+    """All scenarios as one stream: shuffled over three files, then a vessel that moves the watermark past them."""
     root = tmp_path_factory.mktemp("scenarios")
-    data = sorted((r for name, (o, _) in SCENARIOS.items() for r in rows(name, o)), key=lambda r: r[1])
-    cuts = [data[:len(data) // 3], data[len(data) // 3:len(data) // 2], data[len(data) // 2:]]
-    write_chunks(spark, str(root / "in"), *cuts)
-    # Late rows would be dropped; the delay covers the whole hour.
-    run(spark, str(root / "in"), str(root / "lake"), delay="3 hours")
+    data = [r for name, (o, _) in SCENARIOS.items() for r in rows(name, o)]
+    shuffled = [data[i] for i in np.random.default_rng(7).permutation(len(data))]
+    cuts = [shuffled[:len(data) // 3], shuffled[len(data) // 3:len(data) // 2], shuffled[len(data) // 2:]]
+    write_chunks(spark, str(root / "in"), *cuts, rows(CLOSING, [obs(24 * 60, OPEN, 9.0)]))
+    run(spark, str(root / "in"), str(root / "lake"), delay="10 hours")
     return events_of(stored(spark, str(root / "lake")))
 
 
 @pytest.mark.parametrize("name", SCENARIOS)
 def test_scenario_in_stream(scenarios, name):
-    assert scenarios[name] == sorted(SCENARIOS[name][1], key=repr)
+    """The watermark passes the end of every scenario, so its vessel expires at last, unless it had already."""
+    last = max(r[1] for r in rows(name, SCENARIOS[name][0]))
+    want = list(SCENARIOS[name][1])
+    states = sorted((e for e in want if e[2] is not None), key=lambda e: (e[6], e[2] == "EXPIRED"))
+    if states and states[-1][2] != "EXPIRED":
+        want.append((K.STATE_TRANSITION, states[-1][2], "EXPIRED", None, "EXPIRED", None, last))
+    assert scenarios[name] == sorted(want, key=repr)
 
 
 def test_timer_expires_silent_vessels_once(spark, tmp_path):
@@ -76,7 +85,8 @@ def test_restart_from_checkpoint_equals_one_run_and_batch(spark, tmp_path):
         run(spark, parts, halting)
     run(spark, parts, whole)
     batch = events_of(state_changes(
-        spark.createDataFrame(data, POSITION_COLUMNS),
+        # The stream applies what the watermark has passed.
+        spark.createDataFrame([r for r in data if r[1] <= max(x[1] for x in data) - dt.timedelta(minutes=10)], POSITION_COLUMNS),
         # A timer needs the watermark to pass the expiry, batch to reach it.
         watermark=F.timestamp_micros(F.unix_micros(F.lit(max(r[1] for r in data))) - 600_000_000 - 1),
     ))
@@ -93,7 +103,7 @@ def test_state_job_with_nested_zones(spark, tmp_path, limit):
     inside_both, outside = (33.6, -118.25), (33.7, -118.0)
     data = [("v", at(m), lat, lon, 0.1, 15, None, None, 0, m)
             for m, (lat, lon) in [(0, inside_both), (3, inside_both), (4, outside), (10, outside)]]
-    write_chunks(spark, str(tmp_path / "in"), data)
+    write_chunks(spark, str(tmp_path / "in"), data, [("w", at(25), *outside, 0.1, 15, None, None, 0, 0)])
     positions = located_stream(spark, str(tmp_path / "in")).drop("zone_id", "zone_type")
     jobs.run_state_changes(positions, index, str(tmp_path / "lake"), available_now=True).awaitTermination()
     assert events_of(stored(spark, str(tmp_path / "lake")))["v"] == sorted(
@@ -144,3 +154,58 @@ def test_silver_stream_equals_batch(spark):
     assert silver.exceptAll(expected).count() == 0 and expected.exceptAll(silver).count() == 0
     quarantined = tables.read_table(spark, base, "positions_quarantine", schemas.POSITIONS_QUARANTINE)
     assert quarantined.count() == M.tagged(spark, sf).filter("NOT quality_ok").count()
+
+
+def test_late_rows_are_counted_and_the_rest_put_in_order(spark, tmp_path):
+    """Rows shuffled over files: those behind the watermark are counted, all others give the events of a batch over them."""
+    data = random_tracks(np.random.default_rng(3), 12, 40)
+    start = min(r[1] for r in data)
+    rng = np.random.default_rng(5)
+    place = [int((r[1] - start).total_seconds() // 5400) + int(rng.integers(0, 3)) for r in data]
+    chunks = [[r for r, p in zip(data, place) if p == i] for i in range(max(place) + 1)]
+    chunks = [c for c in chunks if c]
+    write_chunks(spark, str(tmp_path / "in"), *chunks)
+    run(spark, str(tmp_path / "in"), str(tmp_path / "lake"), delay="1 hour")
+    taken, late, mark = [], {}, None
+    for chunk in chunks:
+        for r in chunk:
+            if mark is not None and r[1] <= mark:
+                late[r[0]] = late.get(r[0], 0) + 1
+            else:
+                taken.append(r)
+        mark = max([x[1] for c in chunks[:chunks.index(chunk) + 1] for x in c]) - dt.timedelta(hours=1)
+    batch = events_of(state_changes(
+        spark.createDataFrame([r for r in taken if r[1] <= mark], POSITION_COLUMNS),
+        watermark=F.timestamp_micros(F.unix_micros(F.lit(mark)) - 1),
+    ))
+    assert events_of(stored(spark, str(tmp_path / "lake"))) == batch
+    counted = tables.read_table(spark, str(tmp_path / "lake"), "late_positions", schemas.LATE).groupBy("mmsi").agg(F.sum("late_rows")).collect()
+    assert dict(map(tuple, counted)) == late and late
+
+
+def test_session_keeps_its_state_store(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    write_chunks(spark, str(tmp_path / "in"), rows("v", [obs(0, ANCHORAGE)]))
+    run(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_silver_takes_the_first_good_delivery_across_batches(spark, tmp_path):
+    """A bad first delivery does not hide the good one after it; later good ones, in the same or a later batch, are dropped."""
+    def row(minute, offset, lat=33.7, mmsi="123456789", skew=0):
+        return (mmsi, at(minute), at(minute + skew), lat, -118.2, 1.0, 0, 0, offset)
+
+    columns = "mmsi string, event_time timestamp, ingested_at timestamp, lat double, lon double, sog double, nav_status_code int, partition int, offset long"
+    chunks = [
+        [row(0, 5), row(0, 3), row(1, 4, lat=99.0), row(2, 6, skew=9), row(3, 7)],
+        [row(0, 8), row(1, 9), row(2, 10), row(2, 11), row(3, 12, lat=None), row(3, 13)],
+        [row(1, 14), row(-9000, 15), row(0, 16, mmsi="987654321"), row(0, 17, mmsi=None)],
+    ]
+    for chunk in chunks:
+        spark.createDataFrame(chunk, columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(columns).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in")).withWatermark("event_time", "1 minute")
+    jobs.run_silver(stream, M.index(spark), str(tmp_path / "lake"), available_now=True).awaitTermination()
+    silver = tables.read_table(spark, str(tmp_path / "lake"), "positions_silver", schemas.POSITIONS_SILVER)
+    assert sorted(r["offset"] for r in silver.collect()) == [3, 7, 9, 10, 15, 16]
+    bad = tables.read_table(spark, str(tmp_path / "lake"), "positions_quarantine", schemas.POSITIONS_QUARANTINE)
+    assert sorted(r["offset"] for r in bad.collect()) == [4, 6, 12, 17]

@@ -257,15 +257,16 @@ _CTE.insert(
 )
 
 
-def _with(select: str) -> str:
-    """`select` preceded by the pieces it needs."""
-    bodies, needed, todo = dict(_CTE), set(), [select]
+def _with(select: str, **instead: str) -> str:
+    """`select` preceded by the pieces it needs, some of them replaced."""
+    pieces = [(name, instead.get(name, body)) for name, body in _CTE]
+    bodies, needed, todo = dict(pieces), set(), [select]
     while todo:
         words = set(todo.pop().replace("(", " ").replace(")", " ").replace(",", " ").replace(".", " ").split())
         for name in bodies.keys() & words - needed:
             needed.add(name)
             todo.append(bodies[name])
-    parts = ",\n".join(f"{name} as ({body})" for name, body in _CTE if name in needed)
+    parts = ",\n".join(f"{name} as ({body})" for name, body in pieces if name in needed)
     return f"with {parts}\n{select}" if parts else select
 
 
@@ -603,14 +604,35 @@ _SELECT = {
 _SELECT |= {
     "stream_silver": _SELECT["silver_positions"],
     "stream_quarantine": _SELECT["quarantine_summary"],
-    # The watermark ends at the newest event less ten minutes; a timer needs it to pass the expiry.
-    "stream_state": f"""
-        select * from change union all
-        select mmsi, 'state_transition', state, 'EXPIRED', null, 'EXPIRED', null, event_time from track_end
-        where not followed and (select max(t) from obs ) - 600 * 1000000::bigint > t + {EXPIRY_US}""",
     "stream_ship_static": "select * exclude (off) replace (round(max_static_draught, 6) as max_static_draught) from static",
     "stream_routed": _SELECT["routed_messages"],
     "stream_deduplicated": "select distinct mmsi, event_time from pos",
 }
 
-ORACLE = {name: _with(select) for name, select in _SELECT.items()}
+# State stream: a row is late if the watermark of its slice, two days behind the newest time of the slices before, has
+# passed it; what the last watermark has passed is applied, and vessels silent for the expiry by then have expired.
+_STREAMED = f"""
+    select *, least(4, greatest(0, cast(floor((epoch_us(event_time) - lo + (("offset" % 1000000000 * 7919) % 7 - 3) * 43200000000)
+                  / cast((hi - lo) // 5 + 1 as double)) as bigint)) + "offset" // 1000000000) as slice
+    from pos, (select min(epoch_us(event_time)) as lo, max(epoch_us(event_time)) as hi from pos)"""
+_MARKED = f"""
+    select s.*, coalesce((select max(epoch_us(b.event_time)) - 172800000000 from ({_STREAMED}) b where b.slice < n.slice), 0) as mark
+    from ({_STREAMED}) s join (select unnest([0, 1, 2, 3, 4]) as slice) n on s.slice = n.slice"""
+_LAST_MARK = "(select max(epoch_us(event_time)) - 172800000000 from pos )"
+_APPLIED = f"""
+    select a.mmsi, a.event_time, cast(a.event_time as date) as event_date, a.lat, a.lon, a.sog, a.nav_status_code,
+           b.zone_id, b.zone_type, b.zone_name, a.ingested_at, a."partition", a."offset"
+    from ({_MARKED}) a left join place_best b on a.lat = b.lat and a.lon = b.lon
+    where epoch_us(a.event_time) > a.mark and epoch_us(a.event_time) <= {_LAST_MARK}"""
+_STATE = f"""
+    select * from change union all
+    select mmsi, 'state_transition', state, 'EXPIRED', null, 'EXPIRED', null, event_time from track_end
+    where not followed and {_LAST_MARK} > t + {EXPIRY_US}"""
+
+ORACLE = {name: _with(select) for name, select in _SELECT.items()} | {
+    "stream_state": _with(_STATE, silver=_APPLIED),
+    "stream_state_messages": _with(f"""
+        select 'vessel.state.changes' as topic, event_type, derived_state, count(*) as n, count(distinct mmsi) as vessels,
+               max(transition_time) as newest from ({_STATE}) group by all""", silver=_APPLIED),
+    "stream_late_rows": _with(f"select mmsi, count(*) as late_rows from ({_MARKED}) where epoch_us(event_time) <= mark group by mmsi"),
+}

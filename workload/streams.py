@@ -17,8 +17,11 @@ from harborflow.streaming import jobs, sinks
 from workload import mapping as M
 from workload.queries import query
 
-SLICES = 4
+SLICES = 5
 FILES_PER_SLICE = 4
+# In the state stream, rows arrive up to a day and a half before or after their slice, and the watermark is two days behind.
+SHIFT_MICROS = 12 * 3600 * 1_000_000
+DELAY = "2 days"
 
 
 def _envelope_row(topic: str, message_type: str, meta: list[Column], report: Column, ingested_at: Column) -> Column:
@@ -60,17 +63,23 @@ def static_topic(static: DataFrame) -> DataFrame:
     )
 
 
-def write_slices(topic: DataFrame, path: str, slices: int = SLICES) -> None:
-    """Append the topic's rows in time order, slice by slice: files are read in the order they appear."""
+def write_slices(topic: DataFrame, path: str, slices: int = SLICES, shuffled: bool = False) -> None:
+    """Append the topic's rows, slice by slice: files are read in the order they appear.
+
+    Slices follow time, but a second delivery comes a slice later; if shuffled, rows are also moved in time, by seven steps.
+    """
     first, last = topic.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
     if first is None:
         topic.write.parquet(path)
         return
     width = (last - first) // slices + 1
-    number = F.floor((F.unix_micros("timestamp") - F.lit(first)) / F.lit(width))
+    event = F.col("offset") % 1_000_000_000
+    shift = ((event * 7919) % 7 - 3) * SHIFT_MICROS if shuffled else F.lit(0)
+    number = F.floor((F.unix_micros("timestamp") - F.lit(first) + shift) / F.lit(width))
+    number = F.greatest(number, F.lit(0)) + F.floor(F.col("offset") / 1_000_000_000)
     for i in range(slices):
-        # Two deliveries of one report stay in one slice, as they have one time.
-        topic.filter(number == i).repartition(FILES_PER_SLICE, "key").write.mode("append").parquet(path)
+        # The same number of files a slice, so that a micro-batch is a slice.
+        topic.filter(F.least(number, F.lit(slices - 1)) == i).repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
 
 
 def _source(path: str) -> dict[str, str]:
@@ -105,20 +114,42 @@ def stream_quarantine(spark, sf):
     )
 
 
-@query
-def stream_state(spark, sf):
+def run_state(spark: SparkSession, sf: str) -> str:
+    """Every decoded row, bad and redelivered ones too, out of order."""
     base = new_path(spark, "lake")
-    write_slices(position_topic(M.clean(spark, sf)), f"{base}/topic")
-    stream = jobs.position_stream(spark, **_source(f"{base}/topic"))
+    write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic", shuffled=True)
+    stream = jobs.position_stream(spark, delay=DELAY, **_source(f"{base}/topic"))
     _finish(jobs.run_state_changes(
         stream, M.index(spark), base, available_now=True, debounce=M.DEBOUNCE, discrepancy=M.DISCREPANCY,
         expiry=M.EXPIRY, message_format="json",
     ))
-    return tables.read_table(spark, base, "vessel_state_changes", schemas.STATE_CHANGES).select(
+    return base
+
+
+@query
+def stream_state(spark, sf):
+    return tables.read_table(spark, run_state(spark, sf), "vessel_state_changes", schemas.STATE_CHANGES).select(
         *schemas.STATE_CHANGES.names
     )
 
 
+@query
+def stream_state_messages(spark, sf):
+    """The message side of the state stream, read back: changes by type and state."""
+    stored = spark.read.schema("key string, value string, topic string").json(f"{run_state(spark, sf)}/state_change_messages")
+    change = F.from_json("value", schemas.STATE_CHANGES)
+    return stored.select("key", "topic", change.alias("c")).groupBy("topic", "c.event_type", F.col("c.derived_state").alias("derived_state")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("vessels"), F.max("c.transition_time").alias("newest")
+    )
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Rows behind the watermark, by vessel."""
+    late = tables.read_table(spark, run_state(spark, sf), "late_positions", schemas.LATE)
+    return late.groupBy("mmsi").agg(F.sum("late_rows").alias("late_rows"))
+
+
 @query
 def stream_ship_static(spark, sf):
     base = new_path(spark, "lake")
