@@ -11,7 +11,7 @@ from harborflow.operators.quality import tag_quality
 from harborflow.operators.spatial import ZoneIndex, best_zone
 from harborflow.sources import messages
 from harborflow.streaming import sinks
-from harborflow.streaming.state import first_deliveries, track_vessels
+from harborflow.streaming.state import STRETCH_SECONDS, first_deliveries, track_vessels
 
 POSITIONS_TOPIC = K.TOPIC_BY_MESSAGE_TYPE["PositionReport"]
 STATIC_TOPIC = K.TOPIC_BY_MESSAGE_TYPE["ShipStaticData"]
@@ -51,10 +51,10 @@ def run_ship_static(static: DataFrame, base: str, *, available_now: bool = False
 def run_state_changes(
     positions: DataFrame, zones: ZoneIndex, base: str, *, available_now: bool = False,
     debounce: int = K.DEBOUNCE_SECONDS, discrepancy: int = K.DISCREPANCY_SECONDS,
-    expiry: int = K.EXPIRY_SECONDS, message_format: str | None = None, **message_options: str,
+    expiry: int = K.EXPIRY_SECONDS, stretch: int = STRETCH_SECONDS, message_format: str | None = None, **message_options: str,
 ) -> StreamingQuery:
     """Every decoded position goes in, checked or not, in any order, with its best zone."""
-    changes = track_vessels(best_zone(positions, zones), debounce=debounce, discrepancy=discrepancy, expiry=expiry)
+    changes = track_vessels(best_zone(positions, zones), debounce=debounce, discrepancy=discrepancy, expiry=expiry, stretch=stretch)
     writer = sinks.state_change_writer(base, message_format, **message_options)
     checkpoint = sinks.checkpoint_path(base, "vessel_state_changes")
     return sinks.start(changes, writer, checkpoint, available_now=available_now)

@@ -182,8 +182,8 @@ class VesselProcessor(StatefulProcessor):
     as large as what a vessel reports in it.
     """
 
-    def __init__(self, debounce: int, discrepancy: int, expiry: int):
-        self.tracker = Tracker(debounce, discrepancy, expiry)
+    def __init__(self, debounce: int, discrepancy: int, expiry: int, stretch: int):
+        self.tracker, self.stretch = Tracker(debounce, discrepancy, expiry), stretch * MICROS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -213,8 +213,7 @@ class VesselProcessor(StatefulProcessor):
             self.value.update(tuple(state[name] for name in STATE.names))
 
     def _hold(self, state: dict[str, Any], rows: pd.DataFrame) -> None:
-        width = STRETCH_SECONDS * MICROS
-        for stretch, part in rows.groupby(rows["t"] // width):
+        for stretch, part in rows.groupby(rows["t"] // self.stretch):
             key = (int(stretch),)
             table = pa.Table.from_pandas(part[_HELD.names], _HELD, preserve_index=False)
             if self.held.containsKey(key):
@@ -226,7 +225,7 @@ class VesselProcessor(StatefulProcessor):
 
     def _fold(self, state: dict[str, Any], watermark: int) -> list[dict[str, Any]]:
         """Apply all held rows up to the watermark (microseconds), in order."""
-        events, width = [], STRETCH_SECONDS * MICROS
+        events, width = [], self.stretch
         state["due"] = None
         for stretch in sorted(key[0] for key in self.held.keys()):
             if stretch * width > watermark:
@@ -293,7 +292,7 @@ def _observed(positions: DataFrame, tie: tuple[str, str]) -> list[Column]:
 
 def track_vessels(
     positions: DataFrame, *, debounce: int = K.DEBOUNCE_SECONDS, discrepancy: int = K.DISCREPANCY_SECONDS,
-    expiry: int = K.EXPIRY_SECONDS, tie: tuple[str, str] = ("partition", "offset"),
+    expiry: int = K.EXPIRY_SECONDS, tie: tuple[str, str] = ("partition", "offset"), stretch: int = STRETCH_SECONDS,
 ) -> DataFrame:
     """Streaming positions (with watermark and zone), in any order -> streaming rows of schema `TRACKED`: state changes, and
     per vessel and micro-batch how many rows came behind the watermark.
@@ -305,7 +304,7 @@ def track_vessels(
     cloudpickle.register_pickle_by_value(harborflow)
     usable = positions.filter(F.col("mmsi").isNotNull() & F.col("event_time").isNotNull())
     return usable.select(*_observed(usable, tie)).groupBy("mmsi").transformWithStateInPandas(
-        statefulProcessor=VesselProcessor(debounce, discrepancy, expiry),
+        statefulProcessor=VesselProcessor(debounce, discrepancy, expiry, stretch),
         outputStructType=TRACKED, outputMode="Append", timeMode="EventTime",
     )
 

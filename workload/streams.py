@@ -121,7 +121,7 @@ def run_state(spark: SparkSession, sf: str) -> str:
     stream = jobs.position_stream(spark, delay=DELAY, **_source(f"{base}/topic"))
     _finish(jobs.run_state_changes(
         stream, M.index(spark), base, available_now=True, debounce=M.DEBOUNCE, discrepancy=M.DISCREPANCY,
-        expiry=M.EXPIRY, message_format="json",
+        expiry=M.EXPIRY, stretch=2 * 86400, message_format="json",
     ))
     return base
 
