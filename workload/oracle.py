@@ -478,7 +478,7 @@ _SELECT = {
         from mapped""",
     "missing_operators": f"""
         select operator from (values ('APM'), ('TraPac'), ('LBCT'), ('Everport'), ('ITS'), ('APL'), ('YTI'), ('PCT')) t(operator)
-        where operator not in (select op from (select {_tag("name", "operator")} as op from mapped) where op is not null)""",
+        where operator not in (select op from (select {_tag("operator")} as op from mapped) where op is not null)""",
     "named_lines": """
         select p_partkey, name, 'noaa-breakwater-' || lower(replace(name, ' ', '-')) as zone_id from (
             select p_partkey, coalesce(name, 'Unnamed Breakwater '

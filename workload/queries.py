@@ -347,8 +347,8 @@ def attribution_report(spark, sf):
 
 @query
 def missing_operators(spark, sf):
-    """Operators no part is attributed to."""
-    tag = S.operator_tag([F.col("name"), F.col("operator")])
+    """Operators no part is attributed to by its operator tag alone; only every fourth part has one."""
+    tag = S.operator_tag([F.col("operator")])
     tagged = _part_names(spark, sf).withColumn("operator", tag)
     targets = spark.createDataFrame([(code,) for code in K.OPERATOR_ALIASES], "operator string")
     return zone_sources.missing_operators(tagged, targets)
