@@ -44,8 +44,8 @@ def edges(ring: Column) -> Column:
     )
 
 
-def ring_area(ring: Column) -> Column:
-    """Shoelace area in squared coordinate units, measured from the first vertex for precision."""
+def signed_area(ring: Column) -> Column:
+    """Shoelace area in squared coordinate units, measured from the first vertex for precision; negative if clockwise."""
     origin = F.get(ring, F.lit(0))
     twice = F.aggregate(
         edges(ring),
@@ -54,7 +54,11 @@ def ring_area(ring: Column) -> Column:
         + (e["x1"] - origin["x"]) * (e["y2"] - origin["y"])
         - (e["x2"] - origin["x"]) * (e["y1"] - origin["y"]),
     )
-    return F.abs(twice) / 2
+    return twice / 2
+
+
+def ring_area(ring: Column) -> Column:
+    return F.abs(signed_area(ring))
 
 
 def bbox(ring: Column) -> Column:

@@ -13,6 +13,7 @@ from harborflow import schemas
 from harborflow.functions import geometry as G
 from harborflow.functions.scalars import dms_to_degrees, not_excluded, operator_tag, slug
 from harborflow.operators.ordered import number_rows
+from harborflow.operators.rings import stitched_rings
 
 
 def _zone_columns(feature: str) -> list:
@@ -118,13 +119,16 @@ def skipped_areas(areas: DataFrame) -> DataFrame:
 def largest_outer_rings(members: DataFrame) -> DataFrame:
     """(element_id, role, member_no, ring) -> the largest closed outer ring of each relation.
 
-    A partial aggregate keeps one ring per relation and task. Open members are not stitched.
+    Outer members that are open ways are stitched where their ends meet, in any order and direction. A partial aggregate keeps
+    one ring per relation and task.
     """
-    outer = members.filter((F.col("role") == "outer") & G.is_area(F.col("ring")))
-    ranked = outer.select(
-        "element_id", "ring", F.struct(G.ring_area(F.col("ring")), -F.col("member_no")).alias("_rank")
-    )
-    return ranked.groupBy("element_id").agg(F.max_by("ring", "_rank").alias("ring"))
+    outer = members.filter(F.col("role") == "outer")
+    closed = F.get("ring", F.lit(0)) == F.try_element_at("ring", F.lit(-1))
+    pieces = outer.filter(~closed).select("element_id", F.col("member_no").alias("way"), F.col("ring").alias("points"))
+    rings = outer.select("element_id", "ring").unionByName(stitched_rings(pieces, "element_id"))
+    # The points settle which of equally large rings is taken.
+    ranked = rings.filter(G.is_area(F.col("ring"))).select("element_id", F.struct(G.ring_area(F.col("ring")).alias("area"), "ring").alias("_r"))
+    return ranked.groupBy("element_id").agg(F.max("_r").alias("_r")).select("element_id", "_r.ring")
 
 
 def name_unnamed(lines: DataFrame, order: Sequence[str], default: str = "Unnamed Breakwater") -> DataFrame:

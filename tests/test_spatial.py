@@ -1,5 +1,6 @@
 import json
 import math
+import random
 from itertools import combinations
 
 import numpy as np
@@ -10,6 +11,7 @@ from harborflow import schemas
 from harborflow.functions import geometry as G
 from harborflow.operators import spatial
 from harborflow.operators.checks import zone_checks
+from harborflow.operators.rings import stitched_rings
 from harborflow.sources import zones as Z
 
 
@@ -234,6 +236,59 @@ def test_relation_keeps_its_largest_closed_outer_ring(spark):
     assert got == {1: 5}
 
 
+def stitched(spark, ways):
+    rows = [(g, n, pts(*w)) for g, n, w in ways]
+    df = spark.createDataFrame(rows, "g int, way int, points array<struct<x double, y double>>")
+    got = stitched_rings(df, "g").select("g", "ring", G.ring_area(F.col("ring")).alias("a"), G.is_area(F.col("ring")).alias("ok")).collect()
+    assert all(r["ok"] for r in got)
+    return sorted((r["g"], len(r["ring"]), round(r["a"], 9)) for r in got)
+
+
+def test_stitching_in_any_order_and_direction(spark):
+    r = random.Random(5)
+    ring = [(math.cos(i / 40 * 2 * math.pi), math.sin(i / 40 * 2 * math.pi)) for i in range(40)]
+    area = 20 * math.sin(math.pi / 20)
+    ways = []
+    for g in range(12):
+        cuts = sorted(r.sample(range(40), g + 1)) if g else [7]
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:] + [cuts[0] + 40], strict=True)):
+            way = [ring[i % 40] for i in range(a, b + 1)]
+            ways.append((g, n, way if r.random() < 0.5 else way[::-1]))
+    r.shuffle(ways)
+    assert stitched(spark, ways) == [(g, 41, round(area, 9)) for g in range(12)]
+
+
+def test_stitching_leaves_out_what_encloses_nothing(spark):
+    left, right = [(0, 0), (0, 2), (2, 2)], [(2, 2), (2, 0), (0, 0)]
+    ways = [
+        # A spur outside, one inside, and a way to a smaller ring inside.
+        (1, 0, left), (1, 1, right), (1, 2, [(2, 2), (3, 3)]), (1, 3, [(0, 0), (0.5, 0.5)]), (1, 4, [(0.5, 0.5), (1, 1)]),
+        (1, 5, [(1, 1), (1.5, 1)]), (1, 6, [(1.5, 1), (1, 1.5), (1, 1)]),
+        # Never closed; one point; the same point twice.
+        (2, 0, left), (2, 1, [(5, 5)]), (2, 2, [(6, 6), (6, 6)]),
+        # Repeated points do no harm.
+        (3, 0, [(0, 0), (0, 0), (0, 2), (2, 2), (2, 2)]), (3, 1, right),
+    ]
+    assert stitched(spark, ways) == [(1, 4, 0.125), (1, 5, 4.0), (3, 5, 4.0)]
+
+
+def test_stitching_rings_that_touch_and_rings_that_share_a_way(spark):
+    ways = [
+        # Two squares with one point in common: two rings.
+        (1, 0, [(0, 0), (1, 0), (1, 1)]), (1, 1, [(1, 1), (0, 1), (0, 0)]), (1, 2, [(1, 1), (2, 1), (2, 2)]), (1, 3, [(2, 2), (1, 2), (1, 1)]),
+        # A shared border between two areas: one ring around both.
+        (2, 0, [(0, 0), (2, 0), (2, 1), (1, 1)]), (2, 1, [(1, 1), (0, 1), (0, 0)]), (2, 2, [(0, 0), (1, 1)]),
+        # Three petals at one point.
+        (3, 0, [(0, 0), (2, 1), (2, -1)]), (3, 1, [(2, -1), (0, 0)]), (3, 2, [(0, 0), (-1, 2)]), (3, 3, [(-1, 2), (-2, 1), (0, 0)]),
+        (3, 4, [(0, 0), (-1, -3), (1, -3), (0, 0)]),
+    ]
+    assert stitched(spark, ways) == [(1, 5, 1.0), (1, 5, 1.0), (2, 6, 2.0), (3, 4, 1.5), (3, 4, 2.0), (3, 4, 3.0)]
+
+
+def test_stitching_nothing(spark):
+    assert stitched(spark, []) == []
+
+
 def test_geojson_both_forms(spark, tmp_path):
     feature = {
         "type": "Feature",
