@@ -273,21 +273,26 @@ def closed_ways(spark, sf):
 
 
 def _cut_ways(ways):
-    """Closed ways as two to four open pieces, every second one turned round; open ways as they are."""
+    """Closed ways of distinct directions as two to four open pieces, every second one turned round; other ways as they are.
+
+    All ways are drawn around one centre, so the cut ones go to places of their own: ends meet only where a way was cut. With a
+    direction twice, neighbouring edges lie on each other, and rounding decides whether they count as crossing.
+    """
     k, edges = F.col("member_no"), F.size("ring") - 1
     pieces = F.least(F.lit(2) + k % 3, edges)
+    apart = F.transform("ring", lambda p: G.point(p["x"] + k % 1000, p["y"] + F.floor(k / 1000) % 1000))
+
     # Piece i runs over the points from i/pieces to (i+1)/pieces of the edges.
     def piece(i):
         lo, hi = F.floor(edges * i / pieces), F.floor(edges * (i + 1) / pieces)
-        part = F.slice("ring", (lo + 1).cast("int"), (hi - lo + 1).cast("int"))
+        part = F.slice(apart, (lo + 1).cast("int"), (hi - lo + 1).cast("int"))
         return F.struct(i.alias("i"), F.when((k + i) % 2 == 0, part).otherwise(F.reverse(part)).alias("ring"))
 
     cut = F.transform(F.sequence(F.lit(0).cast("long"), pieces - 1), piece)
     closed = (edges >= 2) & (F.get("ring", F.lit(0)) == F.try_element_at("ring", F.lit(-1)))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.col("ring").alias("ring")))
-    return ways.select("element_id", "role", "member_no", F.explode(F.when(closed, cut).otherwise(whole)).alias("p")).select(
-        "element_id", "role", (k * 4 + F.col("p.i")).alias("member_no"), "p.ring"
-    )
+    each = F.explode(F.when(closed & F.col("distinct"), cut).otherwise(whole)).alias("p")
+    return ways.select("element_id", "role", "member_no", each).select("element_id", "role", (k * 4 + F.col("p.i")).alias("member_no"), "p.ring")
 
 
 @query
@@ -297,11 +302,11 @@ def largest_outer_rings(spark, sf):
         F.col("o_orderkey").alias("member_no"), F.col("o_custkey").alias("element_id"),
         F.when(F.col("o_orderstatus") == "F", "outer").otherwise("inner").alias("role"),
     )
-    # Each way in a place of its own: all are drawn around one centre, and ends meet only where a way was cut.
-    k = F.col("l_orderkey")
-    apart = F.transform("ring", lambda p: G.point(p["x"] + k % 1000, p["y"] + F.floor(k / 1000) % 1000))
-    ways = _order_ways(spark, sf).select(k.alias("member_no"), apart.alias("ring"))
-    rings = zone_sources.largest_outer_rings(_cut_ways(orders.join(ways, "member_no")))
+    ways = _order_ways(spark, sf).withColumnRenamed("l_orderkey", "member_no")
+    directions = M.order_waypoints(spark, sf).groupBy(F.col("l_orderkey").alias("member_no")).agg(
+        (F.count_distinct("seq") == F.count(F.lit(1))).alias("distinct")
+    )
+    rings = zone_sources.largest_outer_rings(_cut_ways(orders.join(ways, "member_no").join(directions, "member_no")))
     return rings.select("element_id", _r(G.ring_area(F.col("ring")), 9).alias("area"))
 
 
