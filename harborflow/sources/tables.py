@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from harborflow.operators.ordered import number_rows
 # Last partition level of every table that micro-batches append to.
 LOAD = "load"
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+_VERSIONS, _CURRENT = "versions", "current"
 _JSON = {"ignoreNullFields": "false", "timestampFormat": _TIME}
 
 
@@ -103,20 +105,73 @@ def snapshot_lines(ships: DataFrame, generated_at: Column) -> DataFrame:
     return ends.unionByName(listed)
 
 
-def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = None) -> None:
-    """Replace the snapshot, whatever its size: JSON lines under `rows/`, and under `document/` text files that, one after the
-    other, are a single JSON document.
+def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = None) -> str:
+    """Publish a snapshot of any size; returns its folder.
+
+    Every export fills a new folder under `versions/`: JSON lines in `rows/`, and in `document/` text files that, one after the
+    other, are a single JSON document. The file `current` names the version to read and is put in place by one rename when all
+    is written, so readers see the former snapshot or this one whole, and a failed export changes nothing for them. The former
+    version stays for those who are reading it; older and abandoned ones go.
     """
+    spark = ships.sparkSession
     generated_at = F.current_timestamp() if generated_at is None else generated_at
-    rows = os.path.join(path, "rows")
-    ships.write.mode("overwrite").options(**_JSON).json(rows)
-    written = ships.sparkSession.read.schema(ships.schema).options(**_JSON).json(rows)
-    document = snapshot_lines(written, generated_at).orderBy("position").select("value")
-    document.write.mode("overwrite").text(os.path.join(path, "document"))
+    before = snapshot_folder(spark, path)
+    version = uuid.uuid4().hex
+    folder = os.path.join(path, _VERSIONS, version)
+    rows = os.path.join(folder, "rows")
+    ships.write.options(**_JSON).json(rows)
+    written = spark.read.schema(ships.schema).options(**_JSON).json(rows)
+    snapshot_lines(written, generated_at).orderBy("position").select("value").write.text(os.path.join(folder, "document"))
+    _publish(spark, path, version)
+    _keep_versions(spark, path, {version, os.path.basename(before or "")})
+    return folder
+
+
+def _publish(spark: SparkSession, path: str, version: str) -> None:
+    """Write the pointer aside and rename it over the old one, which file systems do in one step."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    final, aside = fs.Path(os.path.join(path, _CURRENT)), fs.Path(os.path.join(path, _VERSIONS, version, _CURRENT))
+    out = final.getFileSystem(conf).create(aside, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(final.getFileSystem(conf).makeQualified(final).toUri(), conf).rename(aside, final, overwrite)
+
+
+def _keep_versions(spark: SparkSession, path: str, names: set[str]) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, _VERSIONS))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.listStatus(root):
+        if found.getPath().getName() not in names:
+            files.delete(found.getPath(), True)
+
+
+def snapshot_folder(spark: SparkSession, path: str) -> str | None:
+    """Folder of the published snapshot, None before the first."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, _CURRENT))
+    if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
+        return None
+    return os.path.join(path, _VERSIONS, spark.read.text(pointer.toString()).first()["value"])
+
+
+def _published(spark: SparkSession, path: str) -> str:
+    folder = snapshot_folder(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no snapshot has been published under {path}")
+    return folder
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The published ships."""
+    return spark.read.schema(schema).options(**_JSON).json(os.path.join(_published(spark, path), "rows"))
 
 
 def read_snapshot_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The ships of the document, one row a line (`value`), head and tail left out."""
-    lines = spark.read.text(os.path.join(path, "document"))
+    """The ships of the published document, one row a line (`value`), head and tail left out."""
+    lines = spark.read.text(os.path.join(_published(spark, path), "document"))
     ship = F.regexp_replace("value", "^,", "")
     return lines.filter(~F.col("value").startswith('{"generated_at"') & (F.col("value") != "]}")).select(ship.alias("value"))

@@ -159,28 +159,52 @@ def test_trailing_window_includes_both_ends(spark):
     assert sorted(r["event_time"] for r in agree.trailing_window(positions, 1).collect()) == [at(0), at(60)]
 
 
-def document_in(base):
+def document_in(folder):
     """The text files one after the other are one JSON document."""
-    return json.loads("".join(open(p).read() for p in sorted(glob.glob(os.path.join(base, "document", "part-*")))))
+    return json.loads("".join(open(p).read() for p in sorted(glob.glob(os.path.join(folder, "document", "part-*")))))
 
 
 def test_snapshot_files(spark, base):
     dwell = models.anchorage_dwell(sessions_of(spark, transition(0, "UNKNOWN", "AT_ANCHOR", ANCHORAGE[1])))
     vessels = spark.createDataFrame([("9", "OTHER")], "mmsi string, ship_name string")
     snapshot = models.at_anchor_now(dwell, vessels, F.lit(AS_OF))
-    tables.export_snapshot(snapshot.limit(0), base, F.lit(AS_OF))
-    assert document_in(base)["ships_at_anchor"] == []
+    folder = tables.export_snapshot(snapshot.limit(0), base, F.lit(AS_OF))
+    assert document_in(folder)["ships_at_anchor"] == []
     # A later export replaces the document, whatever its size.
     many = spark.range(500).join(snapshot).withColumn("mmsi", F.col("id").cast("string")).select(snapshot.columns)
-    tables.export_snapshot(many, base, F.lit(AS_OF))
-    assert sorted(int(s["mmsi"]) for s in document_in(base)["ships_at_anchor"]) == list(range(500))
-    tables.export_snapshot(snapshot, base, F.lit(AS_OF))
-    (ship,) = document_in(base)["ships_at_anchor"]
+    folder = tables.export_snapshot(many, base, F.lit(AS_OF))
+    assert sorted(int(s["mmsi"]) for s in document_in(folder)["ships_at_anchor"]) == list(range(500))
+    folder = tables.export_snapshot(snapshot, base, F.lit(AS_OF))
+    (ship,) = document_in(folder)["ships_at_anchor"]
     assert ship["mmsi"] == "1" and ship["ship_name"] is None and ship["minutes_at_anchor"] == 1000
     assert models.ships_at_anchor(snapshot).first()[0] == 1
     assert models.presented(snapshot).columns[0] == "MMSI"
 
 
+def test_snapshot_is_replaced_as_a_whole(spark, base):
+    ships = spark.createDataFrame([(AS_OF, "1"), (AS_OF, "2")], "arrival_time timestamp, mmsi string")
+    names = lambda rows: sorted(r["mmsi"] for r in rows.collect())
+    assert tables.snapshot_folder(spark, base) is None
+    with pytest.raises(FileNotFoundError):
+        tables.read_snapshot(spark, base, ships.schema)
+    first = tables.export_snapshot(ships, base, F.lit(AS_OF))
+    reader = tables.read_snapshot(spark, base, ships.schema)
+    lines = tables.read_snapshot_lines(spark, base)
+
+    # A write that fails half-way: the rows are there, the document is not.
+    with pytest.raises(Exception, match="broken"):
+        tables.export_snapshot(ships.limit(1), base, F.raise_error(F.lit("broken")).cast("timestamp"))
+    assert tables.snapshot_folder(spark, base) == first
+    assert names(tables.read_snapshot(spark, base, ships.schema)) == ["1", "2"]
+
+    second = tables.export_snapshot(ships.filter("mmsi = '2'"), base, F.lit(AS_OF))
+    assert tables.snapshot_folder(spark, base) == second != first
+    assert names(tables.read_snapshot(spark, base, ships.schema)) == ["2"]
+    # Who had begun to read the former version can finish; what failed is gone.
+    assert names(reader) == ["1", "2"] and lines.count() == 2
+    assert sorted(os.listdir(os.path.join(base, "versions"))) == sorted(map(os.path.basename, (first, second)))
+
+
 def test_dedup_top_keys_and_numbering(spark):
     df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 1, 3, "y"), ("b", 1, 9, "z"), ("a", 2, 1, None)],
                                "mmsi string, event_time int, offset int, v string")
