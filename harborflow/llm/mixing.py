@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from harborflow.llm.names import free_names
+
 WORD = r"[^\x20\x09-\x0D]+"
 # Production mix: weights by rank of the source name, repeating; all targets together as a share of all words; cap.
 WEIGHTS = (5, 2, 1)
@@ -22,6 +24,7 @@ SHARE = 1.5
 CAP = 2
 SEED = "mix-1:"
 ROWS_PER_RANGE = 4_000
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def n_words(text: Column) -> Column:
@@ -58,30 +61,37 @@ def mix_sources(
 ) -> DataFrame:
     """All columns of `docs` with size, source_size, target and taken: how many words of the row the mix takes."""
     ranges = max(1, -(-docs.count() // rows_per_range))
+    group, key, part, tie, start, inside = free_names([*docs.columns, *ADDED], "_source", "_key", "_range", "_text", "_start", "_inside")
     name = F.when(F.col("source").isNull(), F.lit("b")).otherwise(F.concat(F.lit("a"), F.col("source")))
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    rows = docs.drop("size", "source_size", "target", "taken").withColumns({"size": n_words(F.col("text")), "_source": name, "_key": key})
-    rows = rows.withColumn("_range", F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("long"))
+    hashed = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    rows = docs.drop(*ADDED).withColumns({"size": n_words(F.col("text")), group: name, key: hashed, tie: F.xxhash64("text")})
+    rows = rows.withColumn(part, F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("long"))
 
-    parts = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_part"))
+    parts = rows.groupBy(F.col(group).alias("_source"), F.col(part).alias("_range")).agg(F.sum("size").alias("_part"))
     targets = water_levels(parts.groupBy("_source").agg(F.sum("_part").alias("source_size")), weights, share, cap)
     earlier = W.partitionBy("_source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    starts = parts.select("_source", "_range", F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_start")).join(targets, "_source")
+    starts = parts.withColumn("_start", F.coalesce(F.sum("_part").over(earlier), F.lit(0))).join(targets, "_source").select(
+        F.col("_source").alias(group), F.col("_range").alias(part), F.col("_start").alias(start), "source_size", "target"
+    )
 
-    inside = W.partitionBy("_source", "_range").orderBy("_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_source", "_range"])
+    # Different texts of one doc_id and size keep their order when the mix is run again.
+    before = W.partitionBy(group, part).orderBy(key, "doc_id", "size", tie).rowsBetween(W.unboundedPreceding, -1)
+    placed = rows.withColumn(inside, F.coalesce(F.sum("size").over(before), F.lit(0))).join(starts, [group, part])
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
-    left = budget - epochs * F.col("source_size") - F.col("_start") - F.col("_inside")
+    left = budget - epochs * F.col("source_size") - F.col(start) - F.col(inside)
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
-    return placed.withColumn("taken", taken).drop("_source", "_range", "_key", "_part", "_start", "_inside")
+    return placed.withColumn("taken", taken).drop(group, part, key, tie, start, inside)
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself, in the columns of `docs`: a row taken in part is cut after its last taken word (words then joined
-    by one space), a row taken more than once repeats its text after a line feed, a row of which nothing is taken goes.
+    """The mix itself, in the columns of `docs`, which keep what they hold whatever their names: a row taken in part is cut after
+    its last taken word (words then joined by one space), a row taken more than once repeats its text after a line feed, a row of
+    which nothing is taken goes.
     """
-    mixed = mix_sources(docs, **options).filter(F.col("taken") > 0)
+    clashing = [c for c in docs.columns if c.lower() in ADDED]
+    aside = dict(zip(clashing, free_names([*docs.columns, *ADDED], *(f"_own_{c}" for c in clashing)), strict=True))
+    mixed = mix_sources(docs.withColumnsRenamed(aside), **options).filter(F.col("taken") > 0)
     words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     rest = (F.col("taken") % F.col("size")).cast("int")
     whole = F.array_repeat(F.col("text"), F.floor(F.col("taken") / F.col("size")).cast("int"))
@@ -89,4 +99,4 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     out = mixed.withColumn("text", F.array_join(F.concat(whole, part), "\n"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])

@@ -84,6 +84,48 @@ def op9_quality_rules(spark, sf):
     return quality_rules.quality_rules(documents(spark, sf))
 
 
+ORACLE["op9_quality_rules"] = r"""
+with t as (
+  select row_number() over () as row, doc_id, source, coalesce(text, '') as text from documents
+), w as (
+  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from t
+), cut as (
+  select row, doc_id, source, unnest(string_split(text, chr(10))) as line from w
+), l as (
+  select row, doc_id, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as parts from cut
+), line as (
+  select row, doc_id, source, line, len(parts) as words,
+    translate(array_to_string(parts, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
+  from l where len(parts) > 0
+), dup as (
+  select row, count(*) - count(distinct line) as n from line group by row
+), win as (
+  select row, i, array_to_string(words[i:i + 7], ' ') as run from (select row, words, unnest(range(1, len(words) - 6)) as i from w)
+), twice as (
+  select row, i from win qualify count(*) over (partition by row, run) > 1
+), again as (
+  select row, count(distinct i + j) as n from twice, (select unnest(range(8)) as j) group by row
+), content as (
+  select source, min(row) as row, min(doc_id) as doc_id from w group by source, array_to_string(words, ' ')
+), held as (
+  select distinct c.source, c.row, c.doc_id, norm from content c join line using (row)
+), common as (
+  select source, norm, min(doc_id) as first_doc from held group by source, norm having count(*) >= 20
+), gone as (
+  select l.row, cast(sum(words) as bigint) as n from line l join common c on l.norm = c.norm and l.source is not distinct from c.source
+  where l.doc_id is distinct from c.first_doc group by l.row
+), s as (
+  select doc_id, source, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines,
+    coalesce(again.n, 0) as n_repeat_words, coalesce(gone.n, 0) as removed_words
+  from w left join dup using (row) left join again using (row) left join gone using (row)
+), b as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from s
+)
+select *, not base_failed and n_words - removed_words >= n_words * 0.4e0 as kept from b
+"""
+
+
 @query
 def op10_retrieval_packing(spark, sf):
     packed = packing.pack_documents(documents(spark, sf), payload=packing.crc)
@@ -101,6 +143,26 @@ def op2_substring_dedup(spark, sf):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op2_substring_dedup"] = r"""
+with w as (
+  select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), win as (
+  select row, doc_id, i, array_to_string(words[i:i + 12], ' ') as run
+  from (select row, doc_id, words, unnest(range(1, len(words) - 11)) as i from w where doc_id is not null)
+), hit as (
+  select row, i from win qualify min(doc_id) over (partition by run) < doc_id
+), gone as (
+  select distinct row, i + j as place from hit, (select unnest(range(13)) as j)
+), each as (
+  select row, unnest(words) as word, generate_subscripts(words, 1) as place from w
+), left_over as (
+  select row, string_agg(word, ' ' order by place) as kept, count(*) as n from each anti join gone using (row, place) group by row
+)
+select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from w left join left_over using (row)
+"""
+
+
 @query
 def op3_language_id(spark, sf):
     return language_id.language_id(documents(spark, sf))

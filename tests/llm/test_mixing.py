@@ -59,5 +59,25 @@ def test_texts_follow_what_is_taken(spark):
     assert got == taken
 
 
+def test_names_that_clash(spark):
+    names = ["_source", "_key", "_range", "_part", "_start", "_inside", "_text", "Target", "_own_size", "taken"]
+    docs = frame(spark).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    plain = sorted((repr((r.doc_id, r.source, r.taken)) for r in mixing.mix_sources(frame(spark)).collect()))
+    out = mixing.mix_sources(docs)
+    assert {"_source", "_key", "_range", "_part", "_start", "_inside", "_text", "_own_size"} <= set(out.columns)
+    assert sorted(repr((r.doc_id, r.source, r.taken)) for r in out.collect()) == plain
+    texts = mixing.mixed_texts(docs)
+    assert texts.columns == docs.columns
+    for r in texts.collect():
+        assert r["size"] == "x" and all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in names)
+
+
+def test_equal_ids_and_sizes_are_taken_alike_in_any_order(spark):
+    docs = spark.createDataFrame([(1, "a", f"w{i} x") for i in range(40)], "doc_id long, source string, text string")
+    one = sorted(tuple(r) for r in mixing.mixed_texts(docs).collect())
+    other = sorted(tuple(r) for r in mixing.mixed_texts(docs.orderBy(F.desc("text")).repartition(5)).collect())
+    assert one == other and 0 < len(one)
+
+
 def test_empty_table(spark):
     assert mixing.mix_sources(frame(spark).limit(0)).count() == 0

@@ -60,6 +60,17 @@ def test_stages(spark, reference):  # noqa: F811
     test_packing.check(pieces, [r[:2] for r in mixed], reference)
 
 
+def test_near_copies_without_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda *other: " ".join(w if i not in other else f"o{i}" for i, w in enumerate(words))
+    rows = [(None, near(), "a"), (None, near(59), "b"), (None, near(58, 59), "c"), (None, "quite another text of a few words", "d"), (None, None, "e"), (None, None, "f")]
+    frame = lambda more: spark.createDataFrame(rows + more, "doc_id long, text string, source string").coalesce(1)
+    assert sorted(r.source for r in cp.near_duplicates(spark, frame([]), SF).collect()) == ["a", "d", "e", "f"]
+    got = cp.near_duplicates(spark, frame([(7, near(0), "g"), (5, near(1), "h")]), SF)
+    assert got.columns == ["doc_id", "text", "source"]
+    assert sorted((r.doc_id or 0, r.source) for r in got.collect()) == [(0, "d"), (0, "e"), (0, "f"), (5, "h")]
+
+
 def test_run_equals_its_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     steps = Stages(spark, "test-pipeline-run")
@@ -71,7 +82,7 @@ def test_run_equals_its_stages(spark):
 
 def test_registration():
     assert cp.ORACLE_SQL is None and len(cp.STAGES) == 5
-    assert [re.match(r"op(\d+)_", n)[1] for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [str(i) for i in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [str(i) for i in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES)
 
 
