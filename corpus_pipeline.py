@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborflow.llm import jaccard_join, line_dedup, mixing, packing, quality_classifier
+from harborflow.llm.names import free_names
 from harborflow.llm.stages import Stages
 
 
@@ -28,11 +29,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group that links of five-word shingles connect."""
-    groups = jaccard_join.jaccard_join(docs, words=5, share=(4, 5))
-    keep = groups.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    keep = keep.withColumnRenamed("doc_id", "_keep")
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+    """One document, that of the smallest doc_id, of each group that links of five-word shingles connect. Documents without a
+    doc_id come after all others and are told apart by their place; the first of a group without any doc_id stays.
+    """
+    if docs.filter(F.col("doc_id").isNull()).isEmpty():
+        return _smallest(docs, "doc_id")
+    (number,) = free_names(docs.columns, "_number")
+    place = F.lit(2**62) + F.monotonically_increasing_id()
+    numbered = docs.withColumn(number, F.coalesce(F.col("doc_id").cast("long"), place))
+    # Written, so that a place does not depend on which task reads which file when a lost one is run again.
+    numbered = Stages(spark, "pipeline").put(numbered, "numbered")
+    return _smallest(numbered, number).drop(number)
+
+
+def _smallest(docs: DataFrame, number: str) -> DataFrame:
+    groups = jaccard_join.jaccard_join(docs.select(F.col(number).alias("doc_id"), "text"), words=5, share=(4, 5))
+    keep = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
+    return docs.join(keep, docs[number] == keep["_keep"], "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
