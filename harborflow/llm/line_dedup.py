@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
+from harborflow.llm.names import free_names
 from harborflow.llm.stages import Stages
 from harborflow.llm.tokens import ranges
 
@@ -373,22 +374,27 @@ def line_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     )
 
 
-def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the kept lines only; a text of which all lines stay is left as it is."""
-    for batch in batches:
-        out = []
-        for text, kept, n in zip(*(batch.column(c).to_pylist() for c in ("text", "kept_lines", "n_lines")), strict=True):
-            lines = text.split("\n") if len(kept) < n else []
-            out.append("\n".join(lines[i] for i in kept) if lines else text)
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["kept_lines", "n_lines"])
+def rebuilt(kept_lines: str, n_lines: str):
+    """Texts of the kept lines only, whose numbers the named columns give; a text of which all lines stay is left as it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, kept, n in zip(*(batch.column(c).to_pylist() for c in ("text", kept_lines, n_lines)), strict=True):
+                lines = text.split("\n") if len(kept) < n else []
+                out.append("\n".join(lines[i] for i in kept) if lines else text)
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns([kept_lines, n_lines])
+
+    return run
 
 
 def deduplicated_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The columns of docs; texts hold the lines that stay, whole and in order. Documents without any are left out, and n_chars
     is counted anew. Rows meet their lines by doc_id and a 64-bit hash of the text. Rows equal in both would all meet the lines that
-    the first of them keeps, so only the first in storage order is taken.
+    the first of them keeps, so only the first in storage order is taken. Columns keep what they hold whatever their names.
     """
+    hashed, place, kept_lines, n_lines = free_names(docs.columns, "_hash", "_at", "kept_lines", "n_lines")
     body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     dedup = Dedup(docs, group)
     kept, stays = dedup.run()
@@ -399,22 +405,22 @@ def deduplicated_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
     repeated = dedup.steps.put(repeated, "repeated").alias("r")
 
     def met(one: DataFrame, lines: DataFrame) -> DataFrame:
-        one, lines = one.withColumn("_hash", body).alias("o"), lines.alias("l")
-        return one.join(lines, F.col("o.doc_id").eqNullSafe(F.col("l._doc")) & (F.col("o._hash") == F.col("l._body")))
+        one, lines = one.withColumn(hashed, body).alias("o"), lines.alias("l")
+        return one.join(lines, F.col("o.doc_id").eqNullSafe(F.col("l._doc")) & (F.col(f"o.{hashed}") == F.col("l._body")))
 
-    def parts(rows: DataFrame) -> DataFrame:
-        return rows.select(F.struct(*[F.col(f"o.`{c}`") for c in docs.columns]).alias("o"), "l.*", *([c for c in ["_at"] if c in rows.columns]))
+    def parts(rows: DataFrame, numbered: bool = False) -> DataFrame:
+        return rows.select(F.struct(*[F.col(f"o.`{c}`") for c in docs.columns]).alias("o"), "l.*", *([F.col(f"o.{place}").alias("_at")] if numbered else []))
 
     same = F.col("f._doc").eqNullSafe(F.col("r._doc")) & (F.col("f._body") == F.col("r._body"))
     if repeated.isEmpty():
         joined = parts(met(docs, found))
     else:
-        many = parts(met(docs.withColumn("_at", F.monotonically_increasing_id()), found.join(repeated, same, "left_semi")))
+        many = parts(met(docs.withColumn(place, F.monotonically_increasing_id()), found.join(repeated, same, "left_semi")), numbered=True)
         first = many.groupBy("_doc", "_body").agg(*[F.min_by(c, "_at").alias(c) for c in ("o", "kept_lines", "n_lines")])
         joined = parts(met(docs, found.join(repeated, same, "left_anti"))).unionByName(first)
-    joined = joined.select(*[F.col("o").getField(c).alias(c) for c in docs.columns], "kept_lines", "n_lines")
+    joined = joined.select(*[F.col("o").getField(c).alias(c) for c in docs.columns], F.col("kept_lines").alias(kept_lines), F.col("n_lines").alias(n_lines))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = joined.mapInArrow(rebuilt, schema)
+    out = joined.mapInArrow(rebuilt(kept_lines, n_lines), schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

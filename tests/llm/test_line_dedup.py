@@ -112,6 +112,18 @@ def test_repeated_rows_through_two_stages(spark):
     assert sorted((tuple(r) for r in single.collect()), key=repr) == want
 
 
+def test_texts_with_names_that_clash(spark):
+    names = ["_hash", "_at", "kept_lines", "n_lines", "f", "o", "l", "_doc", "_body", "_row"]
+    text = "this line is long enough\nand so is this other one"
+    rows = [(1, text), (1, text), (2, text + "\nsome more of it"), (None, "a text without an id that comes twice"), (None, "a text without an id that comes twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(0)).cast("string")) for c in names})
+    got = ld.deduplicated_texts(docs)
+    assert got.columns == docs.columns
+    want = [(1, text), (2, "some more of it"), (None, rows[-1][1])]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((d, t, *(f"{c}{d or 0}" for c in names)) for d, t in want), key=repr)
+
+
 def test_automaton():
     r = random.Random(1)
     x, y = [], []
