@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborflow.operators.ordered import number_rows
+from harborflow.sources.files import matching, read_text, remove, remove_if_empty, replace_text
+from harborflow.sources.manifest import COMPACTED, LOAD, counts, read_manifest
 
-# Last partition level of every table that micro-batches append to.
-LOAD = "load"
+# What a micro-batch calls its load: writer and batch number.
+STREAM_LOAD = r"^(.+)-(\d+)$"
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _VERSIONS, _CURRENT = "versions", "current"
 _JSON = {"ignoreNullFields": "false", "timestampFormat": _TIME}
@@ -25,10 +28,31 @@ def table_path(base: str, name: str) -> str:
 def read_table(
     spark: SparkSession, base: str, name: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
+    """Scan a table, of tables with loads those that count (see `manifest`)."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(table_path(base, name))
+    while True:
+        manifest = read_manifest(spark, base, name)
+        found = reader.load(table_path(base, name))
+        # The files are listed by now; a manifest replaced meanwhile may belong to other files.
+        if read_manifest(spark, base, name) == manifest:
+            break
+    if LOAD not in found.columns:
+        return found
+    return found.filter(counts(manifest, partition_levels(spark, base, name)))
+
+
+def partition_levels(spark: SparkSession, base: str, name: str) -> tuple[str, ...]:
+    """Partition columns above the load level, read off the first folder of every level."""
+    levels: list[str] = []
+    folder = table_path(base, name)
+    while True:
+        below = [os.path.basename(p) for p in matching(spark, os.path.join(folder, "[!_.]*=*"))]
+        if not below or below[0].startswith(f"{LOAD}="):
+            return tuple(levels)
+        levels.append(below[0].partition("=")[0])
+        folder = os.path.join(folder, below[0])
 
 
 def write_table(df: DataFrame, base: str, name: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
@@ -56,21 +80,38 @@ def append_batch(
     belongs to its checkpoint, so other queries, and a query on a new checkpoint, never touch these rows.
     """
     writer = writer or df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
-    _save_load(df, base, name, f"{writer}-{batch_id}", partition_by, fmt)
+    save_load(df, base, name, f"{writer}-{batch_id}", partition_by, fmt)
 
 
 def write_load(df: DataFrame, base: str, name: str, load: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
-    """Batch counterpart of `append_batch`, for tables that streams append to as well: replace what `load` wrote before
-    (with partitions: in the partitions present in `df`)."""
-    if partition_by:
-        _save_load(df, base, name, load, partition_by, fmt)
-    else:
-        df.write.format(fmt).mode("overwrite").save(os.path.join(table_path(base, name), f"{LOAD}={load}"))
-
+    """Batch counterpart of `append_batch`, for tables that streams append to as well: replace what `load` wrote before.
 
-def _save_load(df: DataFrame, base: str, name: str, load: str, partition_by: tuple[str, ...], fmt: str) -> None:
+    Partitions that `load` wrote before and that are not in `df` lose its rows, after the new ones are in place.
+    """
+    if load.startswith(COMPACTED) or re.match(STREAM_LOAD, load):
+        raise ValueError(f"{load!r} is a name for loads of streams or of compaction")
+    spark = df.sparkSession
+    if not partition_by:
+        df.write.format(fmt).mode("overwrite").save(os.path.join(table_path(base, name), f"{LOAD}={load}"))
+        return
+    folders = os.path.join(table_path(base, name), *["*"] * len(partition_by), f"{LOAD}={load}")
+    before = matching(spark, os.path.join(folders, "*"))
+    save_load(df, base, name, load, partition_by, fmt)
+    # New files have new names, so what is still there of the old ones lies in partitions without new rows.
+    left = set(before) & set(matching(spark, os.path.join(folders, "*")))
+    for file in left:
+        remove(spark, file)
+    for folder in {os.path.dirname(file) for file in left}:
+        remove_if_empty(spark, folder)
+
+
+def save_load(
+    df: DataFrame, base: str, name: str, load: str, partition_by: tuple[str, ...], fmt: str, *, gather: bool = False
+) -> None:
+    """Write a load; `gather` brings its rows into few files also where there are no partitions."""
+    rows = df.hint("rebalance") if gather and not partition_by else _gathered(df, partition_by)
     (
-        _gathered(df, partition_by).withColumn(LOAD, F.lit(load))
+        rows.withColumn(LOAD, F.lit(load))
         .write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, LOAD)
@@ -122,40 +163,21 @@ def export_snapshot(ships: DataFrame, path: str, generated_at: Column | None = N
     ships.write.options(**_JSON).json(rows)
     written = spark.read.schema(ships.schema).options(**_JSON).json(rows)
     snapshot_lines(written, generated_at).orderBy("position").select("value").write.text(os.path.join(folder, "document"))
-    _publish(spark, path, version)
+    replace_text(spark, os.path.join(path, _CURRENT), version)
     _keep_versions(spark, path, {version, os.path.basename(before or "")})
     return folder
 
 
-def _publish(spark: SparkSession, path: str, version: str) -> None:
-    """Write the pointer aside and rename it over the old one, which file systems do in one step."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    final, aside = fs.Path(os.path.join(path, _CURRENT)), fs.Path(os.path.join(path, _VERSIONS, version, _CURRENT))
-    out = final.getFileSystem(conf).create(aside, True)
-    try:
-        out.write(bytearray(version.encode()))
-    finally:
-        out.close()
-    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
-    overwrite[0] = fs.Options.Rename.OVERWRITE
-    fs.FileContext.getFileContext(final.getFileSystem(conf).makeQualified(final).toUri(), conf).rename(aside, final, overwrite)
-
-
 def _keep_versions(spark: SparkSession, path: str, names: set[str]) -> None:
-    root = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, _VERSIONS))
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in files.listStatus(root):
-        if found.getPath().getName() not in names:
-            files.delete(found.getPath(), True)
+    for found in matching(spark, os.path.join(path, _VERSIONS, "*")):
+        if os.path.basename(found) not in names:
+            remove(spark, found)
 
 
 def snapshot_folder(spark: SparkSession, path: str) -> str | None:
     """Folder of the published snapshot, None before the first."""
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, _CURRENT))
-    if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
-        return None
-    return os.path.join(path, _VERSIONS, spark.read.text(pointer.toString()).first()["value"])
+    version = read_text(spark, os.path.join(path, _CURRENT))
+    return None if version is None else os.path.join(path, _VERSIONS, version)
 
 
 def _published(spark: SparkSession, path: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,12 +37,15 @@ def static_stream(spark: SparkSession, **source: str) -> DataFrame:
 
 def run_silver(
     positions: DataFrame, zones: ZoneIndex, base: str, *, available_now: bool = False,
-    keep: int = K.REDELIVERY_SECONDS, **bounds
+    keep: int = K.REDELIVERY_SECONDS, report: Callable[[int, dict[str, int]], None] | None = None, **bounds
 ) -> StreamingQuery:
-    """Every row is checked first, so a bad first delivery never hides a good second one; of good ones the first stays."""
+    """Every row is checked first, so a bad first delivery never hides a good second one; of good ones the first stays.
+
+    `report` gets every batch's number and its counts of valid and bad rows.
+    """
     once = first_deliveries(tag_quality(positions, **bounds), keep)
     checkpoint = sinks.checkpoint_path(base, "positions_silver")
-    return sinks.start(once, sinks.silver_writer(base, zones), checkpoint, available_now=available_now)
+    return sinks.start(once, sinks.silver_writer(base, zones, report), checkpoint, available_now=available_now)
 
 
 def run_ship_static(static: DataFrame, base: str, *, available_now: bool = False) -> StreamingQuery:

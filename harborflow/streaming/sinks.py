@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -20,21 +20,23 @@ from harborflow.streaming.state import ROCKSDB
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def silver_writer(base: str, zones: ZoneIndex) -> BatchWriter:
+def silver_writer(base: str, zones: ZoneIndex, report: Callable[[int, dict[str, int]], None] | None = None) -> BatchWriter:
     """Of checked rows without redelivered ones: valid rows to `positions_silver` by event date, the rest to `positions_quarantine`.
 
-    The batch is held for both writes, so that the stateful stream before it runs once.
+    The batch is held for both writes, so that the stateful stream before it runs once. The first write counts the rows of
+    both kinds as they pass; `report` gets the batch number and these counts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        passing = Observation()
         try:
-            counts = tagged.agg(
-                F.count_if("quality_ok").alias("valid"), F.count_if(~F.col("quality_ok")).alias("bad")
-            ).first()
-            if counts["bad"]:
-                bad = quarantined_rows(tagged).withColumn("quarantined_at", F.current_timestamp())
-                append_batch(bad.select(*POSITIONS_QUARANTINE.names), base, "positions_quarantine", batch_id)
+            counted = tagged.observe(
+                passing, F.count_if("quality_ok").alias("valid"), F.count_if(~F.col("quality_ok")).alias("bad")
+            )
+            bad = quarantined_rows(counted).withColumn("quarantined_at", F.current_timestamp())
+            append_batch(bad.select(*POSITIONS_QUARANTINE.names), base, "positions_quarantine", batch_id)
+            counts = passing.get
             if counts["valid"]:
                 located = best_zone(valid_rows(tagged), zones)
                 silver = located.withColumn("event_date", F.to_date("event_time"))
@@ -42,6 +44,8 @@ def silver_writer(base: str, zones: ZoneIndex) -> BatchWriter:
                     silver.select(*POSITIONS_SILVER.names), base, "positions_silver", batch_id,
                     partition_by=("event_date",),
                 )
+            if report is not None:
+                report(batch_id, counts)
         finally:
             tagged.unpersist()
 

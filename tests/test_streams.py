@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harborflow import constants as K
 from harborflow import schemas
+from harborflow.operators.quality import tag_quality
 from harborflow.operators.state_machine import state_changes
 from harborflow.sources import tables
 from harborflow.streaming import jobs, sinks
@@ -209,3 +210,21 @@ def test_silver_takes_the_first_good_delivery_across_batches(spark, tmp_path):
     assert sorted(r["offset"] for r in silver.collect()) == [3, 7, 9, 10, 15, 16]
     bad = tables.read_table(spark, str(tmp_path / "lake"), "positions_quarantine", schemas.POSITIONS_QUARANTINE)
     assert sorted(r["offset"] for r in bad.collect()) == [4, 6, 12, 17]
+
+
+def test_silver_reports_each_batch(spark, tmp_path):
+    """A batch's counts are taken while its rows are written; a batch without valid rows writes none."""
+    good = [("v", at(i), 33.6, -118.1, 1.0, 0, None, None, 0, i) for i in range(3)]
+    bad = [("v", at(9), 133.6, -118.1, 1.0, 0, None, None, 0, 9)]
+    batches = [good + bad, bad, good]
+    seen, base = [], str(tmp_path / "lake")
+    write = sinks.silver_writer(base, M.index(spark), lambda batch_id, counts: seen.append((batch_id, counts)))
+    for i, data in enumerate(batches):
+        batch = tag_quality(
+            spark.createDataFrame(data, POSITION_COLUMNS).drop("zone_type", "zone_id")
+            .withColumns({"ingested_at": F.col("event_time"), "mmsi": F.lit("366000001")})
+        )
+        write(batch, i)
+    assert seen == [(0, {"valid": 3, "bad": 1}), (1, {"valid": 0, "bad": 1}), (2, {"valid": 3, "bad": 0})]
+    assert tables.read_table(spark, base, "positions_silver", schemas.POSITIONS_SILVER).count() == 6
+    assert tables.read_table(spark, base, "positions_quarantine", schemas.POSITIONS_QUARANTINE).count() == 2

@@ -603,6 +603,8 @@ _SELECT = {
 
 _SELECT |= {
     "stream_silver": _SELECT["silver_positions"],
+    "stream_compacted": """
+        select event_date, count(*) as n, count(distinct mmsi) as vessels, max(event_time) as newest from silver group by event_date""",
     "stream_quarantine": _SELECT["quarantine_summary"],
     "stream_ship_static": "select * exclude (off) replace (round(max_static_draught, 6) as max_static_draught) from static",
     "stream_routed": _SELECT["routed_messages"],

@@ -13,6 +13,7 @@ from harborflow import constants as K
 from harborflow import schemas
 from harborflow.session import new_path
 from harborflow.sources import messages, tables
+from harborflow.sources.compaction import compact
 from harborflow.streaming import jobs, sinks
 from workload import mapping as M
 from workload.queries import query
@@ -105,6 +106,20 @@ def stream_silver(spark, sf):
     return stored.withColumns({c: F.round(c, 6) for c in ("lat", "lon", "sog")}).select(*schemas.POSITIONS_SILVER.names)
 
 
+@query
+def stream_compacted(spark, sf):
+    """The silver table after its loads were merged twice, the first time without the newest days."""
+    base = run_silver(spark, sf)
+    newest = tables.read_table(spark, base, "positions_silver", schemas.POSITIONS_SILVER).agg(F.max("event_date")).first()[0]
+    closed = F.col("event_date") < F.lit(newest) if newest else None
+    for condition in (closed, None):
+        compact(spark, base, "positions_silver", schemas.POSITIONS_SILVER, closed=condition, min_loads=2)
+    stored = tables.read_table(spark, base, "positions_silver", schemas.POSITIONS_SILVER)
+    return stored.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("mmsi").alias("vessels"), F.max("event_time").alias("newest")
+    )
+
+
 @query
 def stream_quarantine(spark, sf):
     base = run_silver(spark, sf)
