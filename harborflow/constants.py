@@ -64,6 +64,7 @@ FEED_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 YARD_IN_METRES = 0.9144
 BREAKWATER_HALF_WIDTH_M = 10.0
 CIRCLE_SEGMENTS_PER_QUADRANT = 32
+BEND_SEGMENTS_PER_QUADRANT = 16
 
 # Terminal operator -> name fragments that identify it, first operator wins.
 OPERATOR_ALIASES = {

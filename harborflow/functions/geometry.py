@@ -147,6 +147,30 @@ def _metres_per_degree(lat: Column) -> tuple[Column, Column]:
     return prime * F.cos(F.radians(lat)) * degree, meridian * degree
 
 
+def without_repeats(points: Column) -> Column:
+    """Points, each one different from the one before it."""
+    return F.filter(points, lambda p, i: (i == 0) | (p != F.get(points, i - 1)))
+
+
+def on_plane(points: Column) -> Column:
+    """(points, x, y, east, north): points in metres from the first one, on the tangent plane at the middle latitude."""
+    ys = F.transform(points, lambda p: p["y"])
+    east, north = _metres_per_degree((F.array_min(ys) + F.array_max(ys)) / 2)
+    first = F.get(points, F.lit(0))
+    return _bind(
+        F.struct(points.alias("p"), first["x"].alias("x"), first["y"].alias("y"), east.alias("east"), north.alias("north")),
+        lambda s: F.struct(
+            F.transform(s["p"], lambda p: point((p["x"] - s["x"]) * s["east"], (p["y"] - s["y"]) * s["north"])).alias("points"),
+            s["x"].alias("x"), s["y"].alias("y"), s["east"].alias("east"), s["north"].alias("north"),
+        ),
+    )
+
+
+def from_plane(points: Column, plane: Column) -> Column:
+    """Points in metres of `on_plane` as degrees."""
+    return F.transform(points, lambda p: point(p["x"] / plane["east"] + plane["x"], p["y"] / plane["north"] + plane["y"]))
+
+
 def circle_ring(
     lon: Column, lat: Column, radius_m: Column, segments: int = 4 * K.CIRCLE_SEGMENTS_PER_QUADRANT
 ) -> Column:
@@ -169,7 +193,7 @@ def segment_buffer(
 ) -> Column:
     """Flat-capped rectangle around one line segment; null for a zero-length segment.
 
-    A bent line is the union of its segments' rectangles: corners are not filled in.
+    Whole lines, with filled bends, are a matter of `operators.buffers`.
     """
     east, north = _metres_per_degree((y1 + y2) / 2)
     dx, dy = (x2 - x1) * east, (y2 - y1) * north
@@ -207,15 +231,20 @@ def is_simple(ring: Column) -> Column:
     return ~F.exists(es, lambda e: F.exists(es, lambda f: properly_cross(e, f)))
 
 
+def is_closed(ring: Column) -> Column:
+    """Closed as given, at least four points."""
+    closed = F.get(ring, F.lit(0)) == F.try_element_at(ring, F.lit(-1))
+    return F.coalesce((F.size(ring) >= 4) & closed, F.lit(False))
+
+
 def is_area(ring: Column) -> Column:
     """A usable polygon: closed as given, at least four points, a non-zero area, no crossings."""
-    closed = F.get(ring, F.lit(0)) == F.try_element_at(ring, F.lit(-1))
-    return F.coalesce((F.size(ring) >= 4) & closed & (ring_area(ring) > 0) & is_simple(ring), F.lit(False))
+    return is_closed(ring) & F.coalesce((ring_area(ring) > 0) & is_simple(ring), F.lit(False))
 
 
-def is_shape(shape: Column) -> Column:
-    """At least one polygon, each with an outer ring, and every ring a usable polygon by itself."""
-    whole = F.forall(shape, lambda rings: (F.size(rings) > 0) & F.forall(rings, is_area))
+def all_rings(shape: Column, holds: Callable[[Column], Column]) -> Column:
+    """At least one polygon, each with an outer ring, and `holds` for every ring."""
+    whole = F.forall(shape, lambda rings: (F.size(rings) > 0) & F.forall(rings, holds))
     return F.coalesce((F.size(shape) > 0) & whole, F.lit(False))
 
 

@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborflow import constants as K
-from harborflow.functions import geometry as G
+from harborflow.operators.validity import FAULTS, zone_faults
 from harborflow.schemas import CHECK_RESULT
 
 
-def _result(counted: DataFrame, check: str, table: str, column: Column, severity: str) -> DataFrame:
+def _result(counted: DataFrame, check: str | Column, table: str, column: Column, severity: str) -> DataFrame:
+    name = F.lit(check) if isinstance(check, str) else check
     failed = F.lit("warn" if severity == "warn" else "error")
     return counted.select(
-        F.lit(check).alias("check"), F.lit(table).alias("table"), column.alias("column"),
+        name.alias("check"), F.lit(table).alias("table"), column.alias("column"),
         F.lit(severity).alias("severity"), F.col("failures").cast("long").alias("failures"),
         F.when(F.col("failures") == 0, F.lit("pass")).otherwise(failed).alias("status"),
     )
@@ -81,15 +82,16 @@ def freshness(
 
 
 def zone_checks(zones: DataFrame, table: str = "zones") -> DataFrame:
-    """Required properties, enumerations, duplicate ids, usable shapes."""
+    """Required properties, enumerations, duplicate ids, valid shapes: `valid_shape` counts zones with any fault, the others by fault."""
     present = zones.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in K.ZONE_REQUIRED])
-    invalid = zones.agg(F.count_if(~G.is_shape(F.col("shape"))).alias("failures"))
+    counts = [F.count_if(F.col("fault") == fault).alias(f"no_{fault}") for fault in FAULTS]
+    faults = zone_faults(zones).agg(F.count(F.lit(1)).alias("valid_shape"), *counts).unpivot([], None, "_check", "failures")
     return run_checks([
         not_null(present, table, K.ZONE_REQUIRED),
         accepted_values(zones, table, "zone_type", K.ZONE_TYPES),
         accepted_values(zones, table, "authority", K.ZONE_AUTHORITIES),
         unique(zones, table, "zone_id"),
-        _result(invalid, "valid_shape", table, F.lit("shape"), "error"),
+        _result(faults, F.col("_check"), table, F.lit("shape"), "error"),
     ])
 
 

@@ -20,11 +20,6 @@ from harborflow.functions import geometry as G
 from harborflow.session import store
 
 
-def _without_repeats(points: Column) -> Column:
-    """A way's points, each one different from the one before it."""
-    return F.filter(points, lambda p, i: (i == 0) | (p != F.get(points, i - 1)))
-
-
 def _sides(ways: DataFrame, group: str) -> DataFrame:
     """Both directions of every way: `side` numbers them (2n and 2n + 1), x and y say where it starts and angle how it leaves."""
     directed = ways.select(group, F.explode(F.array(
@@ -89,7 +84,7 @@ def stitched_rings(ways: DataFrame, group: str) -> DataFrame:
     have any number of them. Ways that enclose nothing give no ring; a ring inside another one is given, too. A way with fewer
     than two different points in a row is left out, as are null points.
     """
-    clean = ways.select(group, F.col("way").cast("long").alias("way"), _without_repeats(F.col("points")).alias("points"))
+    clean = ways.select(group, F.col("way").cast("long").alias("way"), G.without_repeats(F.col("points")).alias("points"))
     sides = store(_sides(clean.filter(F.size("points") >= 2), group), "sides")
     walked = _walks(sides, group, clockwise=True)
     both = W.partitionBy(group, F.shiftright("side", 1))

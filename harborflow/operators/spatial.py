@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from harborflow import constants as K
 from harborflow.functions import geometry as G
+from harborflow.operators.validity import valid_zones
 from harborflow.functions.scalars import zone_priority
 from harborflow.session import store
 
@@ -215,12 +216,12 @@ def _box_cells(boxes: DataFrame, tiers: Column) -> DataFrame:
 def zone_overlaps(zones: DataFrame, allowed: DataFrame | None = None, min_area: float = 0.0) -> DataFrame:
     """Unordered pairs of zones sharing more than `min_area`, except allowed pairs.
 
-    Same type: error; different types: warning. Zones that merely touch do not overlap, and zones that are no usable areas take no
-    part. Boxes meet on cells of the tier of the larger one, of which each touches at most 25. A pair is reported
+    Same type: error; different types: warning. Zones that merely touch do not overlap, and zones whose shape is not valid
+    (`operators.validity`) take no part. Boxes meet on cells of the tier of the larger one, of which each touches at most 25. A pair is reported
     from one cell only, the one holding the lower left corner of the boxes' intersection, so no later deduplication is
     needed; the join itself emits only pairs whose boxes intersect.
     """
-    boxed = zones.filter(G.is_shape(F.col("shape"))).select(
+    boxed = valid_zones(zones).select(
         "zone_id", "zone_type", "shape", G.shape_bbox(F.col("shape")).alias("_box")
     )
     slim = boxed.select("zone_id", "_box", _tier_of(F.col("_box")).alias("_own"))
@@ -259,8 +260,3 @@ def zone_overlaps(zones: DataFrame, allowed: DataFrame | None = None, min_area:
         "zone_a", "type_a", "zone_b", "type_b", F.explode(real).alias("overlap_area"),
         F.when(F.col("type_a") == F.col("type_b"), "error").otherwise("warning").alias("severity"),
     )
-
-
-def invalid_zones(zones: DataFrame) -> DataFrame:
-    """Zones whose shape is not a usable area."""
-    return zones.filter(~G.is_shape(F.col("shape"))).select("zone_id", "zone_type")

@@ -12,6 +12,7 @@ from harborflow import constants as K
 from harborflow import schemas
 from harborflow.functions import geometry as G
 from harborflow.functions.scalars import dms_to_degrees, not_excluded, operator_tag, slug
+from harborflow.operators.buffers import line_buffers
 from harborflow.operators.ordered import number_rows
 from harborflow.operators.rings import stitched_rings
 
@@ -139,6 +140,16 @@ def name_unnamed(lines: DataFrame, order: Sequence[str], default: str = "Unnamed
     return lines.filter(~blank).unionByName(named.drop("_n"))
 
 
+def breakwaters_from_lines(lines: DataFrame, source_ref: str) -> DataFrame:
+    """Named centre lines (name, points) -> one flat-capped harbor zone a line, its bends filled; names are unique.
+
+    Lines without two different points are left out.
+    """
+    rings = line_buffers(lines, "name", "points")
+    zones = rings.withColumns({"zone_id": slug("noaa-breakwater-", F.col("name")), "source_ref": F.lit(source_ref)})
+    return _as_zones(zones, "harbor", "NOAA")
+
+
 def breakwaters_from_segments(segments: DataFrame, source_ref: str) -> DataFrame:
     """Named centre-line segments (name, segment_no, x1, y1, x2, y2) -> flat-capped harbor zones.
 

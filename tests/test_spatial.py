@@ -11,6 +11,7 @@ from harborflow import schemas
 from harborflow.functions import geometry as G
 from harborflow.operators import spatial
 from harborflow.operators.checks import zone_checks
+from harborflow.operators.validity import zone_faults
 from harborflow.operators.rings import stitched_rings
 from harborflow.sources import zones as Z
 
@@ -152,7 +153,7 @@ def test_overlap_report(spark, world):
     }
     pairs = {(r["zone_a"], r["zone_b"]) for r in spatial.zone_overlaps(zones_df(spark, *zones), None, 1e-4).collect()}
     # Rings that cut through themselves take no part.
-    knotted = {r["zone_id"] for r in spatial.invalid_zones(zones_df(spark, *zones)).collect()}
+    knotted = {r["zone_id"] for r in zone_faults(zones_df(spark, *zones)).collect()}
     usable = [z for z in zones if z[0] not in knotted]
     brute = {
         (a[0], b[0]) for a, b in combinations(usable, 2) if _clip_area(a[5][0][0], b[5][0][0], 120) > 2e-3
@@ -167,7 +168,7 @@ def test_rings(spark):
     df = rings(spark, SQUARE, bow_tie, open_way, flat, pts((0, 0), (1, 1), (0, 0)))
     got = [r["ok"] for r in df.select(G.is_area(F.col("ring")).alias("ok"), "id").orderBy("id").collect()]
     assert got == [True, False, False, False, False]
-    assert [r["zone_id"] for r in spatial.invalid_zones(zones_df(spark, zone("ok", SQUARE), zone("bad", bow_tie))).collect()] == ["bad"]
+    assert [r["zone_id"] for r in zone_faults(zones_df(spark, zone("ok", SQUARE), zone("bad", bow_tie))).collect()] == ["bad"]
 
 
 def test_circle_and_buffer_sizes(spark):
@@ -312,7 +313,7 @@ def test_zone_checks_report_each_fault(spark):
     faults = {(r["check"], r["column"]): r["failures"] for r in zone_checks(zones).collect() if r["failures"]}
     assert faults == {
         ("unique", "zone_id"): 1, ("accepted_values", "zone_type"): 1, ("accepted_values", "authority"): 1,
-        ("not_null", "source_ref"): 1, ("valid_shape", "shape"): 1,
+        ("not_null", "source_ref"): 1, ("valid_shape", "shape"): 1, ("no_empty", "shape"): 1,
     }
 
 
@@ -321,7 +322,7 @@ def test_regulated_anchorages_overlap_only_where_allowed(spark):
     from harborflow.sources.regulated_zones import regulated_anchorages
 
     zones = regulated_anchorages(spark)
-    assert zones.count() == 13 and spatial.invalid_zones(zones).count() == 0
+    assert zones.count() == 13 and zone_faults(zones).count() == 0
     allowed = spark.createDataFrame(ALLOWED_OVERLAPS, "zone_a string, zone_b string")
     assert spatial.zone_overlaps(zones, allowed, 1e-10).collect() == []
     assert spatial.zone_overlaps(zones, None, 1e-10).count() == len(ALLOWED_OVERLAPS)

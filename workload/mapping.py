@@ -270,6 +270,18 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def knotted_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer zones, three in four of them spoilt: by a spike, by a ring that touches itself, by a ring that cuts itself."""
+    key = F.regexp_extract("zone_id", r"(\d+)$", 1).cast("long")
+    ring = F.get(F.get(F.col("shape"), F.lit(0)), F.lit(0))
+    a, b, c, d = (F.get(ring, F.lit(i)) for i in range(4))
+    top = G.point(c["x"], c["y"] + F.lit(0.125))
+    middle = G.point((a["x"] + c["x"]) / 2, (a["y"] + c["y"]) / 2)
+    spike, touch, cut = F.array(a, b, c, top, c, d, a), F.array(a, b, middle, c, d, middle, a), F.array(a, c, b, d, a)
+    spoilt = F.when(key % 4 == 1, spike).when(key % 4 == 2, touch).when(key % 4 == 3, cut)
+    return store(customer_zones(spark, sf_dir), "zones").withColumn("shape", F.coalesce(G.shape_of(spoilt), F.col("shape")))
+
+
 def order_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as the waypoints of one ring per order, set around a centre by their number."""
     n = F.col("l_linenumber")

@@ -412,6 +412,19 @@ _SELECT = {
                   group by 1, 2) p
             join czone a on a.zone_id = p.id_a join czone b on b.zone_id = p.id_b
             where b.c_custkey <> a.c_custkey + 3 and p.area > 1e-12)""",
+    "zone_faults": """
+        select zone_id, zone_type, case c_custkey % 4 when 1 then 'spike' when 2 then 'self_touch' else 'crossing' end as fault
+        from czone where c_custkey % 4 <> 0""",
+    "valid_zone_overlaps": """
+        select a.zone_id as zone_a, b.zone_id as zone_b, round(p.area, 8) as overlap_area,
+               case when a.zone_type = b.zone_type then 'error' else 'warning' end as severity
+        from (select i.zone_id as id_a, j.zone_id as id_b, sum(i.sign * j.sign
+                     * (least(i.rx1, j.rx1) - greatest(i.rx0, j.rx0)) * (least(i.ry1, j.ry1) - greatest(i.ry0, j.ry0))) as area
+              from crect i join crect j on i.zone_id < j.zone_id
+               and least(i.rx1, j.rx1) > greatest(i.rx0, j.rx0) and least(i.ry1, j.ry1) > greatest(i.ry0, j.ry0)
+              group by 1, 2) p
+        join czone a on a.zone_id = p.id_a join czone b on b.zone_id = p.id_b
+        where a.c_custkey % 4 = 0 and b.c_custkey % 4 = 0 and p.area > 1e-12""",
     "customer_zone_matches": """
         select s.s_suppkey, z.zone_id, z.zone_type
         from (select s_suppkey, ((s_suppkey // 4) % 300) - 150 + 0.02e0 * ((s_suppkey * 7) % 40) + 0.00517e0 as lon,
@@ -440,7 +453,9 @@ _SELECT = {
                "select count(distinct length(name)) from czone where zone_type = 'harbor'"),
         _check("accepted_values", "zones", "authority", "error", "select 0"),
         _check("unique", "zones", "zone_id", "error", "select 0"),
-        _check("valid_shape", "zones", "shape", "error", "select count(*) from czone where w * h <= 0"),
+        _check("valid_shape", "zones", "shape", "error", "select count(*) from czone where c_custkey % 4 <> 0"),
+        *[_check(f"no_{fault}", "zones", "shape", "error", f"select count(*) from czone where c_custkey % 4 = {n}")
+          for fault, n in (("spike", 1), ("self_touch", 2), ("crossing", 3), ("empty", 9), ("overlap", 9))],
     ),
     "waypoint_rings": "select l_orderkey, cast(case when corners = 1 or returns then corners else corners + 1 end as int) as points, round(area, 9) as area from ring",
     "circle_zones": f"""
@@ -452,6 +467,15 @@ _SELECT = {
                case when len > 0 then round(20e0 / north, 7) end as height,
                case when len > 0 then round(len * 20e0 / north, 9) end as area
         from ({_METRES.format(source="select o_orderkey, 33.7e0 as lat, (o_orderkey % 17) / 1000e0 as len from orders")})""",
+    "bent_line_buffers": f"""
+        select o_orderkey, cast(7 + steps as int) as points, true as usable,
+               round((20e0 * (len1 + len2) - 100e0 * tan(turn / 2) + steps * 50e0 * sin(turn / steps)) / east / north, 10) as area
+        from (select *, ceil(turn / (pi() / 32)) as steps from (
+            select *, dx1 * east as len1, sqrt(dx2 * east * dx2 * east + dy2 * north * dy2 * north) as len2,
+                   atan2(dy2 * north, dx2 * east) as turn
+            from ({_METRES.format(source="""select o_orderkey, 33.7e0 + (0.001e0 + (o_orderkey % 13) / 10000e0) / 2 as lat,
+                       0.002e0 + (o_orderkey % 17) / 10000e0 as dx1, 0.0013e0 - (o_orderkey % 29) / 10000e0 as dx2,
+                       0.001e0 + (o_orderkey % 13) / 10000e0 as dy2 from orders""")})))""",
     "closed_ways": f"select l_orderkey, ({_CLOSED_AREA}) as is_area from ring",
     "largest_outer_rings": f"""
         select o_custkey as element_id, round(max(area), 9) as area from orders join ring on l_orderkey = o_orderkey

@@ -11,8 +11,9 @@ from harborflow import constants as K
 from harborflow import schemas
 from harborflow.functions import geometry as G
 from harborflow.functions import scalars as S
-from harborflow.operators import checks, dedup, quality, spatial
+from harborflow.operators import checks, dedup, quality, spatial, validity
 from harborflow.operators.asof import state_as_of
+from harborflow.operators.buffers import line_buffers as line_buffers_of
 from harborflow.operators.ordered import number_rows
 from harborflow.operators.state_machine import vessel_timeline
 from harborflow.plans import agreement as agree
@@ -202,9 +203,22 @@ def merged_zones(spark, sf):
     )
 
 
+@query
+def zone_faults(spark, sf):
+    """Why zones are not valid: one in four has a spike, touches itself, or cuts itself."""
+    return validity.zone_faults(M.knotted_zones(spark, sf))
+
+
+@query
+def valid_zone_overlaps(spark, sf):
+    """Overlaps among the zones without fault."""
+    found = spatial.zone_overlaps(M.knotted_zones(spark, sf), None, min_area=1e-12)
+    return found.select("zone_a", "zone_b", _r("overlap_area", 8).alias("overlap_area"), "severity")
+
+
 @query
 def zone_checks(spark, sf):
-    zones = M.customer_zones(spark, sf)
+    zones = M.knotted_zones(spark, sf)
     odd = zones.withColumn(
         "zone_type", F.when(F.col("zone_type") == "harbor", F.concat(F.lit("pier"), F.length("name"))).otherwise(F.col("zone_type"))
     ).withColumn("source_ref", F.when(F.col("zone_id").endswith("5"), "").otherwise(F.col("source_ref")))
@@ -256,6 +270,21 @@ def line_buffers(spark, sf):
     )
 
 
+@query
+def bent_line_buffers(spark, sf):
+    """A zone around a line with one bend per order: segments, less what they share, and the round outside of the bend."""
+    key = F.col("o_orderkey")
+    x, y = F.lit(-118.2), F.lit(33.7)
+    bend = x + F.lit(0.002) + (key % 17) / 10000
+    lines = M.table(spark, sf, "orders").select("o_orderkey", F.array(
+        G.point(x, y), G.point(bend, y), G.point(bend + F.lit(0.0013) - (key % 29) / 10000, y + F.lit(0.001) + (key % 13) / 10000)
+    ).alias("points"))
+    zones = line_buffers_of(lines, "o_orderkey", "points")
+    return zones.select(
+        "o_orderkey", F.size("ring").alias("points"), G.is_area(F.col("ring")).alias("usable"), _r(G.ring_area(F.col("ring")), 10).alias("area")
+    )
+
+
 def _order_ways(spark, sf):
     """A way per order through its line items; ways of even orders return to their start."""
     points = M.order_waypoints(spark, sf)
