@@ -225,10 +225,28 @@ def properly_cross(e: Column, f: Column) -> Column:
     )
 
 
+def boxed(e: Column) -> Column:
+    """An edge with the bounds of its box, which are compared first: most pairs of edges lie apart."""
+    return F.struct(
+        e["x1"].alias("x1"), e["y1"].alias("y1"), e["x2"].alias("x2"), e["y2"].alias("y2"),
+        F.least(e["x1"], e["x2"]).alias("x_min"), F.greatest(e["x1"], e["x2"]).alias("x_max"),
+        F.least(e["y1"], e["y2"]).alias("y_min"), F.greatest(e["y1"], e["y2"]).alias("y_max"),
+    )
+
+
+def boxes_meet(e: Column, f: Column) -> Column:
+    return (e["x_min"] <= f["x_max"]) & (f["x_min"] <= e["x_max"]) & (e["y_min"] <= f["y_max"]) & (f["y_min"] <= e["y_max"])
+
+
 def is_simple(ring: Column) -> Column:
     """No two edges of the ring cut through each other."""
-    es = edges(ring)
-    return ~F.exists(es, lambda e: F.exists(es, lambda f: properly_cross(e, f)))
+
+    def clean(es: Column) -> Column:
+        # Each pair once, and none that follow each other: they share an end.
+        hits = F.transform(es, lambda e, i: F.exists(F.slice(es, i + 3, F.size(es)), lambda f: boxes_meet(e, f) & properly_cross(e, f)))
+        return ~F.exists(hits, lambda hit: hit)
+
+    return _bind(F.transform(edges(ring), boxed), clean)
 
 
 def is_closed(ring: Column) -> Column:
@@ -304,7 +322,7 @@ def overlap_area(shape_a: Column, shape_b: Column) -> Column:
 
     def heights(e: Column) -> Column:
         box_a, box_b = e["box_a"], e["box_b"]
-        cuts = F.flatten(F.transform(e["a"], lambda p: F.transform(e["b"], lambda q: _cut_height(p, q))))
+        cuts = F.flatten(F.transform(e["a"], lambda p: F.transform(F.filter(e["b"], lambda q: boxes_meet(p, q)), lambda q: _cut_height(p, q))))
         ends = F.concat(F.transform(e["a"], lambda p: p["y1"]), F.transform(e["b"], lambda p: p["y1"]))
         lo, hi = F.greatest(box_a["y_min"], box_b["y_min"]), F.least(box_a["y_max"], box_b["y_max"])
         return F.sort_array(F.array_distinct(F.filter(F.concat(ends, cuts), lambda v: v.between(lo, hi))))
@@ -322,7 +340,7 @@ def overlap_area(shape_a: Column, shape_b: Column) -> Column:
         )
 
     both = F.struct(
-        shape_edges(shape_a).alias("a"), shape_edges(shape_b).alias("b"),
+        F.transform(shape_edges(shape_a), boxed).alias("a"), F.transform(shape_edges(shape_b), boxed).alias("b"),
         shape_bbox(shape_a).alias("box_a"), shape_bbox(shape_b).alias("box_b"),
     )
     return _bind(both, area)

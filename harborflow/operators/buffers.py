@@ -17,7 +17,7 @@ from harborflow.functions import geometry as G
 from harborflow.operators.contacts import contacts, ring_edges
 from harborflow.operators.rings import stitched_rings
 from harborflow.operators.validity import ring_faults
-from harborflow.session import store
+from harborflow.session import spread, store
 
 _STEP = math.pi / 2 / K.BEND_SEGMENTS_PER_QUADRANT
 
@@ -72,14 +72,24 @@ def _ring(width: float, through: bool) -> Column:
     return G.close_ring(F.concat(_left_side("_there", width, through), _left_side("_back", width, through)))
 
 
-def _bends_fit(width: float) -> Column:
-    """Whether every segment is long enough for what the bends at its two ends take away of it."""
+def _taken(leg: Column, width: float) -> Column:
+    """What the bends at the two ends of a segment take away of it."""
 
     def taken(turn: Column) -> Column:
         # A line that goes back on itself takes more than any segment has.
         return F.when(turn < -3.14, F.lit(math.inf)).otherwise(F.coalesce(width * F.tan(F.abs(turn) / 2), F.lit(0.0)))
 
-    return F.forall("_there", lambda leg: taken(leg["turn"]) + taken(leg["before"]) < leg["length"])
+    return taken(leg["turn"]) + taken(leg["before"])
+
+
+def _bends_fit(width: float) -> Column:
+    """Whether every segment is long enough for what the bends at its two ends take away of it."""
+    return F.forall("_there", lambda leg: _taken(leg, width) < leg["length"])
+
+
+def _surely_fit(width: float) -> Column:
+    """Whether the ring of a line with fitting bends need not be looked at: with at most one bend, the sides meet at the bend only."""
+    return (F.size("_there") <= 2) & F.forall("_there", lambda leg: _taken(leg, width) < leg["length"] * (1 - 1e-9))
 
 
 def line_buffers(lines: DataFrame, key: str, points: str, half_width_m: float = K.BREAKWATER_HALF_WIDTH_M) -> DataFrame:
@@ -88,19 +98,27 @@ def line_buffers(lines: DataFrame, key: str, points: str, half_width_m: float =
     Distances are metres on the tangent plane at the line's middle latitude.
     """
     clean = G.without_repeats(F.filter(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull()))
-    usable = lines.select(key, clean.alias("_line")).filter(F.size("_line") > 1).select(key, G.on_plane(F.col("_line")).alias("_plane"))
+    usable = spread(lines.select(key, clean.alias("_line")).filter(F.size("_line") > 1), key).select(key, G.on_plane(F.col("_line")).alias("_plane"))
     there, back = _legs(F.col("_plane.points")), _legs(F.reverse("_plane.points"))
     legs = usable.select(key, F.col("_plane").dropFields("points").alias("_plane"), there.alias("_there"), back.alias("_back"))
-    drawn = store(legs.select(key, "_plane", _with_turns("_there").alias("_there"), _with_turns("_back").alias("_back")), "lines")
-    drawn = drawn.withColumn("_fit", _bends_fit(half_width_m))
-    fit = store(drawn.filter("_fit").select(key, _ring(half_width_m, False).alias("_direct")), "buffers")
-    knotted = store(ring_faults(fit.select(key, F.array("_direct").alias("_rings")), key, "_rings").select(key), "knotted")
-    rings = fit.join(knotted, key, "left_anti").select(key, F.col("_direct").alias("_ring"))
-    others = drawn.filter("NOT _fit").unionByName(drawn.filter("_fit").join(knotted, key, "left_semi"))
-    if not others.isEmpty():
-        rings = rings.unionByName(_outer_rings(others.select(key, F.array(_ring(half_width_m, True)).alias("_rings")), key))
-    direct = drawn.select(key, "_plane").join(rings, key)
-    return direct.select(key, G.from_plane(F.col("_ring"), F.col("_plane")).alias("ring"))
+    drawn = legs.select(key, "_plane", _with_turns("_there").alias("_there"), _with_turns("_back").alias("_back"))
+    fitted = drawn.select("*", _bends_fit(half_width_m).alias("_fit"), _surely_fit(half_width_m).alias("_sure"))
+    # Of lines that surely fit the ring is all that is used; of others the curve through the bends, too.
+    drawn = store(fitted.select(
+        key, "_plane", "_fit", "_sure", F.when(F.col("_fit"), _ring(half_width_m, False)).alias("_direct"),
+        F.when(~F.col("_sure"), _ring(half_width_m, True)).alias("_curve"),
+    ), "buffers")
+    rings = drawn.filter("_sure").select(key, "_plane", F.col("_direct").alias("_ring"))
+    unsure = drawn.filter("NOT _sure")
+    if not unsure.isEmpty():
+        fit = unsure.filter("_fit")
+        knotted = store(ring_faults(fit.select(key, F.array("_direct").alias("_rings")), key, "_rings").select(key), "knotted")
+        rings = rings.unionByName(fit.join(knotted, key, "left_anti").select(key, "_plane", F.col("_direct").alias("_ring")))
+        others = unsure.filter("NOT _fit").unionByName(fit.join(knotted, key, "left_semi"))
+        if not others.isEmpty():
+            outer = _outer_rings(others.select(key, F.array("_curve").alias("_rings")), key)
+            rings = rings.unionByName(others.select(key, "_plane").join(outer, key).select(key, "_plane", "_ring"))
+    return rings.select(key, G.from_plane(F.col("_ring"), F.col("_plane")).alias("ring"))
 
 
 def _outer_rings(curves: DataFrame, key: str) -> DataFrame:

@@ -82,3 +82,12 @@ def store(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt evenly over the shuffle partitions, by keys or one by one: for row-by-row work on a table that comes in few files.
+
+    The number is given, since AQE would merge partitions by their bytes, and the work is not in the bytes.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)

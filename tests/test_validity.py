@@ -4,11 +4,13 @@ import math
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from harborflow import schemas
 from harborflow.functions import geometry as G
+from harborflow.operators import validity
 from harborflow.operators.buffers import line_buffers
 from harborflow.operators.contacts import contacts, ring_edges
 from harborflow.operators.validity import valid_zones, zone_faults
@@ -138,3 +140,26 @@ def test_buffers_hold_what_is_near(spark):
     assert wrong == [] and sum(p[3] for p in probe) > 300
     faults = spark.createDataFrame([(n, "harbor", "NOAA", "s", n, [[[(p["x"], p["y"]) for p in r]]]) for n, r in got.items()], schemas.ZONES)
     assert valid_zones(faults).count() >= len(LINES) - 2
+
+
+def test_small_rings_are_looked_at_row_by_row(spark, monkeypatch):
+    """Row by row and by the join of edges the same faults are found, and the join is left to large shapes."""
+    rng = np.random.default_rng(4)
+    data = []
+    for i in range(300):
+        # Few places, so that edges meet in every way.
+        rings = [[tuple(map(float, p)) for p in rng.integers(0, 4, (int(rng.integers(3, 8)), 2))] for _ in range(int(rng.integers(1, 4)))]
+        data.append((i, [[*ring, ring[0]] for ring in rings]))
+    groups = spark.createDataFrame(data, "id long, rings array<array<struct<x:double,y:double>>>")
+    few = {r["id"]: r["fault"] for r in validity.ring_faults(groups, "id", "rings").collect()}
+    assert few == {r["id"]: r["fault"] for r in validity._joined_faults(groups, "id", "rings").collect()}
+    assert set(few.values()) == {"crossing", "overlap", "spike", "self_touch"}
+
+    def no_join(*_):
+        raise AssertionError("edges of small shapes were joined")
+
+    monkeypatch.setattr(validity, "contacts", no_join)
+    shapes = groups.select(F.col("id").cast("string").alias("zone_id"), F.lit("a").alias("zone_type"), F.array("rings").alias("shape"))
+    assert validity.zone_faults(shapes).count() >= len(few)
+    lines = spark.createDataFrame([(i, [(0.0, 0.0), (0.002 + i / 1e5, 0.0), (0.003, 0.001)]) for i in range(20)], "id long, points array<struct<x:double,y:double>>")
+    assert line_buffers(lines, "id", "points").count() == 20
