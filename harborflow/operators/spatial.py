@@ -21,7 +21,7 @@ from harborflow import constants as K
 from harborflow.functions import geometry as G
 from harborflow.operators.validity import valid_zones
 from harborflow.functions.scalars import zone_priority
-from harborflow.session import store
+from harborflow.session import spread, store
 
 # Powers of two, so that cells, corners and halves are exact; the smallest is about 25 m.
 SIZES = tuple(4.0**k for k in range(4, -7, -1))
@@ -225,9 +225,11 @@ def zone_overlaps(zones: DataFrame, allowed: DataFrame | None = None, min_area:
         "zone_id", "zone_type", "shape", G.shape_bbox(F.col("shape")).alias("_box")
     )
     slim = boxed.select("zone_id", "_box", _tier_of(F.col("_box")).alias("_own"))
+    # Pairs meet on the larger zone's tier: cells of tiers that no zone starts on hold all zones of a region for nothing.
+    used = F.array(*[F.lit(r["_own"]) for r in slim.select("_own").distinct().collect()]).cast("array<int>")
     # Catalyst cannot foresee how many cells a zone touches: never broadcast this side by estimate.
     a = _box_cells(slim, F.array("_own")).alias("a")
-    b = _box_cells(slim, F.sequence(F.lit(0), F.col("_own"))).hint("merge").alias("b")
+    b = _box_cells(slim, F.filter(used, lambda tier: tier <= F.col("_own"))).hint("merge").alias("b")
     corner_x = F.greatest(F.col("a._box.x_min"), F.col("b._box.x_min"))
     corner_y = F.greatest(F.col("a._box.y_min"), F.col("b._box.y_min"))
     size = _size(F.col("a._tier"))
@@ -256,7 +258,9 @@ def zone_overlaps(zones: DataFrame, allowed: DataFrame | None = None, min_area:
     # Emitting zero or one row keeps the area from being evaluated again by a filter.
     area = G.overlap_area(F.col("_shape_a"), F.col("_shape_b"))
     real = F.filter(F.array(area), lambda v: v > min_area)
-    return pairs.join(side("a"), "zone_a").join(side("b"), "zone_b").select(
+    # Areas take time, not bytes: pairs are dealt out evenly.
+    both = store(spread(pairs.join(side("a"), "zone_a").join(side("b"), "zone_b")), "pairs")
+    return both.select(
         "zone_a", "type_a", "zone_b", "type_b", F.explode(real).alias("overlap_area"),
         F.when(F.col("type_a") == F.col("type_b"), "error").otherwise("warning").alias("severity"),
     )
