@@ -1,10 +1,33 @@
 """Registered queries do their whole job, with work dealt over all tasks."""
 
+from cases import ANCHORAGE, OPEN, POSITION_COLUMNS, events_of, obs, rows, transition
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from harborflow import schemas
+from harborflow.sources import tables
+from harborflow.streaming import sinks, state
 
 
 def test_an_operator_named_only_by_a_part_is_not_missing(spark):
     """Names attribute parts, too: with them every operator has one."""
     assert entry.queries()["missing_operators"](spark, SF_SMALL).collect() == []
+
+
+def test_a_call_holds_many_vessels(spark, tmp_path):
+    """Vessels share buckets, so that calls to workers do not grow with them; each still gets its own events and late rows."""
+    base = str(tmp_path)
+    first = [r for v in range(60) for r in rows(f"v{v}", [obs(0, ANCHORAGE), obs(6, OPEN, 9.0), obs(12 + v / 60, OPEN, 9.0)])]
+    spark.createDataFrame([*first, *rows("w", [obs(90)])], POSITION_COLUMNS).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    spark.createDataFrame([*rows("v7", [obs(1)] * 2), *rows("w", [obs(95)])], POSITION_COLUMNS).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(POSITION_COLUMNS).option("maxFilesPerTrigger", "1").parquet(f"{base}/in").withWatermark("event_time", "10 minutes")
+    tracked = state.track_vessels(stream, buckets=2)
+    sinks.start(tracked, sinks.state_change_writer(base), f"{base}/cp", available_now=True).awaitTermination()
+    found = events_of(tables.read_table(spark, base, "vessel_state_changes", schemas.STATE_CHANGES).select(*schemas.STATE_CHANGES.names))
+    for v in range(60):
+        assert found[f"v{v}"] == sorted([
+            transition(0, "UNKNOWN", "AT_ANCHOR", ANCHORAGE[1]), transition(12 + v / 60, "AT_ANCHOR", "UNDERWAY"),
+            transition(12 + v / 60, "UNDERWAY", "EXPIRED"),
+        ], key=repr)
+    late = tables.read_table(spark, base, "late_positions", schemas.LATE).collect()
+    assert [tuple(r)[:2] for r in late] == [("v7", 2)]
