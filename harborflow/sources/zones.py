@@ -15,6 +15,7 @@ from harborflow.functions.scalars import dms_to_degrees, not_excluded, operator_
 from harborflow.operators.buffers import line_buffers
 from harborflow.operators.ordered import number_rows
 from harborflow.operators.rings import stitched_rings
+from harborflow.session import spread, store
 
 
 def _zone_columns(feature: str) -> list:
@@ -93,13 +94,18 @@ def circular_anchorages(circles: DataFrame) -> DataFrame:
     return _as_zones(circles.withColumn("ring", ring), "anchorage", "CFR")
 
 
+def _dealt(areas: DataFrame) -> DataFrame:
+    """Areas dealt over all tasks and stored: a filter on their rings would move to the few tasks that read them, and draw each ring anew."""
+    return store(spread(areas), "areas")
+
+
 def berths_from_areas(areas: DataFrame) -> DataFrame:
     """Mapped areas (element_type, element_id, name, operator, brand, ring) -> berth zones.
 
     Excluded names and anything that is not a closed area are left out. The extra columns hold the
     recognised operator and the operator tag as mapped.
     """
-    usable = areas.filter(not_excluded(F.col("name")) & G.is_area(F.col("ring")))
+    usable = _dealt(areas).filter(not_excluded(F.col("name")) & G.is_area(F.col("ring")))
     element = F.concat_ws("/", "element_type", F.col("element_id").cast("string"))
     return usable.select(
         F.concat(F.lit("osm-"), F.replace(element, F.lit("/"), F.lit("-"))).alias("zone_id"),
@@ -114,7 +120,7 @@ def berths_from_areas(areas: DataFrame) -> DataFrame:
 def skipped_areas(areas: DataFrame) -> DataFrame:
     """How many mapped areas `berths_from_areas` leaves out, by reason."""
     reason = F.when(~not_excluded(F.col("name")), "excluded name").when(~G.is_area(F.col("ring")), "not a closed area")
-    return areas.select(reason.alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return _dealt(areas).select(reason.alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def largest_outer_rings(members: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from cases import ANCHORAGE, OPEN, POSITION_COLUMNS, events_of, obs, rows, transition
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from harborflow import schemas
-from harborflow.sources import tables
+from harborflow.functions import geometry as G
+from harborflow.operators import spatial
+from harborflow.sources import tables, zones
 from harborflow.streaming import sinks, state
 
 
@@ -31,3 +34,19 @@ def test_a_call_holds_many_vessels(spark, tmp_path):
         ], key=repr)
     late = tables.read_table(spark, base, "late_positions", schemas.LATE).collect()
     assert [tuple(r)[:2] for r in late] == [("v7", 2)]
+
+
+def test_a_table_in_one_file_is_dealt_over_all_tasks(spark):
+    """Areas and zones cost time, not bytes: however they come, several tasks share them."""
+    square = F.array(*[G.point(F.col("id") + x, F.lit(float(y))) for x, y in ((0, 0), (0.5, 0), (0.5, 0.5), (0, 0.5), (0, 0))])
+    ids = spark.range(400).coalesce(1)
+    areas = ids.select(
+        F.lit("way").alias("element_type"), F.col("id").alias("element_id"), F.lit("a").alias("name"),
+        F.lit(None).cast("string").alias("operator"), F.lit(None).cast("string").alias("brand"), square.alias("ring"),
+    )
+    berths = zones.berths_from_areas(areas)
+    assert berths.count() == 400 and len(berths.inputFiles()) > 1
+    covered = spatial.zone_index(berths.select(*schemas.ZONES.names)).cells
+    one = spatial.zone_index(berths.select(*schemas.ZONES.names).coalesce(1)).cells
+    assert len(one.inputFiles()) > 1
+    assert one.exceptAll(covered).isEmpty() and covered.exceptAll(one).isEmpty()
