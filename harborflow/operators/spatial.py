@@ -78,7 +78,8 @@ class ZoneIndex:
 def zone_index(
     zones: DataFrame, priorities: Mapping[str, int] = K.ZONE_PRIORITY, max_broadcast_edges: int = MAX_BROADCAST_EDGES
 ) -> ZoneIndex:
-    prepared = zones.select(
+    # A cover takes time, not bytes: zones are dealt out evenly.
+    prepared = spread(zones).select(
         "zone_id", "zone_type", F.col("authority").alias("zone_authority"), F.col("name").alias("zone_name"),
         zone_priority(F.col("zone_type"), priorities).alias("_priority"),
         G.shape_area(F.col("shape")).alias("_area"), G.shape_edges(F.col("shape")).alias("_edges"),
