@@ -129,7 +129,8 @@ def largest_outer_rings(members: DataFrame) -> DataFrame:
     Outer members that are open ways are stitched where their ends meet, in any order and direction. A partial aggregate keeps
     one ring per relation and task.
     """
-    outer = members.filter(F.col("role") == "outer")
+    # Stored, since closed and open ways are read from it one after the other.
+    outer = store(members.filter(F.col("role") == "outer").select("element_id", "member_no", "ring"), "members")
     closed = F.get("ring", F.lit(0)) == F.try_element_at("ring", F.lit(-1))
     pieces = outer.filter(~closed).select("element_id", F.col("member_no").alias("way"), F.col("ring").alias("points"))
     rings = outer.select("element_id", "ring").unionByName(stitched_rings(pieces, "element_id"))

@@ -10,6 +10,8 @@ from harborflow.functions import geometry as G
 from harborflow.operators import spatial
 from harborflow.sources import tables, zones
 from harborflow.streaming import sinks, state
+from workload import mapping as M
+from workload import streams
 
 
 def test_an_operator_named_only_by_a_part_is_not_missing(spark):
@@ -50,3 +52,13 @@ def test_a_table_in_one_file_is_dealt_over_all_tasks(spark):
     one = spatial.zone_index(berths.select(*schemas.ZONES.names).coalesce(1)).cells
     assert len(one.inputFiles()) > 1
     assert one.exceptAll(covered).isEmpty() and covered.exceptAll(one).isEmpty()
+
+
+def test_topics_are_encoded_and_members_drawn_once(spark, tmp_path):
+    topic = streams.position_topic(M.positions(spark, SF_SMALL))
+    streams.write_slices(topic, f"{tmp_path}/topic", shuffled=True)
+    written = spark.read.schema(topic.schema).parquet(f"{tmp_path}/topic")
+    assert written.exceptAll(topic).isEmpty() and topic.exceptAll(written).isEmpty()
+    assert spark.read.parquet(f"{tmp_path}/topic-encoded").count() == topic.count()
+    rings = entry.queries()["largest_outer_rings"](spark, SF_SMALL)
+    assert any("/members-" in path for path in rings.inputFiles())

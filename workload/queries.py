@@ -293,7 +293,11 @@ def _order_ways(spark, sf):
     )
     open_way = F.transform("w", lambda p: G.point(p["x"], p["y"]))
     closed = F.concat(open_way, F.slice(open_way, 1, 1))
-    return ways.select("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, closed).otherwise(open_way).alias("ring"))
+    numbers = F.transform("w", lambda p: p["seq"])
+    return ways.select(
+        "l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, closed).otherwise(open_way).alias("ring"),
+        (F.size(F.array_distinct(numbers)) == F.size("w")).alias("distinct"),
+    )
 
 
 @query
@@ -332,10 +336,7 @@ def largest_outer_rings(spark, sf):
         F.when(F.col("o_orderstatus") == "F", "outer").otherwise("inner").alias("role"),
     )
     ways = _order_ways(spark, sf).withColumnRenamed("l_orderkey", "member_no")
-    directions = M.order_waypoints(spark, sf).groupBy(F.col("l_orderkey").alias("member_no")).agg(
-        (F.count_distinct("seq") == F.count(F.lit(1))).alias("distinct")
-    )
-    rings = zone_sources.largest_outer_rings(_cut_ways(orders.join(ways, "member_no").join(directions, "member_no")))
+    rings = zone_sources.largest_outer_rings(_cut_ways(orders.join(ways, "member_no")))
     return rings.select("element_id", _r(G.ring_area(F.col("ring")), 9).alias("area"))
 
 
