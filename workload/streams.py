@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborflow import constants as K
 from harborflow import schemas
@@ -78,9 +79,13 @@ def write_slices(topic: DataFrame, path: str, slices: int = SLICES, shuffled: bo
     shift = ((event * 7919) % 7 - 3) * SHIFT_MICROS if shuffled else F.lit(0)
     number = F.floor((F.unix_micros("timestamp") - F.lit(first) + shift) / F.lit(width))
     number = F.greatest(number, F.lit(0)) + F.floor(F.col("offset") / 1_000_000_000)
+    # Encoded once, and dealt to the slices on the way.
+    encoded = f"{path}-encoded"
+    topic.withColumn("slice", F.least(number, F.lit(slices - 1)).cast("int")).write.partitionBy("slice").parquet(encoded)
+    dealt = topic.sparkSession.read.schema(T.StructType([*topic.schema.fields, T.StructField("slice", T.IntegerType())])).parquet(encoded)
     for i in range(slices):
         # The same number of files a slice, so that a micro-batch is a slice.
-        topic.filter(F.least(number, F.lit(slices - 1)) == i).repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+        dealt.filter(F.col("slice") == i).drop("slice").repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
 
 
 def _source(path: str) -> dict[str, str]:
