@@ -72,7 +72,7 @@ def _gathered(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 def append_batch(
     df: DataFrame, base: str, name: str, batch_id: int, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
-    writer: str | None = None,
+    writer: str | None = None, gather: bool = False,
 ) -> None:
     """Append a micro-batch into its own part of the table: the last partition level, `load`, names query and batch.
 
@@ -80,7 +80,7 @@ def append_batch(
     belongs to its checkpoint, so other queries, and a query on a new checkpoint, never touch these rows.
     """
     writer = writer or df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
-    save_load(df, base, name, f"{writer}-{batch_id}", partition_by, fmt)
+    save_load(df, base, name, f"{writer}-{batch_id}", partition_by, fmt, gather=gather)
 
 
 def write_load(df: DataFrame, base: str, name: str, load: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:

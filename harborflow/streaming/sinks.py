@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -23,20 +23,16 @@ BatchWriter = Callable[[DataFrame, int], None]
 def silver_writer(base: str, zones: ZoneIndex, report: Callable[[int, dict[str, int]], None] | None = None) -> BatchWriter:
     """Of checked rows without redelivered ones: valid rows to `positions_silver` by event date, the rest to `positions_quarantine`.
 
-    The batch is held for both writes, so that the stateful stream before it runs once. The first write counts the rows of
-    both kinds as they pass; `report` gets the batch number and these counts.
+    The batch is held for its counts and both writes, so that the stateful stream before it runs once; `report` gets the batch
+    number and the counts of both kinds.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        passing = Observation()
         try:
-            counted = tagged.observe(
-                passing, F.count_if("quality_ok").alias("valid"), F.count_if(~F.col("quality_ok")).alias("bad")
-            )
-            bad = quarantined_rows(counted).withColumn("quarantined_at", F.current_timestamp())
-            append_batch(bad.select(*POSITIONS_QUARANTINE.names), base, "positions_quarantine", batch_id)
-            counts = passing.get
+            counts = tagged.agg(F.count_if("quality_ok").alias("valid"), F.count_if(~F.col("quality_ok")).alias("bad")).first().asDict()
+            bad = quarantined_rows(tagged).withColumn("quarantined_at", F.current_timestamp())
+            append_batch(bad.select(*POSITIONS_QUARANTINE.names), base, "positions_quarantine", batch_id, gather=True)
             if counts["valid"]:
                 located = best_zone(valid_rows(tagged), zones)
                 silver = located.withColumn("event_date", F.to_date("event_time"))
@@ -86,6 +82,30 @@ def state_change_writer(base: str, message_format: str | None = None, **message_
 
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS, _ADAPTIVE = "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"
+# A task of a stateful stream has fixed costs of its own in every micro-batch: a worker, a store to open, files to commit.
+STATE_TASKS_PER_CORE = 2
+
+
+def _replanned(writer: BatchWriter) -> BatchWriter:
+    """Streams switch re-planning off, and without it Spark ignores the hints that gather a batch's rows into few files."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(_ADAPTIVE)
+        conf.set(_ADAPTIVE, "true")
+        try:
+            writer(batch, batch_id)
+        finally:
+            conf.set(_ADAPTIVE, before)
+
+    return write
+
+
+def state_tasks(spark: SparkSession) -> int:
+    """Shuffle partitions of a stateful stream: by cores, at most what the session has. State is held bucket by bucket, so that no
+    task needs more memory when it has more buckets."""
+    return min(int(spark.conf.get(_PARTITIONS)), STATE_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def start(
@@ -94,17 +114,20 @@ def start(
 ) -> StreamingQuery:
     """Run a batch writer on a trigger interval, or once over the present backlog.
 
-    The query keeps its state in RocksDB; the caller's session is as before when the query has started.
+    The query keeps its state in RocksDB, in `state_tasks` partitions, which a checkpoint keeps; the caller's session is as before
+    when the query has started.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    query = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(**trigger)
+    query = stream.writeStream.foreachBatch(_replanned(writer)).option("checkpointLocation", checkpoint).trigger(**trigger)
     spark = stream.sparkSession
-    before = spark.conf.get(_STORE, None)
+    before = {key: spark.conf.get(key, None) for key in (_STORE, _PARTITIONS)}
+    spark.conf.set(_PARTITIONS, str(state_tasks(spark)))
     spark.conf.set(_STORE, ROCKSDB)
     try:
         return (query.queryName(name) if name else query).start()
     finally:
-        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def append_stream(

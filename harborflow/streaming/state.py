@@ -327,7 +327,12 @@ class FirstDelivery(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         place = ["mmsi", "delivered_t"]
         seen = (_unpacked(bytes(self.value.get()[0])) if self.value.exists() else _SEEN.empty_table()).to_pandas()
-        now, best = None, None
+        now, kept, unsorted = None, [], 0
+
+        def first(parts: list[pd.DataFrame]) -> pd.DataFrame:
+            new = pd.concat(parts, ignore_index=True)
+            return new.sort_values([*place, "partition", "offset"], kind="stable").drop_duplicates(place)
+
         for chunk in rows:
             if now is None:
                 now = int(chunk["delivered_now"].iloc[0])
@@ -338,12 +343,15 @@ class FirstDelivery(StatefulProcessor):
             new = chunk[valid]
             if not len(new):
                 continue
-            if len(seen):
-                known = new[place].merge(seen[place], how="left", on=place, indicator=True)["_merge"].to_numpy() == "both"
-                new = new[~known]
-            best = new if best is None else pd.concat([best, new], ignore_index=True)
-            # What is kept between chunks is one row a vessel and time.
-            best = best.sort_values([*place, "partition", "offset"], kind="stable").drop_duplicates(place)
+            kept.append(new)
+            unsorted += len(new)
+            # Sorted anew when chunks have brought as much as was kept, at most one row a vessel and time, so not for every chunk.
+            if len(kept) > 1 and unsorted >= len(kept[0]):
+                kept, unsorted = [first(kept)], 0
+        best = first(kept) if kept else None
+        if best is not None and len(seen):
+            known = best[place].merge(seen[place], how="left", on=place, indicator=True)["_merge"].to_numpy() == "both"
+            best = best[~known]
         if best is not None and len(best):
             added = pd.concat([seen, best[place].assign(since=now)], ignore_index=True)
             self.value.update((_packed(pa.Table.from_pandas(added, _SEEN, preserve_index=False)),))

@@ -62,3 +62,25 @@ def test_topics_are_encoded_and_members_drawn_once(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/topic-encoded").count() == topic.count()
     rings = entry.queries()["largest_outer_rings"](spark, SF_SMALL)
     assert any("/members-" in path for path in rings.inputFiles())
+
+
+def test_topic_files_grow_with_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 25)
+    topic = streams.position_topic(M.positions(spark, SF_SMALL))
+    files = streams.write_slices(topic, f"{tmp_path}/topic")
+    assert files == -(-topic.count() // (streams.SLICES * 25)) > streams.FILES_PER_SLICE
+    assert len(spark.read.parquet(f"{tmp_path}/topic").inputFiles()) == files * streams.SLICES
+
+
+def test_a_stream_gathers_its_days_and_has_tasks_by_cores(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100000")
+    try:
+        assert sinks.state_tasks(spark) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    base = streams.run_silver(spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    stored = spark.read.schema(schemas.POSITIONS_SILVER).parquet(f"{base}/positions_silver")
+    folders = [path.rpartition("/")[0] for path in stored.inputFiles()]
+    assert len(folders) == len(set(folders)) > 1

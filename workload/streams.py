@@ -20,7 +20,9 @@ from workload import mapping as M
 from workload.queries import query
 
 SLICES = 5
+# A slice has at least so many files, more when they would get more rows than this: a file is decoded by one task.
 FILES_PER_SLICE = 4
+ROWS_PER_FILE = 50_000
 # In the state stream, rows arrive up to a day and a half before or after their slice, and the watermark is two days behind.
 SHIFT_MICROS = 12 * 3600 * 1_000_000
 DELAY = "2 days"
@@ -65,15 +67,16 @@ def static_topic(static: DataFrame) -> DataFrame:
     )
 
 
-def write_slices(topic: DataFrame, path: str, slices: int = SLICES, shuffled: bool = False) -> None:
-    """Append the topic's rows, slice by slice: files are read in the order they appear.
+def write_slices(topic: DataFrame, path: str, slices: int = SLICES, shuffled: bool = False) -> int:
+    """Append the topic's rows, slice by slice: files are read in the order they appear. Returns the number of files a slice.
 
     Slices follow time, but a second delivery comes a slice later; if shuffled, rows are also moved in time, by seven steps.
     """
-    first, last = topic.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    first, last, rows = topic.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp")), F.count(F.lit(1))).first()
     if first is None:
         topic.write.parquet(path)
-        return
+        return FILES_PER_SLICE
+    files = max(FILES_PER_SLICE, -(-rows // (slices * ROWS_PER_FILE)))
     width = (last - first) // slices + 1
     event = F.col("offset") % 1_000_000_000
     shift = ((event * 7919) % 7 - 3) * SHIFT_MICROS if shuffled else F.lit(0)
@@ -85,11 +88,12 @@ def write_slices(topic: DataFrame, path: str, slices: int = SLICES, shuffled: bo
     dealt = topic.sparkSession.read.schema(T.StructType([*topic.schema.fields, T.StructField("slice", T.IntegerType())])).parquet(encoded)
     for i in range(slices):
         # The same number of files a slice, so that a micro-batch is a slice.
-        dealt.filter(F.col("slice") == i).drop("slice").repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+        dealt.filter(F.col("slice") == i).drop("slice").repartition(files).write.mode("append").parquet(path)
+    return files
 
 
-def _source(path: str) -> dict[str, str]:
-    return {"fmt": "parquet", "path": path, "maxFilesPerTrigger": str(FILES_PER_SLICE)}
+def _source(path: str, files: int) -> dict[str, str]:
+    return {"fmt": "parquet", "path": path, "maxFilesPerTrigger": str(files)}
 
 
 def _finish(streaming_query) -> None:
@@ -98,8 +102,8 @@ def _finish(streaming_query) -> None:
 
 def run_silver(spark: SparkSession, sf: str) -> str:
     base = new_path(spark, "lake")
-    write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic")
-    stream = jobs.position_stream(spark, **_source(f"{base}/topic"))
+    files = write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic")
+    stream = jobs.position_stream(spark, **_source(f"{base}/topic", files))
     _finish(jobs.run_silver(stream, M.index(spark), base, available_now=True))
     return base
 
@@ -137,8 +141,8 @@ def stream_quarantine(spark, sf):
 def run_state(spark: SparkSession, sf: str) -> str:
     """Every decoded row, bad and redelivered ones too, out of order."""
     base = new_path(spark, "lake")
-    write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic", shuffled=True)
-    stream = jobs.position_stream(spark, delay=DELAY, **_source(f"{base}/topic"))
+    files = write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic", shuffled=True)
+    stream = jobs.position_stream(spark, delay=DELAY, **_source(f"{base}/topic", files))
     _finish(jobs.run_state_changes(
         stream, M.index(spark), base, available_now=True, debounce=M.DEBOUNCE, discrepancy=M.DISCREPANCY,
         expiry=M.EXPIRY, stretch=2 * 86400, message_format="json",
@@ -173,8 +177,8 @@ def stream_late_rows(spark, sf):
 @query
 def stream_ship_static(spark, sf):
     base = new_path(spark, "lake")
-    write_slices(static_topic(M.ship_static(spark, sf)), f"{base}/topic")
-    stream = jobs.static_stream(spark, **_source(f"{base}/topic"))
+    files = write_slices(static_topic(M.ship_static(spark, sf)), f"{base}/topic")
+    stream = jobs.static_stream(spark, **_source(f"{base}/topic", files))
     _finish(jobs.run_ship_static(stream, base, available_now=True))
     stored = tables.read_table(spark, base, "ship_static", schemas.SHIP_STATIC)
     return stored.withColumn("max_static_draught", F.round("max_static_draught", 6))
@@ -197,8 +201,8 @@ def stream_routed(spark, sf):
 def stream_deduplicated(spark, sf):
     """Deduplication across micro-batches: each (vessel, time) once."""
     base = new_path(spark, "lake")
-    write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic")
-    stream = jobs.position_stream(spark, **_source(f"{base}/topic"))
+    files = write_slices(position_topic(M.positions(spark, sf)), f"{base}/topic")
+    stream = jobs.position_stream(spark, **_source(f"{base}/topic", files))
     once = jobs.without_redelivered(stream).select("mmsi", "event_time")
     _finish(sinks.append_stream(once, base, "once", sinks.checkpoint_path(base, "once"), available_now=True))
     return spark.read.schema("mmsi string, event_time timestamp").parquet(f"{base}/once")
