@@ -84,3 +84,9 @@ def test_a_stream_gathers_its_days_and_has_tasks_by_cores(spark):
     stored = spark.read.schema(schemas.POSITIONS_SILVER).parquet(f"{base}/positions_silver")
     folders = [path.rpartition("/")[0] for path in stored.inputFiles()]
     assert len(folders) == len(set(folders)) > 1
+
+
+def test_zones_are_drawn_in_all_tasks(spark):
+    """The table of keys is one small file; the zones drawn from it are written, and spoilt, by several tasks."""
+    assert len(M.table(spark, SF_SMALL, "customer").inputFiles()) == 1
+    assert len(M.knotted_zones(spark, SF_SMALL).inputFiles()) > 1

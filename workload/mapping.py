@@ -15,7 +15,7 @@ from harborflow.operators.quality import tag_quality, valid_rows
 from harborflow.operators.spatial import ZoneIndex, best_zone, zone_index
 from harborflow.operators.state_machine import state_changes
 from harborflow.plans import models
-from harborflow.session import configure, store
+from harborflow.session import configure, spread, store
 
 # Thresholds scaled to the sparse events of the test tables (seconds).
 DEBOUNCE = 12 * 3600
@@ -263,7 +263,8 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = rectangle(x + width * 2, y, x + width * 2.5, y + height)
     first = F.when(key % 3 == 0, F.array(whole, hole)).otherwise(F.array(whole))
     shape = F.when(key % 5 == 0, F.array(first, F.array(second))).otherwise(F.array(first))
-    return table(spark, sf_dir, "customer").select(
+    # Dealt before shapes are drawn: keys of many zones come in few files.
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name")).select(
         F.concat(F.lit("zone-"), F.lpad(key.cast("string"), 9, "0")).alias("zone_id"), zone_type.alias("zone_type"),
         F.lit("NOAA").alias("authority"), F.concat(F.lit("customer "), key.cast("string")).alias("source_ref"),
         F.col("c_name").alias("name"), shape.alias("shape"),
