@@ -138,3 +138,17 @@ def test_automaton():
 def test_real_texts(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert found(spark, rows) == brute(rows)
+
+
+def test_histograms_count_each_line_alone():
+    """Blocks, gaps between lines and short lines change no count."""
+    import numpy as np
+
+    data = np.frombuffer(b" ab\n\nxyz xyz \nq\n" + b"word " * 5000 + b"\nend", np.uint8)
+    begin, stop, _, _ = ld.lines_of(data, np.array([0, len(data)]))
+    found = ld.histograms(data, begin, stop)
+    for line, (a, b) in enumerate(zip(begin, stop, strict=True)):
+        alone = ld.histograms(data[a:b], np.array([0]), np.array([b - a]))
+        assert (found[line] == alone[0]).all()
+        assert found[line][: ld.LANES].sum(dtype=int) % 256 == (b - a) % 256
+        assert found[line][ld.LANES:].sum(dtype=int) % 256 == max(0, b - a - 2) % 256
