@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
 from harborflow.llm.names import free_names
-from harborflow.llm.stages import Stages
+from harborflow.llm.stages import SMALL_BATCHES, Stages
 
 TAU = 2
 MIN_BYTES = 20
 GROUP = 1024
 KEYS_PER_BUCKET = 500_000
 KEYS_PER_TASK = 1_000_000
+KEYS_PER_BATCH = 1 << 17
+SCAN_BYTES = 1 << 18  # a task holds about a hundred bytes for each byte of the texts it scans at once
 _U = np.uint64
 SKETCH = ("s1", "s2", "s3", "s4", "s5", "s6")  # histograms of bytes and of runs of three bytes
 LANES = 16
@@ -117,7 +119,7 @@ def join_keys(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarr
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, data, offsets in wd.chunks(batch.column("text"), 1 << 20):
+        for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
             begin, stop, text, number = lines_of(data, offsets)
             sums = wd.prefix_hashes(data)
             first, second = wd.text_hashes(data, begin, stop), wd.span_hashes(sums, begin, stop)
@@ -154,14 +156,16 @@ def deal(buckets: int):
         by = np.argsort(bucket, kind="stable")
         marks = np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1))
         stops = np.append(marks[1:], len(by))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[by][marks].astype(np.int64)),
-                pa.array([keys[by[a:b]].tobytes() for a, b in zip(marks, stops, strict=True)], pa.binary()),
-                pa.array([own[by[a:b]].tobytes() for a, b in zip(marks, stops, strict=True)], pa.binary()),
-            ],
-            ["bucket", "keys", "lines"],
-        )
+        # A batch for about as many keys each, cut between buckets.
+        for part in np.split(np.arange(len(marks)), np.flatnonzero(np.diff(marks // KEYS_PER_BATCH)) + 1):
+            held = [by[a:b] for a, b in zip(marks[part], stops[part], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[by[marks[part]]].astype(np.int64)), pa.array([keys[x].tobytes() for x in held], pa.binary()),
+                    pa.array([own[x].tobytes() for x in held], pa.binary()),
+                ],
+                ["bucket", "keys", "lines"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held = [], [], 0
@@ -176,8 +180,9 @@ def deal(buckets: int):
             keys.append(flat)
             held += flat.size
             if held >= KEYS_PER_TASK:
-                yield from flush(ids, keys)
+                full = flush(ids, keys)
                 ids, keys, held = [], [], 0
+                yield from full
         if held:
             yield from flush(ids, keys)
 
@@ -266,7 +271,7 @@ def wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column("wanted")
         values, at = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
         at = at - at[0]
-        for lo, hi, data, offsets in wd.chunks(batch.column("text")):
+        for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
             begin, stop, text, _ = lines_of(data, offsets)
             hashes = wd.text_hashes(data, begin, stop)
             pairs = wd.mix(values[at[lo]:at[hi]]) + np.repeat(np.arange(hi - lo), np.diff(at[lo:hi + 1])).astype(np.uint64)
@@ -306,7 +311,7 @@ def _allow(x: str, y: str) -> Column:
 
 class Dedup:
     def __init__(self, docs: DataFrame, group: int):
-        self.steps, self.group = Stages(docs.sparkSession, "line-dedup"), group
+        self.steps, self.group = Stages(docs.sparkSession, "line-dedup", SMALL_BATCHES), group
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("body"))
 

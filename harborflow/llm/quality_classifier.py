@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
 from harborflow.llm.language_id import bucket_of
-from harborflow.llm.stages import Stages
+from harborflow.llm.stages import SMALL_BATCHES, Stages
 
 TRAIN_ROWS = 20_000
+SCAN_BYTES = 1 << 18  # a task holds about a hundred bytes for each byte of the texts it scans at once
 TREES, DEPTH, LASSO, SEED = 30, 3, 0.002, 17
 THRESHOLD = 0.3
 STATISTICS = (
@@ -114,7 +115,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def scan(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in wd.chunks(batch.column("text")):
+            for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
                 found = statistics(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, hi - lo) for c in names] + [pa.array(found[:, i]) for i in range(len(STATISTICS))],
@@ -197,7 +198,7 @@ def fit_rules(labelled: DataFrame) -> Rules:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Rules:
     """Rules from the texts of labelled documents; labels: doc_id, quality."""
-    steps = Stages(docs.sparkSession, "quality-classifier")
+    steps = Stages(docs.sparkSession, "quality-classifier", SMALL_BATCHES)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("label"))
     order = F.xxhash64(F.lit("quality"), "doc_id")

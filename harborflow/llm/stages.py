@@ -11,14 +11,16 @@ from harborflow.session import new_path
 
 # Rows of whole texts: smaller Arrow batches bound what a task holds outside the heap and in its Python worker.
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+# For tasks that make many numbers of every byte: short rows still come in batches of as many.
+SMALL_BATCHES = ARROW_CONF | {"spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 
 
 class Stages:
     """Tables of one operator run under the folder that `spark.checkpoint.dir` names."""
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, conf: dict[str, str] = ARROW_CONF):
         self.spark, self.label = spark, label
-        for key, value in ARROW_CONF.items():
+        for key, value in conf.items():
             spark.conf.set(key, value)
         self.paths: dict[int, str] = {}
 

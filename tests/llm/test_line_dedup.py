@@ -1,12 +1,16 @@
 """Line dedup against all pairs of lines."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from harborflow.llm import line_dedup as ld
+from harborflow.llm import quality_classifier as qc
 from harborflow.llm.stages import Stages
 
 SPACE = b" \t\n\r\x0b\x0c"
@@ -152,3 +156,32 @@ def test_histograms_count_each_line_alone():
         assert (found[line] == alone[0]).all()
         assert found[line][: ld.LANES].sum(dtype=int) % 256 == (b - a) % 256
         assert found[line][ld.LANES:].sum(dtype=int) % 256 == max(0, b - a - 2) % 256
+
+
+def test_tasks_hold_little_at_once():
+    rng = np.random.default_rng(5)
+    letters = rng.integers(97, 123, (1000, 2100), dtype=np.uint8)
+    letters[:, ::7], letters[:, ::70] = 32, 10
+    batch = pa.record_batch({"doc_id": pa.array(range(1000)), "body": pa.array(range(1000)), "text": [r.tobytes().decode() for r in letters]})
+
+    def peak(run):
+        tracemalloc.start()
+        for _ in run:
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    scanned = list(ld.scan(iter([batch])))  # tables of powers are made, too
+    assert peak(ld.scan(iter([batch]))) < 20e6
+    assert peak(qc.scan(["doc_id"])(iter([batch]))) < 15e6
+    dealt = list(ld.deal(62)(iter(scanned * 4)))
+    assert max(b.nbytes for b in dealt) < 4e6
+    buckets = [x for b in dealt for x in b.column("bucket").to_pylist()]
+    assert set(buckets) == set(range(62))
+    own = np.concatenate([np.frombuffer(b"".join(b.column("lines").to_pylist()), np.int64) for b in dealt])
+    keys = np.frombuffer(b"".join(x for b in dealt for x in b.column("keys").to_pylist()), np.uint64)
+    flat = np.concatenate([b.column("keys").flatten().to_numpy().view(np.uint64) for b in scanned])
+    lines = np.concatenate([b.column("lines").flatten().field("h1").to_numpy()[b.column("lines").flatten().field("size").to_numpy() >= ld.MIN_BYTES] for b in scanned])
+    given = set(zip(flat.tolist(), np.repeat(lines, len(flat) // len(lines)).tolist(), strict=True))
+    assert set(zip(keys.tolist(), own.tolist(), strict=True)) == given
