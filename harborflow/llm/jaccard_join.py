@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from harborflow.llm import words as wd
 from harborflow.llm.graph import components
-from harborflow.llm.stages import Stages
+from harborflow.llm.stages import SMALL_BATCHES, Stages
 
 HOT = 1024
 BLOCK = 512  # sets of a component that meet another block of it in one group
@@ -51,6 +51,8 @@ BLOCK_ELEMENTS = 1_000_000
 LANES = 8  # 64-bit words of a parity bitmap
 KEYS_PER_BUCKET = 500_000
 KEYS_PER_TASK = 1_000_000
+KEYS_PER_BATCH = 1 << 17
+SCAN_BYTES = 1 << 18  # a task holds about a hundred bytes for each byte of the texts it scans at once
 WIDTH = 1.4  # ratio of a band's sizes
 _U = np.uint64
 
@@ -228,7 +230,7 @@ def _lists(keys: np.ndarray, owners: np.ndarray, n: int) -> pa.ListArray:
 def scan(k: int, p: int, q: int, lower: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in wd.chunks(batch.column("text")):
+            for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
                 values, at = shingle_sets(data, offsets, k, lower)
                 sizes = np.diff(at)
                 keys, owners, short = exact_keys(values, at, sizes, p, q)
@@ -271,14 +273,17 @@ def deal(buckets: int):
             if not len(by):
                 continue
             stops = np.append(marks[1:], len(by))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[by][marks].astype(np.int64)), pa.array(np.full(len(marks), meet)),
-                    pa.array([chosen_keys[by[a:b]].tobytes() for a, b in zip(marks, stops, strict=True)], pa.binary()),
-                    pa.array([chosen_docs[by[a:b]].tobytes() for a, b in zip(marks, stops, strict=True)], pa.binary()),
-                ],
-                ["bucket", "meet", "keys", "docs"],
-            )
+            # A batch for about as many keys each, cut between buckets.
+            for part in np.split(np.arange(len(marks)), np.flatnonzero(np.diff(marks // KEYS_PER_BATCH)) + 1):
+                held = [by[a:b] for a, b in zip(marks[part], stops[part], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket[by[marks[part]]].astype(np.int64)), pa.array(np.full(len(part), meet)),
+                        pa.array([chosen_keys[x].tobytes() for x in held], pa.binary()),
+                        pa.array([chosen_docs[x].tobytes() for x in held], pa.binary()),
+                    ],
+                    ["bucket", "meet", "keys", "docs"],
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, digests, lists, held = [], [], [], 0
@@ -292,8 +297,9 @@ def deal(buckets: int):
             lists.append((np.diff(column.offsets.to_numpy()), keys))
             held += len(keys)
             if held >= KEYS_PER_TASK:
-                yield from flush(docs, digests, lists)
+                full = flush(docs, digests, lists)
                 docs, digests, lists, held = [], [], [], 0
+                yield from full
         if docs:
             yield from flush(docs, digests, lists)
 
@@ -335,7 +341,7 @@ def digests(values: np.ndarray, at: np.ndarray) -> list[pa.Array]:
 def fetched(k: int, lower: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in wd.chunks(batch.column("text")):
+            for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
                 values, at = shingle_sets(data, offsets, k, lower)
                 raw = [values[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays(
@@ -431,7 +437,7 @@ def rare(p: int, q: int, salt: int):
 class Join:
     def __init__(self, docs: DataFrame, words: int, share: tuple[int, int], lower: bool, hot: int):
         self.k, (self.p, self.q), self.lower, self.hot = words, share, lower, hot
-        self.steps = Stages(docs.sparkSession, "jaccard-join")
+        self.steps = Stages(docs.sparkSession, "jaccard-join", SMALL_BATCHES)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.sets: DataFrame | None = None
 
@@ -454,7 +460,8 @@ class Join:
         pairs = self.steps.put(pairs, "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         wanted = self.docs.join(nodes, "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), FETCHED)
-        sets = self.steps.put(wanted.select("doc_id", "elements"), "sets")
+        # Every task that scans texts may find a few of them: without this, each would write its own file.
+        sets = self.steps.put(wanted.select("doc_id", "elements").hint("rebalance", "doc_id"), "sets")
         x = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
         found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked(self.p, self.q), "a long, b long")
@@ -499,7 +506,7 @@ class Join:
     def run(self) -> DataFrame:
         steps, p, q = self.steps, self.p, self.q
         scanned = steps.put(self.docs.mapInArrow(scan(self.k, p, q, self.lower), SCANNED), "scan")
-        result = steps.put(scanned.select("doc_id", "n_shingles"), "sizes")
+        result = steps.put(scanned.select("doc_id", "n_shingles").hint("rebalance"), "sizes")
         nodes = steps.put(self.classes(scanned), "classes")
         usable = scanned.filter(F.col("doc_id").isNotNull())
         total = usable.agg(F.sum(F.greatest(F.size("keys"), F.lit(0)).cast("long"))).first()[0] or 0
@@ -583,7 +590,7 @@ class Join:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo, hi, data, offsets in wd.chunks(batch.column("text")):
+                for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
                     values, at = shingle_sets(data, offsets, k, lower)
                     lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.view(np.int64)))
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), lists], ["doc_id", "elements"])

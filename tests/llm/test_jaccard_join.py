@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,60 @@ def test_pigeonhole_of_keys(seed):
             for make in (lambda v, a, s: jj.exact_keys(v, a, s, p, q), lambda v, a, s: jj.rare_keys(v, a, s, p, q, 3)):
                 keys, owners, short = make(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), np.array([len(x), len(y)]))
                 assert short.all() or np.intersect1d(keys[owners == 0], keys[owners == 1]).size
+
+
+def test_tasks_hold_little_at_once():
+    rng = np.random.default_rng(5)
+    letters = rng.integers(97, 123, (1000, 2100), dtype=np.uint8)
+    letters[:, ::7] = 32
+    batch = pa.record_batch({"doc_id": pa.array(range(1000)), "text": [r.tobytes().decode() for r in letters]})
+
+    def peak(run):
+        tracemalloc.start()
+        for _ in run:
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    scan = jj.scan(5, 4, 5, True)
+    scanned = list(scan(iter([batch])))  # tables of weights are made, too
+    assert sum(b.num_rows for b in scanned) == 1000
+    assert peak(scan(iter([batch]))) < 30e6
+    assert peak(jj.fetched(5, True)(iter([batch]))) < 20e6
+    # Sets of other digests, with the same keys: each key is met once, and all others but the first of a key are sure.
+    again = [b.set_column(i, b.schema.field(i), pa.array(b.column(i).to_numpy() ^ n)) for n in range(8) for b in scanned for i in [2]]
+    dealt = list(jj.deal(62)(iter(again)))
+    assert max(b.nbytes for b in dealt) < 4e6
+
+    def sent(batches):
+        found = set()
+        for b in batches:
+            for at, meet, keys, docs in zip(*[b.column(c).to_pylist() for c in ("bucket", "meet", "keys", "docs")], strict=True):
+                found |= {(at, meet, *x) for x in zip(np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(docs, np.int64).tolist(), strict=True)}
+        return found
+
+    whole = jj.KEYS_PER_BATCH
+    try:
+        jj.KEYS_PER_BATCH = 1 << 60
+        assert sent(jj.deal(62)(iter(again))) == sent(dealt)
+    finally:
+        jj.KEYS_PER_BATCH = whole
+
+
+def test_few_sets_go_to_few_files(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(400)]
+    rows[300:] = [(i + 300, f"{t} tail") for i, t in rows[:100]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(24).localCheckpoint()
+    join = jj.Join(docs, 5, (4, 5), True, jj.HOT)
+    files, put = {}, join.steps.put
+
+    def count(df, name):
+        out = put(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    join.steps.put = count
+    found = {r["doc_id"]: r["component_id"] for r in join.run().collect()}
+    assert all(found[i] == (i - 300 if i >= 300 else i) for i in range(400))
+    assert files["sets"] <= 2 and files["sizes"] <= 2, files
