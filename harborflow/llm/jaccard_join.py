@@ -22,7 +22,8 @@ similar set has the same part in at least one of them. m leaves room for empty s
    of a component are compared, in pairs of blocks of bounded size; no link is left out. `jaccard_counts` adds up how many links
    every class has, a number per class and pair of blocks, and never makes a row a link; `jaccard_links` returns the links.
 
-Verification compares the whole sets (of 64-bit element hashes) that are fetched for candidates only.
+Verification compares the whole sets (of 64-bit element hashes) that are fetched for candidates only, and of those only the pairs
+that a second parity bitmap, with a bit or two for each element, allows: the fixed one of step 4 says little of large sets.
 
 Edge cases: null or empty text and text without words has the empty set and links with nothing; fewer words than a
 shingle are one element; a null doc_id links with nothing and has no component; rows with the same doc_id are one node
@@ -58,6 +59,7 @@ _U = np.uint64
 
 BITS = [f"b{i}" for i in range(LANES)]
 FETCHED = "doc_id long, d1 long, d2 long, elements binary"
+SKETCHED = "doc_id long, n long, bits binary, elements binary"
 SCANNED = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"{b} long" for b in BITS) + ", short boolean, keys array<long>"
 
 
@@ -97,6 +99,28 @@ def parity(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(-1, 64 * LANES), axis=1).view(np.int64)
 
 
+def sketches(values: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Parity bitmap of every set with a bit or two an element: a power of two of bits, 64 at least. Its halves, one xor the other,
+    are the set's bitmap of half as many bits."""
+    sizes = np.diff(at)
+    width = np.array([max(64, 1 << (n - 1).bit_length()) for n in sizes.tolist()], np.int64)
+    base = np.concatenate([[0], np.cumsum(width)])
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    place = wd.mix(values + _U(0x9FB21C651E98DF25)) & (width[own] - 1).astype(np.uint64)
+    odd = np.bincount(base[own] + place.astype(np.int64), minlength=int(base[-1])) & 1
+    raw = np.packbits(odd.astype(np.uint8)).tobytes()
+    return [raw[a:b] for a, b in zip((base[:-1] // 8).tolist(), (base[1:] // 8).tolist(), strict=True)]
+
+
+def sketches_differ(x: np.ndarray, y: np.ndarray) -> int:
+    """How many bits of two sketches (words of 64 bits) differ, at the size of the smaller one: at most as many as elements do."""
+    if len(x) > len(y):
+        x, y = y, x
+    while len(x) < len(y):
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 # --- bands and keys ---------------------------------------------------------------------
 
 
@@ -351,6 +375,34 @@ def fetched(k: int, lower: bool):
     return run
 
 
+def sketched(k: int, lower: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in wd.chunks(batch.column("text"), SCAN_BYTES):
+                values, at = shingle_sets(data, offsets, k, lower)
+                raw = [values[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(sketches(values, at), pa.binary()), pa.array(raw, pa.binary())],
+                    ["doc_id", "n", "bits", "elements"],
+                )
+
+    return run
+
+
+def alike(p: int, q: int):
+    """Pairs that their sketches allow to link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            x, y = ([np.frombuffer(e.as_buffer(), np.uint64) for e in batch.column(c)] for c in ("x", "y"))
+            differ = np.array([sketches_differ(a, b) for a, b in zip(x, y, strict=True)], np.int64)
+            keep = pa.array(differ * (p + q) <= total * (q - p))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+    return run
+
+
 def linked(p: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -455,20 +507,34 @@ class Join:
         n, m, p, q = F.col(f"{x}.n"), F.col(f"{y}.n"), self.p, self.q
         return (differ * (p + q) <= (n + m) * (q - p)) & (F.least(n, m) * q >= F.greatest(n, m) * p)
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) those that link. Sets are computed once for each document that occurs in pairs."""
+    def verify(self, pairs: DataFrame, *behind: DataFrame) -> DataFrame:
+        """Of pairs (a, b) those that link. Sets are computed once for each document that occurs in pairs, and meet only in pairs that
+        their sketches allow: a set of thousands of elements may share a key with many others.
+
+        behind: tables that nothing reads once the pairs are written.
+        """
         pairs = self.steps.put(pairs, "pairs")
+        self.steps.drop(*behind)
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        wanted = self.docs.join(nodes, "doc_id", "left_semi").mapInArrow(fetched(self.k, self.lower), FETCHED)
+        wanted = self.docs.join(nodes, "doc_id", "left_semi").mapInArrow(sketched(self.k, self.lower), SKETCHED)
         # Every task that scans texts may find a few of them: without this, each would write its own file.
-        sets = self.steps.put(wanted.select("doc_id", "elements").hint("rebalance", "doc_id"), "sets")
+        sets = self.steps.put(wanted.hint("rebalance", "doc_id"), "sets")
+        x = sets.select(F.col("doc_id").alias("a"), "n", F.col("bits").alias("x"))
+        y = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+        found = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(alike(self.p, self.q), "a long, b long")
+        near = self.steps.put(found.distinct(), "near")
         x = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
-        found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked(self.p, self.q), "a long, b long")
+        found = near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked(self.p, self.q), "a long, b long")
         links = self.steps.put(found.distinct(), "links")
-        self.steps.drop(pairs, sets)
+        self.steps.drop(pairs, sets, near)
         return links
 
+    def joined(self, links: DataFrame, more: DataFrame) -> DataFrame:
+        both = self.steps.put(links.unionByName(more), "links")
+        self.steps.drop(links, more)
+        return both
+
     def labelled(self, links: DataFrame) -> DataFrame:
         """(doc_id, label): documents of one label are connected. One pass over links (a, b), which form stars."""
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -520,20 +586,25 @@ class Join:
 
         done = steps.put(self.stars(members), "stars")
         links = self.verify(done)
-        pairs, rest = self.across(self.open_keys(members, self.labelled(links)), self.hot)
+        labels = self.labelled(links)
+        rows = self.open_keys(members, labels)
+        steps.drop(members, labels)
+        pairs, rest = self.across(rows, self.hot)
         rest = steps.put(rest.unionByName(short).distinct(), "rest")
-        links = steps.put(links.unionByName(self.verify(pairs.join(done, ["a", "b"], "left_anti"))), "links")
+        links = self.joined(links, self.verify(pairs.join(done, ["a", "b"], "left_anti"), rows, done, short))
         facts = nodes.filter(F.col("doc_id") == F.col("node")).drop("node", "d1", "d2")
         salt, hot = 1, self.hot
         while rest.count() > 1:
             rest, more = self.round(rest, facts, self.labelled(links), salt, hot)
-            links = steps.put(links.unionByName(more), "links")
+            links = self.joined(links, more)
             salt, hot = salt + 1, hot * 8
+        steps.keep(result, nodes, links)
 
         # A doc_id with several contents ties their classes.
         several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("h")).filter(F.col("a") < F.col("h"))
         tied = nodes.join(several, "doc_id").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b"))
         labels = components(steps, links.unionByName(tied))
+        steps.drop(links)
         self.nodes, self.labels = nodes, labels
         named = nodes.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
         named = named.groupBy("doc_id").agg(F.min("component").alias("component"))
@@ -579,11 +650,14 @@ class Join:
         sized = wanted.groupBy("doc_id").agg(F.max(F.size("elements")).cast("long").alias("size")).join(held, "doc_id", "left")
         sized = sized.select("doc_id", "size", F.coalesce("rare", F.array().cast("array<long>")).alias("rare"))
         keyed = steps.put(sized.mapInArrow(rare(self.p, self.q, salt), "doc_id long, short boolean, keys array<long>"), "rest-keys")
+        steps.drop(wanted)
         members = keyed.select("doc_id", F.explode("keys").alias("key")).distinct().join(facts, "doc_id")
         left = steps.put(keyed.filter("short").select("doc_id"), "rest")
+        rows = self.open_keys(members, labels)
+        steps.drop(keyed, labels, rest)
         # No key has more labels than a rare element has.
-        pairs, _ = self.across(self.open_keys(members, labels), None)
-        return left, self.verify(pairs)
+        pairs, _ = self.across(rows, None)
+        return left, self.verify(pairs, rows)
 
     def listed(self):
         k, lower = self.k, self.lower

@@ -354,8 +354,8 @@ class Dedup:
         self.steps.drop(pairs, bodies)
         return late
 
-    def run(self) -> tuple[DataFrame, DataFrame]:
-        """Scanned documents (doc_id, _row, lines), and the occurrences that stay: (_row, no)."""
+    def run(self, *shown: Column | str) -> tuple[DataFrame, DataFrame]:
+        """Scanned documents (doc_id, body, _row and lines, or what is shown of them), and the occurrences that stay: (_row, no)."""
         steps = self.steps
         scanned = steps.put(self.docs.mapInArrow(scan, SCANNED).withColumn("_row", F.monotonically_increasing_id()), "scan")
         each = scanned.select("doc_id", "_row", F.explode("lines").alias("l"))
@@ -369,7 +369,7 @@ class Dedup:
         dealt = scanned.select("lines", "keys").mapInArrow(deal(buckets), "bucket long, keys binary, lines binary")
         met = dealt.groupBy("bucket").applyInArrow(meet, "key long, seeks boolean, line long")
         rows = steps.put(met.join(lines.drop("h2"), "line"), "met")
-        kept = steps.put(scanned.drop("keys"), "occurrences")
+        kept = steps.put(scanned.select(*shown) if shown else scanned.drop("keys"), "occurrences")
         steps.drop(scanned)
 
         late = self.verify(self.stars(rows), lines)
@@ -378,7 +378,9 @@ class Dedup:
         undone = rows.join(late.withColumnRenamed("late", "line"), "line", "left_anti").select(rows.columns)
         late = late.unionByName(self.verify(self.pairs(undone, rows), lines)).distinct()
         stays = lines.join(late.withColumnRenamed("late", "line"), "line", "left_anti")
-        return kept, steps.put(stays.select("first._row", "first.no"), "stays")
+        stays = steps.put(stays.select("first._row", "first.no"), "stays")
+        steps.keep(kept, stays)
+        return kept, stays
 
 
 def line_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -413,9 +415,8 @@ def deduplicated_texts(docs: DataFrame, group: int = GROUP) -> DataFrame:
     hashed, place, kept_lines, n_lines = free_names(docs.columns, "_hash", "_at", "kept_lines", "n_lines")
     body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     dedup = Dedup(docs, group)
-    kept, stays = dedup.run()
+    kept, stays = dedup.run(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "_row", F.size("lines").alias("n_lines"))
     lists = stays.groupBy("_row").agg(F.array_sort(F.collect_list("no")).alias("kept_lines"))
-    kept = kept.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "_row", F.size("lines").alias("n_lines"))
     found = kept.join(lists, "_row").drop("_row").alias("f")
     repeated = kept.groupBy("_doc", "_body").count().filter(F.col("count") > 1).select("_doc", "_body")
     repeated = dedup.steps.put(repeated, "repeated").alias("r")

@@ -1,7 +1,10 @@
 """The Jaccard join against all pairs."""
 
+import glob
+import os
 import random
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -10,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborflow.llm import jaccard_join as jj
+from harborflow.llm.stages import CLEANUP, Stages
 
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -213,3 +217,73 @@ def test_few_sets_go_to_few_files(spark):
     found = {r["doc_id"]: r["component_id"] for r in join.run().collect()}
     assert all(found[i] == (i - 300 if i >= 300 else i) for i in range(400))
     assert files["sets"] <= 2 and files["sizes"] <= 2, files
+
+
+def long_sets(n, size):
+    """Texts of words of their own but for ten at their end, and one that nearly equals the first."""
+    rows = [(i, " ".join([f"d{i}w{j}" for j in range(size)] + [f"c{j}" for j in range(10)])) for i in range(n)]
+    return rows + [(n, rows[0][1].replace("d0w7 ", "other "))]
+
+
+def test_unlike_sets_do_not_meet_in_full(spark, monkeypatch):
+    """Whole sets go to no more than a few pairs, however many share a key: each pair would carry both of its sets."""
+    def all_of_them(p, q):
+        def run(batches):
+            for batch in batches:
+                yield batch.select(["a", "b"])
+
+        return run
+
+    rows = long_sets(40, 1500)
+    pairs = spark.createDataFrame([(a, b) for a in range(41) for b in range(a + 1, 41)], "a long, b long")
+    join = jj.Join(spark.createDataFrame(rows, "doc_id long, text string"), 5, (4, 5), True, jj.HOT)
+    assert [tuple(r) for r in join.verify(pairs).collect()] == [(0, 40)]
+    monkeypatch.setattr(jj, "linked", all_of_them)
+    assert [tuple(r) for r in join.verify(pairs).collect()] == [(0, 40)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sketches_allow_all_links(seed):
+    r = np.random.default_rng(seed)
+    for n in (1, 5, 63, 64, 65, 1000, 1100, 5000):
+        base = r.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0, 0.05, 0.1, 0.2, 1):
+            other = np.unique(np.concatenate([base[int(n * share):], r.integers(0, 1 << 63, int(n * share), dtype=np.uint64)]))
+            sets = [np.unique(base), other]
+            x, y = (np.frombuffer(b, np.uint64) for b in jj.sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)])))
+            apart = len(np.setxor1d(*sets))
+            assert jj.sketches_differ(x, y) == jj.sketches_differ(y, x) <= apart
+            if share == 1 and n >= 1000:
+                assert jj.sketches_differ(x, y) * 9 > sum(map(len, sets))
+
+
+def test_only_what_the_result_reads_is_left(spark):
+    from harborflow.session import run_folder
+
+    def tables():
+        folder = run_folder(spark).removeprefix("file:")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    rows = near_copies(1, 60, 12, 6, 4) + [(i + 1000, t) for i, t in near_copies(2, 12, 30, 4, 2)]
+    before = tables()
+    out = jj.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, (9, 10), hot=4)
+    left = {name.rsplit("-", 1)[0] for name in tables() - before}
+    assert left == {"jaccard-join-sizes", "jaccard-join-classes", "jaccard-join-edges"}
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(rows, 3, 9, 10)
+
+
+def test_shuffles_go_with_their_query(spark):
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before, setting = shuffles(), spark.conf.get(CLEANUP)
+    rows = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    table = Stages(spark, "test").put(rows, "counts")
+    end = time.time() + 20
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert table.count() == rows.count() == 1000
+    assert spark.conf.get(CLEANUP) == setting

@@ -1,5 +1,6 @@
 """Line dedup against all pairs of lines."""
 
+import os
 import random
 import tracemalloc
 
@@ -104,6 +105,20 @@ def test_texts(spark):
     assert out == sorted([(1, rows[0][1], "a", len(rows[0][1])), (2, second, "b", len(second)), (None, "no id", "c", 5)], key=repr)
 
 
+def test_only_what_the_texts_read_is_left(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(ld, "Stages", lambda *a: held.append(Stages(*a)) or held[-1])
+    texts = [f"a line of {w} that is long enough\nand its own line {w * 2}\na common line for them all" for w in ("oak", "elm", "ash")]
+    docs = spark.createDataFrame([*enumerate(texts), *enumerate(texts)], "doc_id long, text string")
+    out = ld.deduplicated_texts(docs)
+    (steps,) = held
+    assert sorted(os.path.basename(path).rsplit("-", 1)[0] for path in steps.there) == ["line-dedup-occurrences", "line-dedup-repeated", "line-dedup-stays"]
+    for path in steps.there:
+        table = spark.read.parquet(path)
+        assert "lines" not in table.columns and table.count() > 0
+    assert out.count() == 3
+
+
 def test_repeated_rows_through_two_stages(spark):
     """Rows equal in doc_id and text, and copies without a doc_id, stay once; the next stage gets no copies either."""
     text = "this line is long enough\nand so is this other one"
